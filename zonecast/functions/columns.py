@@ -72,8 +72,18 @@ def demand_status(pred: Column | str, avg: Column | str, cfg: Config) -> Column:
             .otherwise(F.lit("Normal (Green)")))
 
 
+def fixed_decimals(c: Column | str, digits: int) -> Column:
+    """Python's '%.Nf': rounds the exact binary value half-to-even.
+
+    ``format_number`` (DecimalFormat, HALF_EVEN on the exact double) gives
+    the same digits, ``format_string`` does not (it rounds the shortest
+    decimal form half-up, T18); the grouping commas are removed.
+    """
+    return F.translate(F.format_number(_c(c), digits), ",", "")
+
+
 def one_decimal(c: Column | str) -> Column:
-    return F.format_string("%.1f", _c(c))
+    return fixed_decimals(c, 1)
 
 
 def alert_message(pred: Column | str, avg: Column | str) -> Column:

@@ -204,9 +204,16 @@ def q_feature_table(spark, sf_dir):
         *[r6(c) if c == "rolling_std_3h" else F.col(c) for c in FE.FEATURE_ORDER])
 
 
+def _load_all() -> None:
+    # Registration happens at import; the other catalog modules import this one.
+    from zonecast.plans import catalog_model  # noqa: F401, PLC0415
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load_all()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load_all()
     return dict(SQL)

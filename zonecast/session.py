@@ -65,3 +65,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint dir for written intermediates."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` once as Parquet under the shared
+    checkpoint folder and reading it back (one job, unlike an eager RDD
+    checkpoint which computes the plan twice). Survives executor loss:
+    the files are on shared storage, not in executor memory."""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
