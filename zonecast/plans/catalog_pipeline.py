@@ -1,0 +1,143 @@
+"""Registered queries: incremental ingest/features, boosted trees, streams."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from zonecast.functions import calendar as cal
+from zonecast.operators import features as FE
+from zonecast.operators import forecast as FC
+from zonecast.operators import model as ML
+from zonecast.operators import validate as V
+from zonecast.plans import oracle as O
+from zonecast.plans.catalog import (CFG, FEATURE_SELECT, ORDER_COLS, _FEAT, _VAL, clean,
+                                    features, r6, raw, register)
+from zonecast.plans.catalog_model import _ACTUAL
+from zonecast.plans.jobs import read_new_orders
+from zonecast.session import materialize
+from zonecast.sources.adapters import events_as_orders
+from zonecast.streaming import ingest_stream as S
+
+# Fixed parameters of the incremental checks: state as after earlier runs.
+WATERMARK = CFG.split_date          # SRC1: rows strictly after it
+REFERENCE_CAP = 500_000             # TK2: the original batch cap
+GBT_ITERATIONS = 20                 # bounded cost for the driver check; jobs use cfg.max_iter
+
+_WM = f"TIMESTAMP '{WATERMARK:%Y-%m-%d %H:%M:%S}'"
+
+
+# ---- incremental ingest (SRC1, TK2, AG19, SNK11) ------------------------------------------
+
+@register("incremental_batch", O.with_ctes(O.raw_cte(CFG), body=f"""
+SELECT {ORDER_COLS} FROM raw
+WHERE "timestamp" > {_WM}
+  AND "timestamp" <= (SELECT max("timestamp") FROM (
+        SELECT "timestamp" FROM raw WHERE "timestamp" > {_WM}
+        ORDER BY "timestamp" LIMIT {REFERENCE_CAP}))"""))
+def q_incremental_batch(spark, sf_dir):
+    """SRC1, TK2: rows after the watermark, oldest first, capped at 500,000
+    with ties to the last row kept (T13)."""
+    return read_new_orders(raw(spark, sf_dir), WATERMARK, REFERENCE_CAP)
+
+
+@register("batch_watermark", O.with_ctes(*_VAL, body=f"""
+SELECT count(*) AS total_rows,
+       count(*) FILTER (WHERE error_reason IS NULL) AS clean_rows,
+       count(*) FILTER (WHERE error_reason IS NOT NULL) AS rejected_rows,
+       max("timestamp") AS watermark
+FROM validated WHERE "timestamp" > {_WM}"""))
+def q_batch_watermark(spark, sf_dir):
+    """AG19, SNK11, VAL12: the batch's counts and new watermark (newest event
+    time, rejected rows included)."""
+    batch = read_new_orders(raw(spark, sf_dir), WATERMARK)
+    v = V.validate(batch, CFG, dedupe=False)
+    return v.agg(F.count(F.lit(1)).alias("total_rows"),
+                 F.count_if(F.col("error_reason").isNull()).alias("clean_rows"),
+                 F.count_if(F.col("error_reason").isNotNull()).alias("rejected_rows"),
+                 F.max("timestamp").alias("watermark"))
+
+
+@register("incremental_features", O.with_ctes(*_FEAT, body=f"""
+SELECT {FEATURE_SELECT} FROM features WHERE "timestamp" >= {_WM}"""))
+def q_incremental_features(spark, sf_dir):
+    """Incremental feature build: hours from the cut-off on, reading orders
+    from cut-off - 168 h only; equals the full build on those hours."""
+    c = clean(spark, sf_dir)
+    start = c.agg(F.min(cal.floor_hour("timestamp"))).first()[0]  # stored-grid start (one value)
+    out = FE.build_features_incremental(c, CFG, WATERMARK, start)
+    return out.select(*[r6(x) if x == "rolling_std_3h" else F.col(x) for x in FE.FEATURE_ORDER])
+
+
+# ---- boosted trees (ML1-ML6, ML8 with a learned scorer) -----------------------------------
+
+def _trained(spark, sf_dir):
+    feats = materialize(features(spark, sf_dir), "gbt-features")
+    model, _tr, val = ML.train(feats, CFG, max_iter=GBT_ITERATIONS)
+    return feats, model, val
+
+
+@register("gbt_metrics")
+def q_gbt_metrics(spark, sf_dir):
+    """ML1-ML5: fit on the training part, evaluate on validation against the
+    seasonal-naive baseline (rows-only check: MLlib trees are not equal to
+    the original booster's numbers)."""
+    _feats, model, val = _trained(spark, sf_dir)
+    return ML.evaluate_model(model, val)
+
+
+@register("gbt_forecast")
+def q_gbt_forecast(spark, sf_dir):
+    """ML8 with the trained model as scorer: T+1, T+2 for every zone."""
+    feats, model, _val = _trained(spark, sf_dir)
+    fc = FC.forecast(feats, ML.gbt_scorer(model), CFG)
+    return fc.select("zone_id", "forecast_hour", "step", "predicted_order_count")
+
+
+# ---- streaming (SM1-SM3) ------------------------------------------------------------------
+
+EVENTS_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
+])
+
+
+def _order_stream(spark, sf_dir):
+    ev = S.read_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet")
+    return events_as_orders(ev, CFG)
+
+
+@register("stream_validated", O.with_ctes(*_VAL, body=f"SELECT {ORDER_COLS} FROM clean"))
+def q_stream_validated(spark, sf_dir):
+    """SM1: file stream -> validation per micro-batch -> clean / quarantine
+    files; the drained clean output equals the batch result."""
+    base = S.scratch(spark, "stream-validated")
+    S.validate_stream(spark, _order_stream(spark, sf_dir), CFG, f"{base}/clean",
+                      f"{base}/rejected", f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/clean").drop("batch")
+
+
+@register("stream_dedup", O.with_ctes(O.raw_cte(CFG), body=f"""
+SELECT {ORDER_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY "timestamp") AS rn FROM raw)
+WHERE rn = 1"""))
+def q_stream_dedup(spark, sf_dir):
+    """SM2: order_id duplicates suppressed within a 1-hour event-time bound."""
+    base = S.scratch(spark, "stream-dedup")
+    S.drain_append(S.dedupe_stream(_order_stream(spark, sf_dir)), f"{base}/out",
+                   f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/out").drop("batch")
+
+
+@register("stream_hourly_counts", O.with_ctes(*_VAL, _ACTUAL, body="SELECT * FROM actual"))
+def q_stream_hourly_counts(spark, sf_dir):
+    """SM3: tumbling 1-hour counts per zone over the validated stream
+    (watermark 2 h), drained in complete mode; equals AG6."""
+    base = S.scratch(spark, "stream-hourly")
+    orders = _order_stream(spark, sf_dir)
+    clean_stream = V.clean_rows(V.with_reasons(orders, CFG))
+    S.drain_complete(S.hourly_counts_stream(clean_stream), f"{base}/out", f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/out")
