@@ -103,21 +103,24 @@ def pipeline_run_history(clean: DataFrame, features: DataFrame, cfg: Config) ->
     first_model = F.when(first_day > first_hist, first_day).otherwise(
         first_day + F.expr("INTERVAL 1 DAY"))
 
-    def run(name: str, at: Column, ok: Column, rows: Column) -> DataFrame:
-        return h.select(F.lit(name).alias("dag_name"), at.alias("run_time"),
+    def run(name: str, at: Column, ok: Column, rows: Column) -> Column:
+        return F.struct(F.lit(name).alias("dag_name"), at.alias("run_time"),
                         F.when(ok, F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("status"),
                         F.when(ok, rows).otherwise(F.lit(0)).cast("int").alias("rows_processed"))
 
-    ingest = run(DAG_NAMES[0], cal.hours_after(ts, 1), F.lit(True),
-                 F.coalesce("clean_rows", F.lit(0)))
-    feats = run(DAG_NAMES[1], cal.hours_after(ts, 1) + F.expr("INTERVAL 15 MINUTES"),
-                F.lit(True), F.col("grid_rows"))
-    train = run(DAG_NAMES[2], ts, F.col("hist_before") > 0, F.col("hist_before")) \
-        .where(F.hour("run_time") == 2)
-    preds = run(DAG_NAMES[3], cal.hours_after(ts, 1) + F.expr("INTERVAL 30 MINUTES"),
-                F.coalesce(cal.hours_after(ts, 1) >= first_model, F.lit(False)),
-                F.lit(n_zones * cfg.horizon))
-    return ingest.unionByName(feats).unionByName(train).unionByName(preds)
+    # One pass over the hours: each hour yields its runs as an array that is
+    # exploded (the daily training run only at 02:00), instead of a union
+    # that would re-read the hourly frame once per job.
+    after = cal.hours_after(ts, 1)
+    runs = F.array(
+        run(DAG_NAMES[0], after, F.lit(True), F.coalesce("clean_rows", F.lit(0))),
+        run(DAG_NAMES[1], after + F.expr("INTERVAL 15 MINUTES"), F.lit(True), F.col("grid_rows")),
+        F.when(F.hour(ts) == 2, run(DAG_NAMES[2], ts, F.col("hist_before") > 0,
+                                    F.col("hist_before"))),
+        run(DAG_NAMES[3], after + F.expr("INTERVAL 30 MINUTES"),
+            F.coalesce(after >= first_model, F.lit(False)), F.lit(n_zones * cfg.horizon)))
+    return (h.select(F.explode(runs).alias("r")).where(F.col("r").isNotNull())
+            .select("r.dag_name", "r.run_time", "r.status", "r.rows_processed"))
 
 
 # ---- reports -----------------------------------------------------------------------

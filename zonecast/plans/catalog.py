@@ -17,7 +17,7 @@ from zonecast.config import TEST_CONFIG, Config
 from zonecast.operators import features as FE
 from zonecast.operators import validate as V
 from zonecast.plans import oracle as O
-from zonecast.session import apply_required_conf
+from zonecast.session import apply_required_conf, materialize
 from zonecast.sources.adapters import raw_orders_from_testdata
 
 CFG: Config = TEST_CONFIG
@@ -26,11 +26,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+_SCOPE: dict | None = None  # per-invocation memo of materialized inputs
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            global _SCOPE
             apply_required_conf(spark)
-            return fn(spark, sf_dir)
+            outer, _SCOPE = _SCOPE, {}
+            try:
+                return fn(spark, sf_dir)
+            finally:
+                _SCOPE = outer
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -69,6 +77,21 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FE.build_features(clean(spark, sf_dir), CFG)
 
 
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table as the downstream jobs see it: built once and
+    written (SNK3), then read. Queries over it (forecast, monitoring,
+    reports) refer to it several times; reading the written table keeps
+    them from re-running the order aggregation per reference. Written
+    once per query invocation."""
+    key = ("features", sf_dir)
+    if _SCOPE is not None and key in _SCOPE:
+        return _SCOPE[key]
+    out = materialize(features(spark, sf_dir), "features")
+    if _SCOPE is not None:
+        _SCOPE[key] = out
+    return out
+
+
 _FEAT = O.feature_stack(CFG)
 _VAL = (O.raw_cte(CFG), O.validated_cte(CFG))
 _ZH = _VAL + (O.zone_hours_cte(),)
