@@ -130,13 +130,15 @@ def latest_batch(predictions: DataFrame) -> DataFrame:
     newest = predictions.agg(F.max("generated_at")).scalar()
     return (predictions.where(F.col("generated_at") == newest)
             .select("zone_id", "forecast_hour", "predicted_order_count",
-                    "confidence_flag", "generated_at")
+                    "confidence_flag", "generated_at",
+                    cal.to_text("generated_at").alias("last_updated"))  # FN21
             .orderBy("zone_id", "forecast_hour"))
 
 
 def forecast_hours(predictions: DataFrame, k: int = 2) -> DataFrame:
     """AG20 / TK7: the k earliest distinct forecast hours of the newest batch."""
-    return (latest_batch(predictions).select("forecast_hour").distinct()
+    newest = predictions.agg(F.max("generated_at")).scalar()
+    return (predictions.where(F.col("generated_at") == newest).select("forecast_hour").distinct()
             .orderBy("forecast_hour").limit(k))
 
 
@@ -145,7 +147,7 @@ def demand_status(predictions: DataFrame, averages: DataFrame, cfg: Config,
     """RP2 / FLT7 / JN5 / FN17: one forecast hour of the newest batch with
     the zone's 7-day average and a three-tier status (T30: both the raw
     average and the defaulted one are exposed)."""
-    batch = latest_batch(predictions)
+    batch = latest_batch(predictions).drop("last_updated")
     hours = forecast_hours(predictions, hour_rank)
     chosen = hours.agg(F.max("forecast_hour")).scalar()
     sel = batch.where(F.col("forecast_hour") == chosen)

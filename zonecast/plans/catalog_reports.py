@@ -29,9 +29,10 @@ _LATEST = """latest AS (
 
 
 @register("latest_batch", O.with_ctes(*_FEAT, _BACKTEST, _LATEST, body="""
-SELECT * FROM latest ORDER BY zone_id, forecast_hour"""))
+SELECT *, strftime(generated_at, '%Y-%m-%d %H:%M:%S') AS last_updated
+FROM latest ORDER BY zone_id, forecast_hour"""))
 def q_latest_batch(spark, sf_dir):
-    """RP1, FLT4, TK8: the newest prediction batch by zone and hour."""
+    """RP1, FLT4, TK8, FN21: the newest prediction batch by zone and hour."""
     return RP.latest_batch(backtest(spark, sf_dir))
 
 

@@ -173,3 +173,36 @@ class Store:
         row = (self.read_table("model_pointer")
                .agg(F.max_by("model_path", "updated_at").alias("p")).first())
         return row["p"] if row else None
+
+
+class JdbcTables:
+    """The original's relational storage as a Spark JDBC source/sink.
+
+    Connection URL and credentials come from configuration only (e.g.
+    ``spark.zonecast.jdbc.url``/``.user``/``.password`` set at submit
+    time), never from literals. Reads split on a numeric or time column
+    when bounds are given, so a large table is read by many tasks.
+    """
+
+    def __init__(self, spark: SparkSession, prefix: str = "spark.zonecast.jdbc"):
+        self.spark = spark
+        self.url = spark.conf.get(f"{prefix}.url", None)
+        self.props = {k: v for k, v in (
+            ("user", spark.conf.get(f"{prefix}.user", None)),
+            ("password", spark.conf.get(f"{prefix}.password", None)),
+            ("driver", spark.conf.get(f"{prefix}.driver", None))) if v}
+
+    def read_table(self, name: str, column: str | None = None, lower=None, upper=None,
+                   partitions: int | None = None) -> DataFrame:
+        if not self.url:
+            raise RuntimeError("no JDBC URL configured")
+        if column and partitions:
+            return self.spark.read.jdbc(self.url, name, column=column, lowerBound=lower,
+                                        upperBound=upper, numPartitions=partitions,
+                                        properties=self.props)
+        return self.spark.read.jdbc(self.url, name, properties=self.props)
+
+    def append(self, name: str, df: DataFrame) -> None:
+        if not self.url:
+            raise RuntimeError("no JDBC URL configured")
+        df.write.jdbc(self.url, name, mode="append", properties=self.props)
