@@ -91,3 +91,12 @@ def test_hot_duplicate_group_collapses(spark, cfg):
     out = V.dedupe_orders(orders_df(spark, rows))
     assert out.count() == 61
     assert out.where(F.col("order_id") == "hot").first().timestamp.hour == 0
+
+
+def test_boolean_predicate_matches_reasons(spark, cfg):
+    from conftest import SF_MID
+    from zonecast.sources.adapters import raw_orders_from_testdata
+    raw = raw_orders_from_testdata(spark, SF_MID, cfg)
+    v = V.with_reasons(raw, cfg).withColumn("_ok", V.is_valid(cfg))
+    assert v.where(F.col("_ok") != F.col("error_reason").isNull()).count() == 0
+    assert V.clean_from_orders(raw, cfg).exceptAll(V.clean_rows(v.drop("_ok"))).count() == 0

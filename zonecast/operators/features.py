@@ -144,15 +144,36 @@ def lag_rolling_features(df: DataFrame, cfg: Config) -> DataFrame:
     return df.withColumns(cols)
 
 
-def build_features(clean: DataFrame, cfg: Config,
-                   start: dt.datetime | None = None) -> DataFrame:
-    """The feature table (all of §2.3 features) from clean orders."""
-    zh = zone_hour_aggregate(clean)
+def features_from_zone_hours(zh: DataFrame, cfg: Config,
+                             start: dt.datetime | None = None) -> DataFrame:
+    """Grid, fills, calendar, lags and rollings from zone-hour rows."""
     grid = filled_grid(zh, cfg, start)
     out = lag_rolling_features(time_features(grid, cfg), cfg)
     return out.select(*FEATURE_ORDER)
 
 
+def build_features(clean: DataFrame, cfg: Config,
+                   start: dt.datetime | None = None) -> DataFrame:
+    """The feature table (all of §2.3 features) from clean orders, lazily.
+
+    As one plan the grid bounds are a second (column-pruned) scan of the
+    orders; ``build_features_once`` avoids that by writing the small
+    zone-hour table first.
+    """
+    return features_from_zone_hours(zone_hour_aggregate(clean), cfg, start)
+
+
+def build_features_once(clean: DataFrame, cfg: Config,
+                        start: dt.datetime | None = None) -> DataFrame:
+    """Scan and aggregate the orders exactly once: the zone-hour rows
+    (zones x hours, independent of the order volume) are written to the
+    shared checkpoint folder, and the grid bounds, joins and windows read
+    that small table."""
+    from zonecast.session import materialize  # noqa: PLC0415
+    zh = materialize(zone_hour_aggregate(clean), "zone-hours")
+    return features_from_zone_hours(zh, cfg, start)
+
+
 def build_features_incremental(clean: DataFrame, cfg: Config, since: dt.datetime,
                                history_start: dt.datetime) -> DataFrame:
     """Features for hours >= ``since`` only, reading orders from since - 168 h.

@@ -1,9 +1,11 @@
 """Order validation: predicates -> reasons -> routing (VAL1-VAL12).
 
-Every rule is a row expression that yields a reason string or NULL;
-``concat_ws`` skips NULLs, so one projection produces the full reason
-text. No UDF, no row loop, no join: the rules run inside whole-stage
-codegen in the scan stage.
+Every rule is a (condition, text) pair of row expressions. Reason text is
+``concat_ws`` over the texts of the rules that hold (it skips NULLs), so
+one projection produces it; the clean split that feeds the features uses
+the same conditions as a plain boolean predicate and builds no strings.
+No UDF, no row loop, no join: everything runs inside whole-stage codegen
+in the scan stage.
 """
 
 from __future__ import annotations
@@ -35,38 +37,69 @@ def _int(c: str) -> Column:
     return F.col(c).try_cast("int")
 
 
-def missing_reasons(fields=REQUIRED_FIELDS) -> list[Column]:
+Rule = tuple[Column, Column]  # (condition, reason text when it holds)
+
+
+def missing_rules(fields=REQUIRED_FIELDS) -> list[Rule]:
     """VAL1: NULL, or blank after trim, per required field in order."""
-    return [
-        F.when(F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == ""),
-               F.lit(MISSING.format(c)))
-        for c in fields
-    ]
+    return [(F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == ""),
+             F.lit(MISSING.format(c))) for c in fields]
 
 
-def type_reasons() -> list[Column]:
+def type_rules() -> list[Rule]:
     """VAL2-VAL4: values that do not convert (NaN counts as not numeric, T10)."""
     v, n, d = _num("order_value"), _int("items_count"), _num("delivery_time_mins")
     return [
-        F.when(v.isNull() | F.isnan(v), F.lit(NOT_NUMERIC.format("order_value"))),
-        F.when(n.isNull(), F.lit(NOT_INTEGER.format("items_count"))),
-        F.when(d.isNull() | F.isnan(d), F.lit(NOT_NUMERIC.format("delivery_time_mins"))),
+        (v.isNull() | F.isnan(v), F.lit(NOT_NUMERIC.format("order_value"))),
+        (n.isNull(), F.lit(NOT_INTEGER.format("items_count"))),
+        (d.isNull() | F.isnan(d), F.lit(NOT_NUMERIC.format("delivery_time_mins"))),
     ]
 
 
-def range_reasons(cfg: Config) -> list[Column]:
+def range_rules(cfg: Config) -> list[Rule]:
     """VAL5-VAL7: unparseable numerics are silent here; NULL zone is invalid."""
     v, n, z = _num("order_value"), _int("items_count"), F.col("zone_id")
     return [
-        F.when(v <= 0, F.concat(F.lit(NOT_POSITIVE), v.cast("string"))),
-        F.when((n < cfg.items_min) | (n > cfg.items_max),
-               F.concat(F.lit(OUT_OF_RANGE.format(cfg.items_min, cfg.items_max)),
-                        n.cast("string"))),
-        F.when(z.isNull() | ~z.isin(list(cfg.zones)),
-               F.concat(F.lit(INVALID_ZONE), F.coalesce(z.cast("string"), F.lit(NULL_TEXT)))),
+        (v <= 0, F.concat(F.lit(NOT_POSITIVE), v.cast("string"))),
+        ((n < cfg.items_min) | (n > cfg.items_max),
+         F.concat(F.lit(OUT_OF_RANGE.format(cfg.items_min, cfg.items_max)), n.cast("string"))),
+        (z.isNull() | ~z.isin(list(cfg.zones)),
+         F.concat(F.lit(INVALID_ZONE), F.coalesce(z.cast("string"), F.lit(NULL_TEXT)))),
     ]
 
 
+def _texts(rules: list[Rule]) -> list[Column]:
+    return [F.when(cond, text) for cond, text in rules]
+
+
+def missing_reasons(fields=REQUIRED_FIELDS) -> list[Column]:
+    return _texts(missing_rules(fields))
+
+
+def type_reasons() -> list[Column]:
+    return _texts(type_rules())
+
+
+def range_reasons(cfg: Config) -> list[Column]:
+    return _texts(range_rules(cfg))
+
+
+def is_valid(cfg: Config) -> Column:
+    """True exactly when no rule fires (error_reason would be NULL): a pure
+    boolean predicate, so the clean split builds no reason strings."""
+    conds = [F.coalesce(c, F.lit(False)) for c, _ in
+             missing_rules() + type_rules() + range_rules(cfg)]
+    any_fired = conds[0]
+    for c in conds[1:]:
+        any_fired = any_fired | c
+    return ~any_fired
+
+
+def clean_from_orders(orders: DataFrame, cfg: Config) -> DataFrame:
+    """VAL10 (clean side) straight from orders, without reason text."""
+    return coerce_flags(orders.where(is_valid(cfg)))
+
+
 def _join(sep: str, parts: list[Column]) -> Column:
     """VAL8: join the non-NULL reasons of one group; '' -> NULL."""
     return F.nullif(F.concat_ws(sep, *parts), F.lit(""))

@@ -66,7 +66,7 @@ def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.clean_rows(validated(spark, sf_dir))
+    return V.clean_from_orders(raw(spark, sf_dir), CFG)
 
 
 def zone_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +86,7 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = ("features", sf_dir)
     if _SCOPE is not None and key in _SCOPE:
         return _SCOPE[key]
-    out = materialize(features(spark, sf_dir), "features")
+    out = materialize(FE.build_features_once(clean(spark, sf_dir), CFG), "features")
     if _SCOPE is not None:
         _SCOPE[key] = out
     return out

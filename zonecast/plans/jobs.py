@@ -111,7 +111,7 @@ def run_features(store: Store, cfg: Config, as_of: dt.datetime,
                 new = FE.build_features_incremental(clean, cfg, since, bounds["lo"])
                 feats = current.where(F.col("timestamp") < F.lit(since)).unionByName(new)
         if since is None:
-            feats = FE.build_features(clean, cfg)
+            feats = FE.build_features_once(clean, cfg)
         version = store.overwrite_versioned("features", feats, as_of)
         box["rows"] = store.read_table("features").count()
         return version
