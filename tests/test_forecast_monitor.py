@@ -133,3 +133,11 @@ def test_seven_day_window_includes_both_ends(spark, cfg):
                        dt.timedelta(hours=199 - 168)).count() == 169
     avg = MON.seven_day_avg(feats).first()
     assert avg.avg_orders == 1.0
+
+
+def test_longer_horizon_keeps_recursion(spark, cfg):
+    feats = _feature_rows(spark, cfg, [10, 20, 30])
+    scorer = lambda df: df.withColumn("prediction", F.col("lag_1h") + 0.004)
+    out = {r.step: r for r in FC.forecast(feats, scorer, cfg, horizon=3).collect()}
+    assert abs(out[3].predicted_raw - 30.012) < 1e-9 and out[3].predicted_order_count == 30.01
+    assert out[3].lag_2h == out[2].lag_1h and out[3].forecast_hour == ts("2026-03-02 05:00:00")

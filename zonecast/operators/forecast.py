@@ -109,9 +109,15 @@ def forecast(features: DataFrame, scorer: Scorer, cfg: Config,
     if materialize:
         # Cut the lineage once: every step (and T itself) then reads this
         # small frame (zones x reach rows) instead of re-planning the feature
-        # build; written once under the shared spark.checkpoint.dir.
+        # build; written once under the shared spark.checkpoint.dir. T is then
+        # one value read from that table, a literal in every step's plan.
         recent = write_and_read(recent, "forecast-history")
-    last = recent.agg(F.max("timestamp")).scalar()
+        t = recent.agg(F.max("timestamp")).first()[0]
+        if t is None:
+            raise ValueError("no feature rows to forecast from")
+        last = F.lit(t).cast("timestamp_ntz")
+    else:
+        last = recent.agg(F.max("timestamp")).scalar()
     series = recent.select("zone_id", "timestamp", F.col("order_count").cast("double").alias("n"))
     weather = None
     if cfg.forecast_weather == "carry":
@@ -123,6 +129,9 @@ def forecast(features: DataFrame, scorer: Scorer, cfg: Config,
         inputs = step_inputs(series, fh, cfg, weather).withColumn("step", F.lit(s))
         scored = scorer(inputs).withColumn(
             "predicted_raw", colf.clip_at_zero("prediction")).drop("prediction")
+        if materialize and horizon > 2 and s < horizon:
+            # keep each step's plan linear in the horizon (one row per zone)
+            scored = write_and_read(scored, f"forecast-step{s}")
         steps.append(scored)
         series = series.unionByName(  # ST1: the forecast becomes history
             scored.select("zone_id", F.col("forecast_hour").alias("timestamp"),

@@ -89,8 +89,12 @@ def pipeline_run_history(clean: DataFrame, features: DataFrame, cfg: Config) ->
     are hour offsets on the dense grid, not windows.
     """
     n_zones = len(cfg.zones)
-    first = features.agg(F.min("timestamp")).scalar()
-    first_hist = MET.with_history(features).agg(F.min("timestamp")).scalar()
+    # both bounds from one aggregate (one scalar subquery, reused)
+    bounds = features.agg(F.struct(
+        F.min("timestamp").alias("first"),
+        F.min(F.when(F.col("lag_168h").isNotNull(), F.col("timestamp"))).alias("first_hist"),
+    )).scalar()
+    first, first_hist = bounds.getField("first"), bounds.getField("first_hist")
     per_hour = (clean.groupBy(cal.floor_hour("timestamp").alias("timestamp"))
                 .agg(F.count(F.lit(1)).alias("clean_rows")))
     ts = F.col("timestamp")
