@@ -129,7 +129,9 @@ def _full_frame_mean(n: int, w):
 def lag_rolling_features(df: DataFrame, cfg: Config) -> DataFrame:
     """WN1-WN7 (+FN14) over a dense (zone, hour) grid.
 
-    ROW frames equal hour offsets because the grid is dense. Means need a
+    ROW frames equal hour offsets because the grid is dense; the ordering
+    by (zone, hour) the original sorts for (TK1) is the window's own
+    sort, no global ORDER BY. Means need a
     full frame (NULL before, T3); std is the sample std of the previous
     three, 0.0 until three exist (T4). All share one Window node.
     """

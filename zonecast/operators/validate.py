@@ -109,7 +109,9 @@ def with_reasons(orders: DataFrame, cfg: Config) -> DataFrame:
     """VAL1-VAL9: add schema_reason, range_reason and error_reason.
 
     error_reason is NULL exactly for clean rows; otherwise schema reasons
-    come first, joined to range reasons with ' | ' (VAL9).
+    come first, joined to range reasons with ' | ' (VAL9). The original's
+    key-wise merge of two reason maps (JN7) is unnecessary: both groups
+    are columns of the same row.
     """
     schema_r = _join(GROUP_SEP, missing_reasons() + type_reasons())
     range_r = _join(GROUP_SEP, range_reasons(cfg))
@@ -143,7 +145,8 @@ def coerce_flags(df: DataFrame, cols=("is_weekend", "is_festival_day")) -> DataF
 
 
 def clean_rows(validated: DataFrame) -> DataFrame:
-    """VAL10 (clean side)."""
+    """VAL10 (clean side); the routing look-up into the invalid set (JN8)
+    is a filter on the row's own reason."""
     out = validated.where(F.col("error_reason").isNull()).drop(*REASON_COLUMNS)
     return coerce_flags(out)
 
