@@ -8,6 +8,7 @@ IDs follow SURVEY §7.3.
 
 from __future__ import annotations
 
+import contextvars
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,19 +27,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-_SCOPE: dict | None = None  # per-invocation memo of materialized inputs
+# Per-invocation memo of materialized inputs (one per query call and thread).
+_SCOPE: contextvars.ContextVar[dict | None] = contextvars.ContextVar("zonecast_scope",
+                                                                     default=None)
 
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            global _SCOPE
             apply_required_conf(spark)
-            outer, _SCOPE = _SCOPE, {}
+            token = _SCOPE.set({})
             try:
                 return fn(spark, sf_dir)
             finally:
-                _SCOPE = outer
+                _SCOPE.reset(token)
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -83,12 +85,12 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports) refer to it several times; reading the written table keeps
     them from re-running the order aggregation per reference. Written
     once per query invocation."""
-    key = ("features", sf_dir)
-    if _SCOPE is not None and key in _SCOPE:
-        return _SCOPE[key]
+    key, scope = ("features", sf_dir), _SCOPE.get()
+    if scope is not None and key in scope:
+        return scope[key]
     out = materialize(FE.build_features_once(clean(spark, sf_dir), CFG), "features")
-    if _SCOPE is not None:
-        _SCOPE[key] = out
+    if scope is not None:
+        scope[key] = out
     return out
 
 

@@ -109,7 +109,7 @@ class Store:
             existing = self.read_table(name)
             if since is not None and part:
                 existing = existing.where(F.col(part) >= F.lit(since.date()))
-            out = out.join(existing.select(*key).distinct(), key, "left_anti")
+            out = out.join(existing.select(*key), key, "left_anti")
         if part:
             # AQE-sized write partitions per date: skewed dates are split,
             # small ones merged, so each task writes few, reasonably sized files.
