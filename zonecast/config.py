@@ -59,6 +59,35 @@ DAG_NAMES = (
     "generate_predictions",
 )
 
+# ---------------------------------------------------------------------------
+# Texts and labels the original pipeline writes, which must be
+# equal for equal results ("{}" marks where a value is inserted).
+# ---------------------------------------------------------------------------
+REASON_MISSING = "Missing required field: {}"
+REASON_NOT_NUMERIC = "{} is not numeric"
+REASON_NOT_INTEGER = "{} is not integer"
+REASON_NOT_POSITIVE = "order_value is not positive: {}"
+REASON_OUT_OF_RANGE = "items_count out of range [{}, {}]: {}"
+REASON_INVALID_ZONE = "Invalid zone_id: {}"
+NULL_TEXT = "None"
+REASON_SEPARATOR = "; "
+REASON_GROUP_SEPARATOR = " | "
+FLAG_NORMAL = "NORMAL"
+FLAG_HIGH_DEMAND = "HIGH_DEMAND"
+ALERT_TYPE_HIGH_DEMAND = "HIGH_DEMAND"
+ALERT_MESSAGE = "Predicted demand {} is {}x higher than 7-day average ({})"
+STATUS_RED = "High Demand (Red)"
+STATUS_AMBER = "Elevated (Amber)"
+STATUS_GREEN = "Normal (Green)"
+RUN_SUCCESS = "SUCCESS"
+RUN_FAILED = "FAILED"
+NO_RUNS = "NO RUNS"
+TRIGGER_NO_MODEL = "Triggered: No existing model"
+TRIGGER_ERROR = "Triggered: Error checking MAPE"
+TRIGGER_LOW_HISTORY = "Triggered: Low prediction history"
+TRIGGER_MAPE = "Triggered: MAPE is {}% (> {}%)"
+TRIGGER_SCHEDULED = "Triggered: Scheduled Daily Retrain"
+
 
 def _ts(text: str) -> dt.datetime:
     return dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from zonecast.config import Config
+from zonecast.config import ALERT_MESSAGE, STATUS_AMBER, STATUS_GREEN, STATUS_RED, Config
 
 
 def _c(c: Column | str) -> Column:
@@ -67,9 +67,9 @@ def demand_status(pred: Column | str, avg: Column | str, cfg: Config) -> Column:
     """FN17: three-tier status against the (defaulted) 7-day average."""
     a = F.coalesce(_c(avg), F.lit(cfg.fallback_avg))
     p = _c(pred)
-    return (F.when(p > a * cfg.high_demand_factor, F.lit("High Demand (Red)"))
-            .when(p > a * cfg.amber_factor, F.lit("Elevated (Amber)"))
-            .otherwise(F.lit("Normal (Green)")))
+    return (F.when(p > a * cfg.high_demand_factor, F.lit(STATUS_RED))
+            .when(p > a * cfg.amber_factor, F.lit(STATUS_AMBER))
+            .otherwise(F.lit(STATUS_GREEN)))
 
 
 def fixed_decimals(c: Column | str, digits: int) -> Column:
@@ -90,7 +90,7 @@ def alert_message(pred: Column | str, avg: Column | str) -> Column:
     """FN18: alert text; a zero average gives 'n/a' instead of failing."""
     ratio = F.try_divide(_c(pred), _c(avg))
     return F.format_string(
-        "Predicted demand %s is %sx higher than 7-day average (%s)",
+        ALERT_MESSAGE.replace("{}", "%s"),
         one_decimal(pred),
         F.coalesce(one_decimal(ratio), F.lit("n/a")),
         one_decimal(avg),

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.config import FEATURE_COLUMNS, Config
+from zonecast.config import FEATURE_COLUMNS, FLAG_NORMAL, Config
 from zonecast.functions import calendar as cal
 from zonecast.functions import columns as colf
 from zonecast.session import materialize as write_and_read
@@ -146,7 +146,7 @@ def prediction_rows(forecasts: DataFrame, generated_at: Column) -> DataFrame:
     """SNK4's rows: one batch shares one generated_at literal."""
     return forecasts.select(
         "zone_id", "forecast_hour", "predicted_order_count",
-        F.lit("NORMAL").alias("confidence_flag"),
+        F.lit(FLAG_NORMAL).alias("confidence_flag"),
         generated_at.cast("timestamp_ntz").alias("generated_at"))
 
 
@@ -173,4 +173,4 @@ def backtest_predictions(features: DataFrame, cfg: Config,
     return (rows.withColumn("generated_at", gen)
             .where(F.col("generated_at") <= last)
             .select("zone_id", "forecast_hour", "predicted_order_count",
-                    F.lit("NORMAL").alias("confidence_flag"), "generated_at", "step"))
+                    F.lit(FLAG_NORMAL).alias("confidence_flag"), "generated_at", "step"))

@@ -12,7 +12,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.config import Config
+from zonecast.config import (ALERT_TYPE_HIGH_DEMAND, FLAG_HIGH_DEMAND, TRIGGER_ERROR,
+                             TRIGGER_LOW_HISTORY, TRIGGER_MAPE, TRIGGER_NO_MODEL,
+                             TRIGGER_SCHEDULED, Config)
 from zonecast.functions import calendar as cal
 from zonecast.functions import columns as colf
 from zonecast.functions import metrics as M
@@ -44,11 +46,11 @@ def drift_pairs(predictions: DataFrame, clean: DataFrame, as_of: Column | dt.dat
 
 
 DRIFT_REASONS = {
-    "no_model": "Triggered: No existing model",
-    "error": "Triggered: Error checking MAPE",
-    "low_history": "Triggered: Low prediction history",
-    "scheduled": "Triggered: Scheduled Daily Retrain",
-    "skipped": "Skipped: MAPE within threshold",
+    "no_model": TRIGGER_NO_MODEL,
+    "error": TRIGGER_ERROR,
+    "low_history": TRIGGER_LOW_HISTORY,
+    "scheduled": TRIGGER_SCHEDULED,
+    "skipped": "Skipped: MAPE within threshold",  # ours: the documented 15 % rule
 }
 
 
@@ -66,10 +68,11 @@ def drift_decision(pairs: DataFrame, cfg: Config, model_exists: bool = True,
     reason = (F.when(F.lit(not model_exists), F.lit(DRIFT_REASONS["no_model"]))
               .when(n < cfg.drift_min_pairs, F.lit(DRIFT_REASONS["low_history"]))
               .when(over, F.format_string(
-                  "Triggered: MAPE is %s%% (> %s%%)", colf.fixed_decimals(m, 2),
-                  F.lit(f"{cfg.drift_mape_threshold:g}")))
+                  TRIGGER_MAPE.replace("%", "%%").replace("{}", "%s"),
+                  colf.fixed_decimals(m, 2), F.lit(f"{cfg.drift_mape_threshold:g}")))
               .otherwise(F.lit(DRIFT_REASONS["scheduled" if force_daily else "skipped"])))
-    return stats.withColumns({"trigger": reason.startswith("Triggered"), "reason": reason})
+    trigger = reason != F.lit(DRIFT_REASONS["skipped"])
+    return stats.withColumns({"trigger": trigger, "reason": reason})
 
 
 def seven_day_avg(features: DataFrame) -> DataFrame:
@@ -96,7 +99,7 @@ def high_demand(predictions: DataFrame, averages: DataFrame, cfg: Config) -> Dat
             .where(F.col("predicted_order_count") > F.col("avg_7d") * cfg.high_demand_factor)
             .select("zone_id", "forecast_hour", "predicted_order_count", "avg_7d",
                     F.try_divide("predicted_order_count", "avg_7d").alias("ratio"),
-                    F.lit("HIGH_DEMAND").alias("alert_type"),
+                    F.lit(ALERT_TYPE_HIGH_DEMAND).alias("alert_type"),
                     colf.alert_message("predicted_order_count", "avg_7d").alias("message")))
 
 
@@ -110,7 +113,7 @@ def flag_predictions(predictions: DataFrame, alerts: DataFrame) -> DataFrame:
             .withColumn("_alerted", F.lit(True)))
     j = predictions.join(keys, ["zone_id", "forecast_hour"], "left")
     return (j.withColumn("confidence_flag",
-                         F.when(F.col("_alerted"), F.lit("HIGH_DEMAND"))
+                         F.when(F.col("_alerted"), F.lit(FLAG_HIGH_DEMAND))
                          .otherwise(F.col("confidence_flag")))
             .drop("_alerted")
             .select(*predictions.columns))

@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.config import DAG_NAMES, Config
+from zonecast.config import (ALERT_TYPE_HIGH_DEMAND, DAG_NAMES, NO_RUNS, RUN_FAILED,
+                             RUN_SUCCESS, Config)
 from zonecast.functions import calendar as cal
 from zonecast.functions import columns as colf
 from zonecast.operators import metrics as MET
@@ -39,7 +40,7 @@ def alert_history(predictions: DataFrame, features: DataFrame, cfg: Config) -> D
     a = F.coalesce(F.col("avg_orders"), F.lit(cfg.fallback_avg))
     return (j.where(F.col("predicted_order_count") > a * cfg.high_demand_factor)
             .select("zone_id", "forecast_hour",
-                    F.lit("HIGH_DEMAND").alias("alert_type"),
+                    F.lit(ALERT_TYPE_HIGH_DEMAND).alias("alert_type"),
                     colf.alert_message("predicted_order_count", a).alias("message"),
                     (F.col("generated_at") + F.expr("INTERVAL 30 MINUTES")).alias("created_at")))
 
@@ -109,7 +110,7 @@ def pipeline_run_history(clean: DataFrame, features: DataFrame, cfg: Config) ->
 
     def run(name: str, at: Column, ok: Column, rows: Column) -> Column:
         return F.struct(F.lit(name).alias("dag_name"), at.alias("run_time"),
-                        F.when(ok, F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("status"),
+                        F.when(ok, F.lit(RUN_SUCCESS)).otherwise(F.lit(RUN_FAILED)).alias("status"),
                         F.when(ok, rows).otherwise(F.lit(0)).cast("int").alias("rows_processed"))
 
     # One pass over the hours: each hour yields its runs as an array that is
@@ -197,14 +198,14 @@ def dag_status(runs: DataFrame, dag_names=DAG_NAMES) -> DataFrame:
                                   "dag_name string, display_order int")
     j = names.join(latest_runs(runs), "dag_name", "left")
     return j.select("display_order", "dag_name", "run_time",
-                    F.coalesce("status", F.lit("NO RUNS")).alias("status"),
+                    F.coalesce("status", F.lit(NO_RUNS)).alias("status"),
                     "rows_processed").orderBy("display_order")
 
 
 def failed_runs(runs: DataFrame) -> DataFrame:
     """RP6 / FLT8: one row: how many DAGs' latest run failed, which, all clear."""
     latest = latest_runs(runs)
-    failed = latest.where(F.col("status") == "FAILED")
+    failed = latest.where(F.col("status") == RUN_FAILED)
     return failed.agg(
         F.count(F.lit(1)).alias("n_failed"),
         F.array_join(F.sort_array(F.collect_list("dag_name")), ", ").alias("failed_dags"),

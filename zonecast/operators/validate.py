@@ -13,18 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.config import Config, REQUIRED_FIELDS
-
-# Fixed reason texts (must equal the original pipeline's).
-MISSING = "Missing required field: {}"
-NOT_NUMERIC = "{} is not numeric"
-NOT_INTEGER = "{} is not integer"
-NOT_POSITIVE = "order_value is not positive: "
-OUT_OF_RANGE = "items_count out of range [{}, {}]: "
-INVALID_ZONE = "Invalid zone_id: "
-NULL_TEXT = "None"
-GROUP_SEP = "; "
-MERGE_SEP = " | "
+from zonecast.config import (NULL_TEXT, REASON_GROUP_SEPARATOR, REASON_INVALID_ZONE,
+                             REASON_MISSING, REASON_NOT_INTEGER, REASON_NOT_NUMERIC,
+                             REASON_NOT_POSITIVE, REASON_OUT_OF_RANGE, REASON_SEPARATOR,
+                             REQUIRED_FIELDS, Config)
+
+GROUP_SEP, MERGE_SEP = REASON_SEPARATOR, REASON_GROUP_SEPARATOR
 
 REASON_COLUMNS = ("schema_reason", "range_reason", "error_reason")
 
@@ -43,16 +37,16 @@ Rule = tuple[Column, Column]  # (condition, reason text when it holds)
 def missing_rules(fields=REQUIRED_FIELDS) -> list[Rule]:
     """VAL1: NULL, or blank after trim, per required field in order."""
     return [(F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == ""),
-             F.lit(MISSING.format(c))) for c in fields]
+             F.lit(REASON_MISSING.format(c))) for c in fields]
 
 
 def type_rules() -> list[Rule]:
     """VAL2-VAL4: values that do not convert (NaN counts as not numeric, T10)."""
     v, n, d = _num("order_value"), _int("items_count"), _num("delivery_time_mins")
     return [
-        (v.isNull() | F.isnan(v), F.lit(NOT_NUMERIC.format("order_value"))),
-        (n.isNull(), F.lit(NOT_INTEGER.format("items_count"))),
-        (d.isNull() | F.isnan(d), F.lit(NOT_NUMERIC.format("delivery_time_mins"))),
+        (v.isNull() | F.isnan(v), F.lit(REASON_NOT_NUMERIC.format("order_value"))),
+        (n.isNull(), F.lit(REASON_NOT_INTEGER.format("items_count"))),
+        (d.isNull() | F.isnan(d), F.lit(REASON_NOT_NUMERIC.format("delivery_time_mins"))),
     ]
 
 
@@ -60,11 +54,13 @@ def range_rules(cfg: Config) -> list[Rule]:
     """VAL5-VAL7: unparseable numerics are silent here; NULL zone is invalid."""
     v, n, z = _num("order_value"), _int("items_count"), F.col("zone_id")
     return [
-        (v <= 0, F.concat(F.lit(NOT_POSITIVE), v.cast("string"))),
+        (v <= 0, F.format_string(REASON_NOT_POSITIVE.replace("{}", "%s"), v.cast("string"))),
         ((n < cfg.items_min) | (n > cfg.items_max),
-         F.concat(F.lit(OUT_OF_RANGE.format(cfg.items_min, cfg.items_max)), n.cast("string"))),
+         F.format_string(REASON_OUT_OF_RANGE.format(cfg.items_min, cfg.items_max, "%s"),
+                         n.cast("string"))),
         (z.isNull() | ~z.isin(list(cfg.zones)),
-         F.concat(F.lit(INVALID_ZONE), F.coalesce(z.cast("string"), F.lit(NULL_TEXT)))),
+         F.format_string(REASON_INVALID_ZONE.replace("{}", "%s"),
+                         F.coalesce(z.cast("string"), F.lit(NULL_TEXT)))),
     ]
 
 

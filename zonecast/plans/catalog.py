@@ -231,7 +231,7 @@ def q_feature_table(spark, sf_dir):
 
 def _load_all() -> None:
     # Registration happens at import; the other catalog modules import this one.
-    from zonecast.plans import catalog_model, catalog_pipeline, catalog_reports  # noqa: F401, PLC0415
+    from zonecast.plans import catalog_model, catalog_jobs, catalog_reports  # noqa: F401, PLC0415
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -210,8 +210,8 @@ def pipeline_runs(spark, sf_dir):
     return RP.pipeline_run_history(clean(spark, sf_dir), features(spark, sf_dir), CFG)
 
 
-@register("pipeline_runs_log", O.with_ctes(*_PR, body="SELECT * FROM pipeline_runs"))
-def q_pipeline_runs_log(spark, sf_dir):
+@register("job_runs_log", O.with_ctes(*_PR, body="SELECT * FROM pipeline_runs"))
+def q_job_runs_log(spark, sf_dir):
     """SNK8-SNK10 rows of the four jobs replayed on their schedule."""
     return pipeline_runs(spark, sf_dir)
 

@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from zonecast.config import DAG_NAMES, Config
+from zonecast.config import DAG_NAMES, RUN_FAILED, RUN_SUCCESS, Config
 from zonecast.operators import features as FE
 from zonecast.operators import forecast as FC
 from zonecast.operators import metrics as MET
@@ -41,9 +41,9 @@ def _logged(store: Store, dag: str, as_of: dt.datetime):
     try:
         yield box
     except Exception:
-        log_run(store, dag, "FAILED", 0, as_of)
+        log_run(store, dag, RUN_FAILED, 0, as_of)
         raise
-    log_run(store, dag, "SUCCESS", box["rows"], as_of)
+    log_run(store, dag, RUN_SUCCESS, box["rows"], as_of)
 
 
 def read_new_orders(raw: DataFrame, watermark: dt.datetime, cap: int | None = None,

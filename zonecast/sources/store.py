@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonecast.config import Config
+from zonecast.config import FLAG_HIGH_DEMAND, Config
 from zonecast.sources.schemas import DATE_PARTITIONED, SCHEMAS
 
 VERSIONED = {"features"}
@@ -152,7 +152,7 @@ class Store:
     # ---- predictions with flags (SNK6 / JN9 on read) --------------------------------------
     def flag(self, alerts: DataFrame, as_of: dt.datetime) -> None:
         rows = (alerts.select("zone_id", "forecast_hour").distinct()
-                .withColumn("flag", F.lit("HIGH_DEMAND"))
+                .withColumn("flag", F.lit(FLAG_HIGH_DEMAND))
                 .withColumn("flagged_at", F.lit(as_of).cast("timestamp_ntz")))
         rows.write.mode("append").parquet(self.path(FLAGS))
 
