@@ -141,3 +141,55 @@ def q_stream_hourly_counts(spark, sf_dir):
     clean_stream = V.clean_rows(V.with_reasons(orders, CFG))
     S.drain_complete(S.hourly_counts_stream(clean_stream), f"{base}/out", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/out")
+
+
+# ---- the jobs themselves on a scratch store (SNK1-SNK3, SNK11, SRC1-SRC5) -----------------
+
+JOB_AS_OF = dt.datetime(2024, 1, 31, 1, 0)
+
+
+def _ingested_store(spark, sf_dir):
+    from zonecast.plans.catalog import _SCOPE  # noqa: PLC0415
+    from zonecast.plans.jobs import run_ingest  # noqa: PLC0415
+    from zonecast.sources.store import Store  # noqa: PLC0415
+    scope = _SCOPE.get()
+    key = ("store", sf_dir)
+    if scope is not None and key in scope:
+        return scope[key]
+    st = Store(spark, S.scratch(spark, "job-store"), CFG)
+    st.append("raw_orders", raw(spark, sf_dir))
+    run_ingest(st, CFG, JOB_AS_OF)
+    if scope is not None:
+        scope[key] = st
+    return st
+
+
+@register("job_ingest_clean", O.with_ctes(*_VAL, body=f"SELECT {ORDER_COLS} FROM clean"))
+def q_job_ingest_clean(spark, sf_dir):
+    """The ingest job (SRC1 watermark read, dedup, VAL, SNK1) on a fresh
+    date-partitioned store; its clean_orders table equals the batch result."""
+    st = _ingested_store(spark, sf_dir)
+    return st.read_table("clean_orders").drop("ingested_at", CFG.date_partition_col)
+
+
+@register("job_ingest_rejected", O.with_ctes(*_VAL, body="""
+SELECT order_id, zone_id, "timestamp", order_value, items_count, delivery_time_mins,
+       coalesce(is_weekend, false) AS is_weekend, weather_condition,
+       coalesce(is_festival_day, false) AS is_festival_day, error_reason
+FROM validated WHERE error_reason IS NOT NULL"""))
+def q_job_ingest_rejected(spark, sf_dir):
+    """The ingest job's quarantine table (SNK2)."""
+    st = _ingested_store(spark, sf_dir)
+    return st.read_table("validation_errors").drop(
+        "rejected_at", "error_id", CFG.date_partition_col)
+
+
+@register("job_features", O.with_ctes(*_FEAT, body=f"SELECT {FEATURE_SELECT} FROM features"))
+def q_job_features(spark, sf_dir):
+    """Ingest, then the feature job (orders scanned once, versioned
+    overwrite SNK3); the committed version equals the feature table."""
+    from zonecast.plans.jobs import run_features  # noqa: PLC0415
+    st = _ingested_store(spark, sf_dir)
+    run_features(st, CFG, JOB_AS_OF)
+    out = st.read_table("features")
+    return out.select(*[r6(x) if x == "rolling_std_3h" else F.col(x) for x in FE.FEATURE_ORDER])
