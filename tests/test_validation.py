@@ -100,3 +100,16 @@ def test_boolean_predicate_matches_reasons(spark, cfg):
     v = V.with_reasons(raw, cfg).withColumn("_ok", V.is_valid(cfg))
     assert v.where(F.col("_ok") != F.col("error_reason").isNull()).count() == 0
     assert V.clean_from_orders(raw, cfg).exceptAll(V.clean_rows(v.drop("_ok"))).count() == 0
+
+
+def test_flag_counts_match_text_counts(spark, cfg):
+    from conftest import SF_MID
+    from zonecast.sources.adapters import raw_orders_from_testdata
+    raw = raw_orders_from_testdata(spark, SF_MID, cfg)
+    by_text = V.validation_counts(V.with_reasons(raw, cfg)).first().asDict()
+    by_flag = V.with_flags(raw, cfg).agg(*V.flag_counts()[:5]).first().asDict()
+    assert by_text == by_flag
+    clean, rejected = V.split_flagged(V.with_flags(raw, cfg), cfg)
+    v = V.with_reasons(raw, cfg)
+    assert clean.exceptAll(V.clean_rows(v)).count() == 0
+    assert rejected.exceptAll(V.rejected_rows(v)).count() == 0

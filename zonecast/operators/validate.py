@@ -80,15 +80,57 @@ def range_reasons(cfg: Config) -> list[Column]:
     return _texts(range_rules(cfg))
 
 
+def _any(rules: list[Rule]) -> Column:
+    conds = [F.coalesce(c, F.lit(False)) for c, _ in rules]
+    out = conds[0]
+    for c in conds[1:]:
+        out = out | c
+    return out
+
+
+def schema_invalid(cfg: Config) -> Column:
+    """Some VAL1-VAL4 rule fires (schema_reason would be non-NULL)."""
+    return _any(missing_rules() + type_rules())
+
+
+def range_invalid(cfg: Config) -> Column:
+    """Some VAL5-VAL7 rule fires (range_reason would be non-NULL)."""
+    return _any(range_rules(cfg))
+
+
 def is_valid(cfg: Config) -> Column:
     """True exactly when no rule fires (error_reason would be NULL): a pure
     boolean predicate, so the clean split builds no reason strings."""
-    conds = [F.coalesce(c, F.lit(False)) for c, _ in
-             missing_rules() + type_rules() + range_rules(cfg)]
-    any_fired = conds[0]
-    for c in conds[1:]:
-        any_fired = any_fired | c
-    return ~any_fired
+    return ~(schema_invalid(cfg) | range_invalid(cfg))
+
+
+FLAG_COLUMNS = ("_schema_bad", "_range_bad")
+
+
+def with_flags(orders: DataFrame, cfg: Config) -> DataFrame:
+    """Two booleans per row; counters and routing need nothing else."""
+    return orders.withColumns({"_schema_bad": schema_invalid(cfg),
+                               "_range_bad": range_invalid(cfg)})
+
+
+def flag_counts() -> list[Column]:
+    """VAL12 from the boolean flags (same numbers as from the texts)."""
+    bad = F.col("_schema_bad") | F.col("_range_bad")
+    return [F.count(F.lit(1)).alias("total_rows"),
+            F.count_if(F.col("_schema_bad")).alias("schema_invalid"),
+            F.count_if(F.col("_range_bad")).alias("range_invalid"),
+            F.count_if(~bad).alias("clean_rows"),
+            F.count_if(bad).alias("rejected_rows"),
+            F.max("timestamp").alias("max_timestamp")]
+
+
+def split_flagged(flagged: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
+    """VAL10 on a flagged frame: clean rows without any text, rejected rows
+    with their reasons (built only for them)."""
+    bad = F.col("_schema_bad") | F.col("_range_bad")
+    clean = coerce_flags(flagged.where(~bad).drop(*FLAG_COLUMNS))
+    rejected = rejected_rows(with_reasons(flagged.where(bad).drop(*FLAG_COLUMNS), cfg))
+    return clean, rejected
 
 
 def clean_from_orders(orders: DataFrame, cfg: Config) -> DataFrame:

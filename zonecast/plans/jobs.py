@@ -78,19 +78,22 @@ def run_ingest(store: Store, cfg: Config, as_of: dt.datetime) -> dict:
         if batch.isEmpty():  # SNK10: log 0 and stop (T23)
             return {"total_rows": 0, "clean_rows": 0, "rejected_rows": 0, "watermark": wm}
         obs = Observation("ingest")
-        validated = (V.validate(batch, cfg, dedupe=True)
-                     .observe(obs, *V.validation_metrics())
-                     .persist(StorageLevel.MEMORY_AND_DISK))
+        # Rows carry two booleans (no text); the counters are observed during
+        # the first write; reason text is built for rejected rows only.
+        flagged = (V.with_flags(V.dedupe_orders(batch), cfg)
+                   .observe(obs, *V.flag_counts())
+                   .persist(StorageLevel.MEMORY_AND_DISK))
         try:
+            clean, rejected = V.split_flagged(flagged, cfg)
             stamp = F.lit(as_of).cast("timestamp_ntz")
-            store.append("clean_orders", V.clean_rows(validated).withColumn("ingested_at", stamp),
+            store.append("clean_orders", clean.withColumn("ingested_at", stamp),
                          key=["order_id"], since=wm)
-            rejected = (V.rejected_rows(validated).withColumn("rejected_at", stamp)
+            rejected = (rejected.withColumn("rejected_at", stamp)
                         .withColumn("error_id", F.xxhash64("order_id", "error_reason", "rejected_at")))
             store.append("validation_errors", rejected, key=["order_id", "timestamp"], since=wm)
             m = obs.get
         finally:
-            validated.unpersist()
+            flagged.unpersist()
         # SNK11: the newest event time of the batch, rejected rows included.
         store.save_watermark("raw_orders", m["max_timestamp"], as_of)
         box["rows"] = m["clean_rows"]  # VAL12: rows_processed = clean rows

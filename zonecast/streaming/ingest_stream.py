@@ -78,14 +78,13 @@ def validate_stream(spark: SparkSession, orders: DataFrame, cfg: Config, clean_p
     files; a replayed batch id overwrites its own output directory, so a
     retried batch never duplicates rows."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        validated = V.with_reasons(batch, cfg).persist()
+        flagged = V.with_flags(batch, cfg).persist()
         try:
-            V.clean_rows(validated).write.mode("overwrite").parquet(
-                f"{clean_path}/batch={batch_id}")
-            V.rejected_rows(validated).write.mode("overwrite").parquet(
-                f"{rejected_path}/batch={batch_id}")
+            clean, rejected = V.split_flagged(flagged, cfg)
+            clean.write.mode("overwrite").parquet(f"{clean_path}/batch={batch_id}")
+            rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
         finally:
-            validated.unpersist()
+            flagged.unpersist()
     _run(orders, sink, checkpoint)
 
 
