@@ -109,3 +109,17 @@ def test_differential_small(spark):
         assert sorted(s.columns) == sorted(d.columns), name
         assert len(s) == len(d), name
         assert oracle_check._rows(s) == oracle_check._rows(d), name
+
+
+def test_training_skips_on_too_little_history(spark, cfg, tmp_root):
+    # ML6: below the minimum rows the run is skipped and logged as SUCCESS with 0
+    st = Store(spark, f"{tmp_root}/wh", cfg)
+    st.append("raw_orders", raw_orders_from_testdata(spark, SF_SMALL, cfg))
+    as_of = dt.datetime(2024, 1, 31, 1, 0)
+    J.run_ingest(st, cfg, as_of)
+    J.run_features(st, cfg, as_of)
+    out = J.run_training(st, cfg.with_(min_train_rows=10**6), as_of, f"{tmp_root}/models", max_iter=2)
+    assert out["trained"] is False and "not enough rows" in out["skipped"]
+    assert out["decision"]["reason"] == "Triggered: No existing model"
+    r = st.read_table("pipeline_runs").where(F.col("dag_name") == "model_training").first()
+    assert (r.status, r.rows_processed) == ("SUCCESS", 0)

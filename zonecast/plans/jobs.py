@@ -126,13 +126,20 @@ def run_training(store: Store, cfg: Config, as_of: dt.datetime, model_dir: str,
     with _logged(store, DAG_NAMES[2], as_of) as box:
         have_model = store.model_pointer() is not None or bool(
             [n for n in store.list_dirs(model_dir) if n.startswith("model_")])
-        pairs = MON.drift_pairs(store.read_predictions(), store.read_table("clean_orders"),
-                                as_of, cfg)
-        decision = MON.drift_decision(pairs, cfg, have_model, force_daily).first().asDict()
+        try:
+            pairs = MON.drift_pairs(store.read_predictions(), store.read_table("clean_orders"),
+                                    as_of, cfg)
+            decision = MON.drift_decision(pairs, cfg, have_model, force_daily).first().asDict()
+        except Exception as e:  # noqa: BLE001 - ML7: a failed check retrains
+            decision = {"n_pairs": None, "mape": None, "trigger": True,
+                        "reason": MON.DRIFT_REASONS["error"], "error": repr(e)}
         if not decision["trigger"]:
             return {"decision": decision, "trained": False}
         feats = store.read_table("features")
-        model, _tr, val = ML.train(feats, cfg, max_iter=max_iter)
+        try:
+            model, _tr, val = ML.train(feats, cfg, max_iter=max_iter)
+        except ML.TrainingSkipped as e:  # ML6: too little data is a skip, not a failure
+            return {"decision": decision, "trained": False, "skipped": str(e)}
         counts = MET.split_counts(feats, cfg).first()
         m = ML.evaluate_model(model, val).first().asDict()
         promoted = ML.promote(m["mape"], m["baseline_mape"])
