@@ -165,15 +165,18 @@ def build_features(clean: DataFrame, cfg: Config,
     return features_from_zone_hours(zone_hour_aggregate(clean), cfg, start)
 
 
+def stored_zone_hours(clean: DataFrame) -> DataFrame:
+    """AG1 written once to the shared checkpoint folder (zones x hours rows,
+    independent of the order volume) and read back."""
+    from zonecast.session import materialize  # noqa: PLC0415
+    return materialize(zone_hour_aggregate(clean), "zone-hours")
+
+
 def build_features_once(clean: DataFrame, cfg: Config,
                         start: dt.datetime | None = None) -> DataFrame:
-    """Scan and aggregate the orders exactly once: the zone-hour rows
-    (zones x hours, independent of the order volume) are written to the
-    shared checkpoint folder, and the grid bounds, joins and windows read
-    that small table."""
-    from zonecast.session import materialize  # noqa: PLC0415
-    zh = materialize(zone_hour_aggregate(clean), "zone-hours")
-    return features_from_zone_hours(zh, cfg, start)
+    """Scan and aggregate the orders exactly once: the grid bounds, joins
+    and windows read the small written zone-hour table."""
+    return features_from_zone_hours(stored_zone_hours(clean), cfg, start)
 
 
 def build_features_incremental(clean: DataFrame, cfg: Config, since: dt.datetime,
@@ -190,5 +193,5 @@ def build_features_incremental(clean: DataFrame, cfg: Config, since: dt.datetime
     recent = clean.where(F.col("timestamp") >= F.lit(lower).cast("timestamp_ntz"))
     if cfg.date_partition_col in clean.columns:
         recent = recent.where(F.col(cfg.date_partition_col) >= F.lit(lower.date()))
-    out = build_features(recent, cfg, start=lower)
+    out = build_features_once(recent, cfg, start=lower)
     return out.where(F.col("timestamp") >= F.lit(since).cast("timestamp_ntz"))

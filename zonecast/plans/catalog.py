@@ -71,12 +71,25 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.clean_from_orders(raw(spark, sf_dir), CFG)
 
 
+def _memo(key, make):
+    scope = _SCOPE.get()
+    if scope is not None and key in scope:
+        return scope[key]
+    out = make()
+    if scope is not None:
+        scope[key] = out
+    return out
+
+
 def zone_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FE.zone_hour_aggregate(clean(spark, sf_dir))
+    """AG1 over the whole order set, written once per query (the orders are
+    scanned once; everything after reads zones x hours rows)."""
+    return _memo(("zone_hours", sf_dir),
+                 lambda: FE.stored_zone_hours(clean(spark, sf_dir)))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FE.build_features(clean(spark, sf_dir), CFG)
+    return FE.features_from_zone_hours(zone_hours(spark, sf_dir), CFG)
 
 
 def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,13 +98,8 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports) refer to it several times; reading the written table keeps
     them from re-running the order aggregation per reference. Written
     once per query invocation."""
-    key, scope = ("features", sf_dir), _SCOPE.get()
-    if scope is not None and key in scope:
-        return scope[key]
-    out = materialize(FE.build_features_once(clean(spark, sf_dir), CFG), "features")
-    if scope is not None:
-        scope[key] = out
-    return out
+    return _memo(("features", sf_dir),
+                 lambda: materialize(features(spark, sf_dir), "features"))
 
 
 _FEAT = O.feature_stack(CFG)
@@ -169,8 +177,8 @@ def q_deduplicated_orders(spark, sf_dir):
 @register("hourly_zone_agg", O.with_ctes(*_ZH, body="""
 SELECT zone_id, "timestamp", order_count, is_festival_day, weather_condition FROM zone_hours"""))
 def q_hourly_zone_agg(spark, sf_dir):
-    """FN1, AG1."""
-    return zone_hours(spark, sf_dir)
+    """FN1, AG1 (as one lazy plan: scan, partial aggregate, shuffle, final)."""
+    return FE.zone_hour_aggregate(clean(spark, sf_dir))
 
 
 @register("hour_metadata", O.with_ctes(*_ZH, O.hour_meta_cte(), body="""
