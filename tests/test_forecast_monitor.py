@@ -141,3 +141,9 @@ def test_longer_horizon_keeps_recursion(spark, cfg):
     out = {r.step: r for r in FC.forecast(feats, scorer, cfg, horizon=3).collect()}
     assert abs(out[3].predicted_raw - 30.012) < 1e-9 and out[3].predicted_order_count == 30.01
     assert out[3].lag_2h == out[2].lag_1h and out[3].forecast_hour == ts("2026-03-02 05:00:00")
+
+
+def test_clip_maps_negative_and_nan_to_zero(spark):
+    from zonecast.functions.columns import clip_at_zero
+    df = spark.createDataFrame([(-1.5,), (float("nan"),), (2.5,), (None,)], "p double")
+    assert [r[0] for r in df.select(clip_at_zero("p")).collect()] == [0.0, 0.0, 2.5, None]

@@ -54,8 +54,11 @@ def std_or_zero(c: Column | str) -> Column:
 
 
 def clip_at_zero(c: Column | str) -> Column:
-    """FN15: negative forecasts become 0 (NaN is left to callers, T34)."""
-    return F.greatest(_c(c).cast("double"), F.lit(0.0))
+    """FN15: negative forecasts become 0. NaN becomes 0 too, as Python's
+    max(0.0, nan) does; Spark's greatest would keep NaN, which then compares
+    above every threshold (T34)."""
+    x = _c(c).cast("double")
+    return F.when(F.isnan(x) | (x < 0), F.lit(0.0)).otherwise(x)
 
 
 def round2(c: Column | str) -> Column:
