@@ -123,3 +123,16 @@ def test_training_skips_on_too_little_history(spark, cfg, tmp_root):
     assert out["decision"]["reason"] == "Triggered: No existing model"
     r = st.read_table("pipeline_runs").where(F.col("dag_name") == "model_training").first()
     assert (r.status, r.rows_processed) == ("SUCCESS", 0)
+
+
+def test_quality_gate_on_high_volume_hours(spark, cfg):
+    # F5 (the original's end-to-end gate): on validation hours with at least
+    # 15 orders the learned model's MAPE is below 20 and below seasonal naive.
+    from zonecast.operators import metrics as MET
+    from zonecast.operators import model as ML
+    from zonecast.plans import catalog as C
+    feats = C.features(spark, "/root/testdata/sf0.1").cache()
+    model, _tr, _val = ML.train(feats, cfg, max_iter=50)
+    m = MET.evaluate(ML.score(model, MET.quality_rows(feats, cfg)), baseline="lag_168h").first()
+    assert m.n_rows > 0
+    assert m.mape < 20.0 and m.mape < m.baseline_mape
