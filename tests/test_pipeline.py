@@ -136,3 +136,22 @@ def test_quality_gate_on_high_volume_hours(spark, cfg):
     m = MET.evaluate(ML.score(model, MET.quality_rows(feats, cfg)), baseline="lag_168h").first()
     assert m.n_rows > 0
     assert m.mape < 20.0 and m.mape < m.baseline_mape
+
+
+def test_two_batches_incremental_equals_full(spark, cfg, tmp_root):
+    from zonecast.operators import features as FE
+    st = Store(spark, f"{tmp_root}/wh", cfg)
+    raw = raw_orders_from_testdata(spark, SF_MID, cfg)
+    cut = ts("2024-01-15 12:00:00")
+    st.append("raw_orders", raw.where(F.col("timestamp") < cut))
+    first = J.run_ingest(st, cfg, ts("2024-01-15 13:00:00"))
+    J.run_features(st, cfg, ts("2024-01-15 13:15:00"))
+    st.append("raw_orders", raw.where(F.col("timestamp") >= cut))
+    second = J.run_ingest(st, cfg, ts("2024-01-31 01:00:00"))
+    assert first["total_rows"] + second["total_rows"] == 10000
+    assert st.read_table("clean_orders").count() == 7075
+    J.run_features(st, cfg, ts("2024-01-31 01:15:00"), incremental=True)
+    inc = st.read_table("features")
+    full = FE.build_features(st.read_table("clean_orders"), cfg)
+    assert inc.count() == full.count() == 3600
+    assert inc.exceptAll(full).count() == 0
