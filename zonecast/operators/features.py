@@ -38,15 +38,31 @@ FEATURE_ORDER = (
 def zone_hour_aggregate(clean: DataFrame) -> DataFrame:
     """AG1 (+FN1): per zone and hour: order count, any festival, modal weather.
 
-    Weather ties go to the smallest label (``mode(..., deterministic=True)``).
-    NULL keys are dropped first, as pandas group-bys do (T9).
+    Two steps. Over the orders: count per (zone, hour, weather), a plain
+    hash aggregate with fixed-width buffers and a map-side partial phase
+    (``mode()`` would be an object aggregate that falls back to sorting
+    after 128 groups per task). Over that small output: the zone-hour total,
+    the festival flag, and the label with the most orders, ties to the
+    smallest label (pandas' sorted modes), picked by row_number. NULL keys
+    are dropped first, as pandas group-bys do (T9); a NULL weather counts as
+    an order but is never the mode.
     """
-    return (clean
-            .where(F.col("zone_id").isNotNull() & F.col("timestamp").isNotNull())
-            .groupBy("zone_id", cal.floor_hour("timestamp").alias("timestamp"))
-            .agg(F.count("order_id").cast("int").alias("order_count"),
-                 F.max("is_festival_day").alias("is_festival_day"),
-                 F.mode("weather_condition", True).alias("weather_condition")))
+    per_label = (clean
+                 .where(F.col("zone_id").isNotNull() & F.col("timestamp").isNotNull())
+                 .groupBy("zone_id", cal.floor_hour("timestamp").alias("timestamp"),
+                          "weather_condition")
+                 .agg(F.count("order_id").alias("n"),
+                      F.count(F.lit(1)).alias("rows"),
+                      F.max("is_festival_day").alias("fest")))
+    zh = Window.partitionBy("zone_id", "timestamp")
+    ranked = zh.orderBy(F.desc("rows"), F.asc_nulls_last("weather_condition"))
+    return (per_label
+            .withColumns({"order_count": F.sum("n").over(zh).cast("int"),
+                          "is_festival_day": F.max("fest").over(zh),
+                          "_rank": F.row_number().over(ranked)})
+            .where(F.col("_rank") == 1)
+            .select("zone_id", "timestamp", "order_count", "is_festival_day",
+                    "weather_condition"))
 
 
 def hour_metadata(zone_hours: DataFrame) -> DataFrame:
