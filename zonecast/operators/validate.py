@@ -164,17 +164,26 @@ def dedupe_orders(orders: DataFrame, key: str = "order_id",
     """Primary-key semantics (T14): one row per non-NULL order_id.
 
     Keeps the earliest row, ties broken by the remaining values in column
-    order. Expressed as ``min(struct)`` so Spark combines copies map-side:
-    a hot id holding a third of the batch collapses before the shuffle.
+    order. Duplicates are usually rare, so only they pay for the pick:
+    a hash count over the id column alone finds the duplicated ids (map-side
+    partial counts, so a hot id collapses per task); unique rows pass an
+    anti-join against that id set (broadcast by AQE when its measured size
+    is small, so the batch itself is not shuffled); the duplicated rows
+    take the earliest row with ``min(struct)``, also combined map-side.
     Rows without an id are kept as they are (they are rejected by VAL1).
     """
     rest = [c for c in orders.columns if c not in (key, order_by)]
-    picked = (orders.where(F.col(key).isNotNull())
+    keyed = orders.where(F.col(key).isNotNull())
+    dup_ids = (keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+               .where(F.col("_n") > 1).select(key))
+    unique = keyed.join(dup_ids, key, "left_anti")
+    picked = (keyed.join(dup_ids, key, "left_semi")
               .groupBy(key)
               .agg(F.min(F.struct(order_by, *rest)).alias("_row"))
               .select(key, *[F.col(f"_row.{c}").alias(c) for c in [order_by, *rest]]))
     no_key = orders.where(F.col(key).isNull())
-    return picked.unionByName(no_key).select(*orders.columns)
+    cols = orders.columns
+    return unique.select(*cols).unionByName(picked.select(*cols)).unionByName(no_key.select(*cols))
 
 
 def coerce_flags(df: DataFrame, cols=("is_weekend", "is_festival_day")) -> DataFrame:
