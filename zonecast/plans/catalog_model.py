@@ -11,7 +11,7 @@ from zonecast.operators import metrics as MET
 from zonecast.operators import monitor as MON
 from zonecast.plans import oracle as O
 from zonecast.plans.catalog import CFG, _FEAT, clean, r6, register
-from zonecast.plans.catalog import stored_features as features
+from zonecast.plans.catalog import features
 
 # Columns rounded to 6 places on both sides (float sums, engine-dependent bits).
 ROUNDED = {"rolling_mean_3h", "rolling_mean_24h", "rolling_std_3h", "mape", "rmse", "mae",

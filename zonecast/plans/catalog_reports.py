@@ -10,7 +10,7 @@ from zonecast.operators import monitor as MON
 from zonecast.operators import reports as RP
 from zonecast.plans import oracle as O
 from zonecast.plans.catalog import CFG, _FEAT, _VAL, clean, r6, raw, register
-from zonecast.plans.catalog import stored_features as features
+from zonecast.plans.catalog import features
 from zonecast.plans.catalog_model import (_AVG7, _BACKTEST, _LIN, _MAPE, _RMSE, _MAE,
                                           _msg_sql, backtest)
 
