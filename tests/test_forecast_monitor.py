@@ -147,3 +147,26 @@ def test_clip_maps_negative_and_nan_to_zero(spark):
     from zonecast.functions.columns import clip_at_zero
     df = spark.createDataFrame([(-1.5,), (float("nan"),), (2.5,), (None,)], "p double")
     assert [r[0] for r in df.select(clip_at_zero("p")).collect()] == [0.0, 0.0, 2.5, None]
+
+
+def test_seasonal_naive_scorer_predicts_last_week(spark, cfg):
+    # ML12 as a scorer: the forecast for T+1 is the count 168 hours before it
+    feats = _feature_rows(spark, cfg, list(range(200)))
+    out = {r.step: r for r in FC.forecast(feats, FC.seasonal_naive_scorer(), cfg).collect()}
+    assert out[1].predicted_order_count == float(200 - 168)
+    assert out[2].predicted_order_count == float(201 - 168)
+
+
+def test_timestamp_text_round_trip(spark):
+    # FN21 / FN22
+    from zonecast.functions import calendar as cal
+    df = spark.createDataFrame([("2026-03-02 05:06:07",), ("not a time",)], "t string")
+    got = [r[0] for r in df.select(cal.to_text(cal.from_text("t"))).collect()]
+    assert got == ["2026-03-02 05:06:07", None]
+
+
+def test_jdbc_tables_need_configured_url(spark):
+    from zonecast.sources.store import JdbcTables
+    import pytest
+    with pytest.raises(RuntimeError):
+        JdbcTables(spark).read_table("raw_orders")

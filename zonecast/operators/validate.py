@@ -215,18 +215,6 @@ def validation_counts(validated: DataFrame) -> DataFrame:
     )
 
 
-def validation_metrics() -> list[Column]:
-    """VAL12 as Observation metrics, collected during the sink write."""
-    return [
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col("schema_reason").isNotNull()).alias("schema_invalid"),
-        F.count_if(F.col("range_reason").isNotNull()).alias("range_invalid"),
-        F.count_if(F.col("error_reason").isNull()).alias("clean_rows"),
-        F.count_if(F.col("error_reason").isNotNull()).alias("rejected_rows"),
-        F.max("timestamp").alias("max_timestamp"),
-    ]
-
-
 def validate(orders: DataFrame, cfg: Config, dedupe: bool = True) -> DataFrame:
     """Dedupe (optional) + reasons: the single validated batch plan."""
     base = dedupe_orders(orders) if dedupe else orders

@@ -179,10 +179,7 @@ def q_hourly_zone_agg(spark, sf_dir):
 SELECT "timestamp", hour_weather, hour_festival FROM hour_meta"""))
 def q_hour_metadata(spark, sf_dir):
     """AG2: mode of the zone modes per hour, any festival."""
-    zh = zone_hours(spark, sf_dir)
-    return (zh.groupBy("timestamp")
-            .agg(F.mode("weather_condition", True).alias("hour_weather"),
-                 F.max("is_festival_day").alias("hour_festival")))
+    return FE.hour_metadata(zone_hours(spark, sf_dir))
 
 
 @register("hourly_grid", O.with_ctes(*_FEAT[:-1], body="""

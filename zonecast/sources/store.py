@@ -85,13 +85,6 @@ class Store:
             return self.empty(name)
         return self.spark.read.schema(self.schema(name)).parquet(self.path(name))
 
-    def read_since(self, name: str, ts_col: str, since: dt.datetime) -> DataFrame:
-        """Rows with ``ts_col > since``; the dt predicate prunes partitions."""
-        df = self.read_table(name)
-        if name in DATE_PARTITIONED:
-            df = df.where(F.col(self.cfg.date_partition_col) >= F.lit(since.date()))
-        return df.where(F.col(ts_col) > F.lit(since).cast("timestamp_ntz"))
-
     # ---- appends (SNK1, SNK2, SNK4, SNK5, SNK7, SNK8) -----------------------------------
     def append(self, name: str, df: DataFrame, key: list[str] | None = None,
                since: dt.datetime | None = None) -> None:
