@@ -155,3 +155,15 @@ def test_two_batches_incremental_equals_full(spark, cfg, tmp_root):
     full = FE.build_features(st.read_table("clean_orders"), cfg)
     assert inc.count() == full.count() == 3600
     assert inc.exceptAll(full).count() == 0
+
+
+def test_prediction_job_retry_is_idempotent(spark, cfg, tmp_root):
+    st = Store(spark, f"{tmp_root}/wh", cfg)
+    st.append("raw_orders", raw_orders_from_testdata(spark, SF_SMALL, cfg))
+    as_of = dt.datetime(2024, 1, 31, 1, 0)
+    J.run_ingest(st, cfg, as_of)
+    J.run_features(st, cfg, as_of)
+    J.run_training(st, cfg.with_(min_train_rows=1), as_of, f"{tmp_root}/models", max_iter=2)
+    J.run_predictions(st, cfg, as_of, f"{tmp_root}/models")
+    J.run_predictions(st, cfg, as_of, f"{tmp_root}/models")  # retried run, same as_of
+    assert st.read_table("predictions").count() == 10

@@ -165,12 +165,13 @@ def run_predictions(store: Store, cfg: Config, as_of: dt.datetime, model_dir: st
             raise ValueError("features table is empty; run the feature job first")
         fc = FC.forecast(feats, ML.gbt_scorer(model), cfg)
         preds = FC.prediction_rows(fc, F.lit(as_of))
-        store.append("predictions", preds)
+        # keyed appends: a retried run with the same as_of adds nothing twice
+        store.append("predictions", preds, key=["zone_id", "forecast_hour", "generated_at"])
         batch = store.read_table("predictions").where(
             F.col("generated_at") == F.lit(as_of).cast("timestamp_ntz"))
         alerts = MON.high_demand(batch, MON.seven_day_avg(feats), cfg)
         alerts = alerts.withColumn("created_at", F.lit(as_of).cast("timestamp_ntz"))
-        store.append("alerts", alerts)
+        store.append("alerts", alerts, key=["zone_id", "created_at", "message"])
         store.flag(alerts, as_of)
         box["rows"] = batch.count()
         return box["rows"]
