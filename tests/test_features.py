@@ -25,6 +25,7 @@ def _by(df, zone):
 
 
 def test_lags_do_not_leak_across_zones(spark, cfg):
+    # operators: WN1, WN2, TK1
     # F3
     feats = FE.build_features(_series(spark, cfg, {"Z1": [10, 20, 30], "Z2": [100, 200, 300]}), cfg)
     z1, z2 = _by(feats, "Z1"), _by(feats, "Z2")
@@ -34,6 +35,7 @@ def test_lags_do_not_leak_across_zones(spark, cfg):
 
 
 def test_rolling_mean_needs_full_window(spark, cfg):
+    # operators: WN5, WN6, WN7, FN14
     # F4 + G4: mean 20.0 and sample std 10.0 at 03:00, NULL / 0.0 before
     z1 = _by(FE.build_features(_series(spark, cfg, {"Z1": [10, 20, 30, 40]}), cfg), "Z1")
     assert [r.rolling_mean_3h for r in z1] == [None, None, None, 20.0]
@@ -42,6 +44,7 @@ def test_rolling_mean_needs_full_window(spark, cfg):
 
 
 def test_grid_fills_gaps(spark, cfg):
+    # operators: AG1, AG3, AG4, JN1, JN2, JN3, FN1, FN12, FN13
     # G1: Z1 at 00 and 02, Z2 at 02 -> 5 zones x 3 hours; 01:00 zero/sunny/no festival
     rows = [order("a", zone="Z1", t="2026-01-01 00:10:00", weather="rainy", festival=True),
             order("b", zone="Z1", t="2026-01-01 02:20:00", weather="cloudy"),
@@ -56,6 +59,7 @@ def test_grid_fills_gaps(spark, cfg):
 
 
 def test_mode_tie_takes_smallest_label(spark, cfg):
+    # operators: AG1
     # G2
     rows = [order(f"o{i}", weather=w) for i, w in enumerate(["sunny", "sunny", "rainy", "rainy"])]
     zh = FE.zone_hour_aggregate(orders_df(spark, rows)).first()
@@ -63,6 +67,7 @@ def test_mode_tie_takes_smallest_label(spark, cfg):
 
 
 def test_hour_weather_is_mode_of_zone_modes(spark, cfg):
+    # operators: AG2, FN13
     # Z1 nine sunny orders, Z2 and Z3 one rainy each -> Z4 gets rainy
     rows = [order(f"a{i}", zone="Z1", weather="sunny") for i in range(9)]
     rows += [order("b", zone="Z2", weather="rainy"), order("c", zone="Z3", weather="rainy")]
@@ -71,6 +76,7 @@ def test_hour_weather_is_mode_of_zone_modes(spark, cfg):
 
 
 def test_calendar_features(spark, cfg):
+    # operators: FN2, FN3, FN4, FN5, FN6, FN8, FN9, FN10
     feats = FE.build_features(orders_df(spark, [order("a", t="2027-01-01 13:30:00")]), cfg)
     r = feats.where(F.col("zone_id") == "Z2").first()
     # 2027-01-01 is a Friday in ISO week 53 of 2026
@@ -79,6 +85,7 @@ def test_calendar_features(spark, cfg):
 
 
 def test_grid_properties_on_testdata(spark, cfg):
+    # operators: AG1, AG3, AG4, JN1, JN2, FN12, VAL10
     clean = V.clean_rows(V.validate(raw_orders_from_testdata(spark, SF_MID, cfg), cfg, dedupe=False))
     feats = FE.build_features(clean, cfg)
     n_hours = feats.select("timestamp").distinct().count()
@@ -88,6 +95,7 @@ def test_grid_properties_on_testdata(spark, cfg):
 
 
 def test_incremental_equals_full(spark, cfg):
+    # operators: WN1, WN2, WN3, WN4, WN5, WN6, WN7
     clean = V.clean_rows(V.validate(raw_orders_from_testdata(spark, SF_MID, cfg), cfg, dedupe=False))
     full = FE.build_features(clean, cfg)
     since = ts("2024-01-20 05:00:00")

@@ -19,6 +19,7 @@ def _feature_rows(spark, cfg, counts, zone="Z1", start="2026-03-02 00:00:00", ra
 
 
 def test_mape_masks_zero_actuals(spark):
+    # operators: AG7, FLT9
     # G8
     df = spark.createDataFrame([(0.0, 5.0), (10.0, 9.0), (20.0, 25.0)], "a double, p double")
     assert round(df.agg(M.mape("a", "p")).first()[0], 9) == 17.5
@@ -27,6 +28,7 @@ def test_mape_masks_zero_actuals(spark):
 
 
 def test_recursion_feeds_unrounded_prediction(spark, cfg):
+    # operators: ML8, ML9, WN9, ST1, ST2, FN15, FN16
     # Scorer lag_1h + 0.004 over counts 10, 20, 30
     feats = _feature_rows(spark, cfg, [10, 20, 30])
     scorer = lambda df: df.withColumn("prediction", F.col("lag_1h") + 0.004)
@@ -39,6 +41,7 @@ def test_recursion_feeds_unrounded_prediction(spark, cfg):
 
 
 def test_short_history_fallbacks(spark, cfg):
+    # operators: ML9, ML10
     # One row with count 4
     r = [x for x in FC.forecast(_feature_rows(spark, cfg, [4]), FC.linear_scorer(), cfg).collect()
          if x.step == 1][0]
@@ -48,12 +51,14 @@ def test_short_history_fallbacks(spark, cfg):
 
 
 def test_weather_carry_option(spark, cfg):
+    # operators: ML10, FN8
     feats = _feature_rows(spark, cfg, [4, 5], rainy=1)
     rows = FC.forecast(feats, FC.linear_scorer(), cfg.with_(forecast_weather="carry")).collect()
     assert {r.weather_rainy for r in rows} == {1}
 
 
 def test_demand_status_tiers(spark, cfg):
+    # operators: FN17
     # G11
     df = spark.createDataFrame([(10.0, 15.1), (10.0, 15.0), (10.0, 12.0), (None, 7.6)],
                                "a double, p double")
@@ -63,6 +68,7 @@ def test_demand_status_tiers(spark, cfg):
 
 
 def test_alert_and_flags(spark, cfg):
+    # operators: ML11, JN6, JN9, SNK6, FN18
     # Average 10, predictions 15.0 and 15.1 -> one alert; flags every batch
     h = ts("2026-03-02 05:00:00")
     preds = spark.createDataFrame(
@@ -82,6 +88,7 @@ def test_alert_and_flags(spark, cfg):
 
 
 def test_zero_average_message(spark, cfg):
+    # operators: FN18
     df = spark.createDataFrame([("Z1", ts("2026-01-01 00:00:00"), 3.0)],
                                "zone_id string, forecast_hour timestamp_ntz, predicted_order_count double")
     avg = spark.createDataFrame([("Z1", 0.0)], "zone_id string, avg_orders double")
@@ -96,6 +103,7 @@ def _pairs(spark, n, ape):
 
 
 def test_drift_decision(spark, cfg):
+    # operators: ML7, AG7
     # G13
     low = MON.drift_decision(_pairs(spark, 4, 50.0), cfg).first()
     assert low.reason == "Triggered: Low prediction history" and low.trigger
@@ -110,6 +118,7 @@ def test_drift_decision(spark, cfg):
 
 
 def test_latest_run_per_dag(spark, cfg):
+    # operators: WN8, RP5, RP6, FLT8
     # G14 + RP5/RP6
     runs = spark.createDataFrame(
         [("ingest_and_validate", ts("2026-01-01 01:00:00"), "SUCCESS", 5),
@@ -127,6 +136,7 @@ def test_latest_run_per_dag(spark, cfg):
 
 
 def test_seven_day_window_includes_both_ends(spark, cfg):
+    # operators: AG5, FLT5
     # 169 hourly rows per zone when the history is long enough
     feats = _feature_rows(spark, cfg, [1] * 200)
     assert feats.where(F.col("timestamp") >= ts("2026-03-02 00:00:00") +
@@ -136,6 +146,7 @@ def test_seven_day_window_includes_both_ends(spark, cfg):
 
 
 def test_longer_horizon_keeps_recursion(spark, cfg):
+    # operators: ML8, ST1, ST2
     feats = _feature_rows(spark, cfg, [10, 20, 30])
     scorer = lambda df: df.withColumn("prediction", F.col("lag_1h") + 0.004)
     out = {r.step: r for r in FC.forecast(feats, scorer, cfg, horizon=3).collect()}
@@ -144,12 +155,14 @@ def test_longer_horizon_keeps_recursion(spark, cfg):
 
 
 def test_clip_maps_negative_and_nan_to_zero(spark):
+    # operators: FN15
     from zonecast.functions.columns import clip_at_zero
     df = spark.createDataFrame([(-1.5,), (float("nan"),), (2.5,), (None,)], "p double")
     assert [r[0] for r in df.select(clip_at_zero("p")).collect()] == [0.0, 0.0, 2.5, None]
 
 
 def test_seasonal_naive_scorer_predicts_last_week(spark, cfg):
+    # operators: ML12, WN10
     # ML12 as a scorer: the forecast for T+1 is the count 168 hours before it
     feats = _feature_rows(spark, cfg, list(range(200)))
     out = {r.step: r for r in FC.forecast(feats, FC.seasonal_naive_scorer(), cfg).collect()}
@@ -158,6 +171,7 @@ def test_seasonal_naive_scorer_predicts_last_week(spark, cfg):
 
 
 def test_timestamp_text_round_trip(spark):
+    # operators: FN21, FN22
     # FN21 / FN22
     from zonecast.functions import calendar as cal
     df = spark.createDataFrame([("2026-03-02 05:06:07",), ("not a time",)], "t string")
@@ -166,6 +180,7 @@ def test_timestamp_text_round_trip(spark):
 
 
 def test_jdbc_tables_need_configured_url(spark):
+    # operators: SRC2
     from zonecast.sources.store import JdbcTables
     import pytest
     with pytest.raises(RuntimeError):

@@ -16,6 +16,7 @@ import oracle_check  # noqa: E402
 
 
 def test_watermark_read_and_advance(spark, cfg, tmp_root):
+    # operators: SRC1, SNK1, SNK2, SNK11, AG19, VAL10
     # Only rows after the watermark are read; the new watermark is the
     # newest event time, including a rejected row.
     st = Store(spark, tmp_root, cfg)
@@ -32,6 +33,7 @@ def test_watermark_read_and_advance(spark, cfg, tmp_root):
 
 
 def test_cap_with_ties(spark, cfg):
+    # operators: TK2
     rows = [order("a", t="2026-01-01 01:00:00"), order("b", t="2026-01-01 02:00:00"),
             order("c", t="2026-01-01 02:00:00"), order("d", t="2026-01-01 03:00:00")]
     out = J.read_new_orders(orders_df(spark, rows), ts("2026-01-01 00:00:00"), cap=2)
@@ -39,6 +41,7 @@ def test_cap_with_ties(spark, cfg):
 
 
 def test_idempotent_append(spark, cfg, tmp_root):
+    # operators: SNK1
     # The same batch twice adds nothing the second time
     st = Store(spark, tmp_root, cfg)
     clean = orders_df(spark, [order("a"), order("b")]).withColumn("ingested_at", F.lit(None))
@@ -48,6 +51,7 @@ def test_idempotent_append(spark, cfg, tmp_root):
 
 
 def test_end_to_end_jobs(spark, cfg, tmp_root):
+    # operators: SRC1, SRC2, SRC3, SRC4, SRC5, SRC6, SNK1, SNK2, SNK3, SNK4, SNK5, SNK7, SNK8, SNK10, SNK12, ML1, ML2, ML3, ML4, ML5
     st = Store(spark, f"{tmp_root}/wh", cfg)
     st.append("raw_orders", raw_orders_from_testdata(spark, SF_MID, cfg))
     as_of = dt.datetime(2024, 1, 31, 1, 0)
@@ -67,6 +71,7 @@ def test_end_to_end_jobs(spark, cfg, tmp_root):
 
 
 def test_prediction_job_without_model_logs_failure(spark, cfg, tmp_root):
+    # operators: SRC6, SNK9
     st = Store(spark, tmp_root, cfg)
     try:
         J.run_predictions(st, cfg, ts("2026-01-01 00:00:00"), f"{tmp_root}/models")
@@ -78,6 +83,7 @@ def test_prediction_job_without_model_logs_failure(spark, cfg, tmp_root):
 
 
 def test_model_beats_seasonal_naive(spark, cfg):
+    # operators: ML1, ML2, ML3, ML4, ML5, AG8, AG9, AG10, AG11, FLT1, FLT2
     # F5 in spirit: the learned model is promoted over the seasonal-naive baseline
     from zonecast.operators import model as ML
     from zonecast.plans import catalog as C
@@ -97,6 +103,7 @@ def test_entry_and_catalog(spark):
 
 
 def test_differential_small(spark):
+    # operators: VAL1, VAL9, WN1, WN7, ML8, ML7, RP5
     """A few registered queries against their DuckDB SQL at sf0.001."""
     import duckdb
     import __spark_entry__ as E
@@ -112,6 +119,7 @@ def test_differential_small(spark):
 
 
 def test_training_skips_on_too_little_history(spark, cfg, tmp_root):
+    # operators: ML6, ML7, SNK8
     # ML6: below the minimum rows the run is skipped and logged as SUCCESS with 0
     st = Store(spark, f"{tmp_root}/wh", cfg)
     st.append("raw_orders", raw_orders_from_testdata(spark, SF_SMALL, cfg))
@@ -126,6 +134,7 @@ def test_training_skips_on_too_little_history(spark, cfg, tmp_root):
 
 
 def test_quality_gate_on_high_volume_hours(spark, cfg):
+    # operators: FLT3, ML3, ML4, AG10
     # F5 (the original's end-to-end gate): on validation hours with at least
     # 15 orders the learned model's MAPE is below 20 and below seasonal naive.
     from zonecast.operators import metrics as MET
@@ -139,6 +148,7 @@ def test_quality_gate_on_high_volume_hours(spark, cfg):
 
 
 def test_two_batches_incremental_equals_full(spark, cfg, tmp_root):
+    # operators: SRC1, SNK1, SNK3, SNK11, AG19
     from zonecast.operators import features as FE
     st = Store(spark, f"{tmp_root}/wh", cfg)
     raw = raw_orders_from_testdata(spark, SF_MID, cfg)
@@ -158,6 +168,7 @@ def test_two_batches_incremental_equals_full(spark, cfg, tmp_root):
 
 
 def test_prediction_job_retry_is_idempotent(spark, cfg, tmp_root):
+    # operators: SNK4, SNK5
     st = Store(spark, f"{tmp_root}/wh", cfg)
     st.append("raw_orders", raw_orders_from_testdata(spark, SF_SMALL, cfg))
     as_of = dt.datetime(2024, 1, 31, 1, 0)
@@ -170,6 +181,7 @@ def test_prediction_job_retry_is_idempotent(spark, cfg, tmp_root):
 
 
 def test_cap_cutoff_matches_sorting(spark, cfg):
+    # operators: TK2, SRC1
     # exact cut-off (whole ties) on real data, against a plain sort
     raw = raw_orders_from_testdata(spark, SF_MID, cfg)
     for cap in (1, 137, 5000, 9999):

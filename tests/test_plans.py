@@ -19,12 +19,14 @@ def _plan(spark, name):
                                   "dag_status", "alert_log", "flagged_predictions",
                                   "deduplicated_orders", "incremental_batch"])
 def test_no_cartesian_no_python(spark, name):
+    # operators: JN1
     plan = _plan(spark, name)
     for op in FORBIDDEN:
         assert op not in plan, (name, op)
 
 
 def test_order_aggregate_is_combined_map_side(spark):
+    # operators: AG1
     # AG1: partial aggregate below the shuffle, so hot zones collapse per task
     # and a plain hash aggregate (fixed-width buffers), no object aggregate
     # that would fall back to sorting beyond 128 groups per task
@@ -35,16 +37,19 @@ def test_order_aggregate_is_combined_map_side(spark):
 
 
 def test_scan_pushdown_and_pruning(spark):
+    # operators: SRC1, TK2
     plan = _plan(spark, "incremental_batch")
     assert "GreaterThan(ts," in plan  # watermark predicate reaches the Parquet scan
     assert "props" not in plan.split("ReadSchema")[1]  # unused column not read
 
 
 def test_latest_per_group_uses_group_limit(spark):
+    # operators: WN8
     assert "WindowGroupLimit" in _plan(spark, "latest_runs")
 
 
 def test_lags_share_one_window(spark):
+    # operators: WN1, WN2, WN3, WN4, WN5, WN6, WN7
     # all four lags in one Window node; the hour-metadata window is pruned
     # away when its columns are not selected, and present in the full table
     plan = _plan(spark, "lag_features")

@@ -11,6 +11,7 @@ def _write_files(spark, root, batches):
 
 
 def test_hourly_counts_drop_rows_behind_the_watermark(spark, cfg, tmp_root):
+    # operators: SM3, AG6
     # Spark filters late input against the watermark of the batch before
     # (multi-operator semantics), so the late row comes one batch after
     # the watermark has moved past its window.
@@ -32,6 +33,7 @@ def test_hourly_counts_drop_rows_behind_the_watermark(spark, cfg, tmp_root):
 
 
 def test_stream_dedup_within_bound(spark, cfg, tmp_root):
+    # operators: SM2
     _write_files(spark, tmp_root, [
         [order("x", t="2026-01-01 10:00:00"), order("y", t="2026-01-01 10:05:00")],
         [order("x", t="2026-01-01 10:30:00", value=9.0), order("z", t="2026-01-01 10:40:00")],
@@ -43,6 +45,7 @@ def test_stream_dedup_within_bound(spark, cfg, tmp_root):
 
 
 def test_validated_stream_splits_like_batch(spark, cfg, tmp_root):
+    # operators: SM1, VAL6, VAL7
     _write_files(spark, tmp_root, [[order("ok"), order("bad", zone="Z7")], [order("ok2", items=0)]])
     stream = S.read_stream(spark, f"{tmp_root}/src", RAW_ORDERS, max_files=1)
     S.validate_stream(spark, stream, cfg, f"{tmp_root}/clean", f"{tmp_root}/rej", f"{tmp_root}/ckpt")

@@ -11,6 +11,7 @@ def _reasons(spark, cfg, rows):
 
 
 def test_null_zone_is_missing_and_invalid(spark, cfg):
+    # operators: VAL1, VAL7, VAL9
     # F1 + G6: schema reason, then the range group after ' | '
     r = _reasons(spark, cfg, [order("test-order-1", zone=None)])["test-order-1"]
     assert "Missing required field: zone_id" in r["schema_reason"]
@@ -18,6 +19,7 @@ def test_null_zone_is_missing_and_invalid(spark, cfg):
 
 
 def test_out_of_range_values(spark, cfg):
+    # operators: VAL5, VAL6, VAL8
     # both range reasons, joined with '; '
     r = _reasons(spark, cfg, [order("test-order-2", value=-10.0, items=25)])["test-order-2"]
     assert "order_value is not positive: -10.0" in r["range_reason"]
@@ -28,22 +30,26 @@ def test_out_of_range_values(spark, cfg):
 
 
 def test_null_order_value_fires_missing_and_not_numeric(spark, cfg):
+    # operators: VAL1, VAL2, VAL8
     # VAL1 and VAL2 both fire; VAL5 is silent on an unparseable value
     r = _reasons(spark, cfg, [order("o", value=None)])["o"]
     assert r["error_reason"] == "Missing required field: order_value; order_value is not numeric"
 
 
 def test_nan_is_not_numeric(spark, cfg):
+    # operators: VAL2
     r = _reasons(spark, cfg, [order("o", value=float("nan"))])["o"]
     assert r["error_reason"] == "order_value is not numeric"
 
 
 def test_clean_row_has_no_reason(spark, cfg):
+    # operators: VAL9
     r = _reasons(spark, cfg, [order("ok", zone="Z3")])["ok"]
     assert r["error_reason"] is None
 
 
 def test_string_inputs_follow_python_conversions(spark, cfg):
+    # operators: VAL1, VAL2, VAL3, VAL4, VAL7
     # T11: '3.7' is not an integer, ' 3 ' is, blank is missing
     df = spark.createDataFrame(
         [("a", "Z1", "2026-01-01 00:00:00", "12.5", "3.7", "10"),
@@ -59,6 +65,7 @@ def test_string_inputs_follow_python_conversions(spark, cfg):
 
 
 def test_split_and_counts(spark, cfg):
+    # operators: VAL10, VAL12
     rows = [order("a"), order("b", zone="Z9"), order("c", items=0), order("d", zone="Z2")]
     v = V.with_reasons(orders_df(spark, rows), cfg)
     assert sorted(r.order_id for r in V.clean_rows(v).collect()) == ["a", "d"]
@@ -69,6 +76,7 @@ def test_split_and_counts(spark, cfg):
 
 
 def test_dedupe_keeps_earliest_and_null_ids(spark, cfg):
+    # operators: VAL10
     rows = [order("x", t="2026-01-01 10:00:00", value=2.0),
             order("x", t="2026-01-01 09:00:00", value=1.0),
             order(None, value=3.0), order(None, value=4.0)]
@@ -79,12 +87,14 @@ def test_dedupe_keeps_earliest_and_null_ids(spark, cfg):
 
 
 def test_flags_coerced(spark, cfg):
+    # operators: VAL11
     rows = [order("a", weekend=None, festival=None)]
     r = V.clean_rows(V.with_reasons(orders_df(spark, rows), cfg)).first()
     assert r.is_weekend is False and r.is_festival_day is False
 
 
 def test_hot_duplicate_group_collapses(spark, cfg):
+    # operators: VAL10
     # a third of the rows share one id: one survivor, no row lost elsewhere
     rows = [order("hot", t=f"2026-01-01 0{i % 10}:00:00") for i in range(30)]
     rows += [order(f"id{i}") for i in range(60)]
@@ -94,6 +104,7 @@ def test_hot_duplicate_group_collapses(spark, cfg):
 
 
 def test_boolean_predicate_matches_reasons(spark, cfg):
+    # operators: VAL10
     from conftest import SF_MID
     from zonecast.sources.adapters import raw_orders_from_testdata
     raw = raw_orders_from_testdata(spark, SF_MID, cfg)
@@ -103,6 +114,7 @@ def test_boolean_predicate_matches_reasons(spark, cfg):
 
 
 def test_flag_counts_match_text_counts(spark, cfg):
+    # operators: VAL10, VAL12
     from conftest import SF_MID
     from zonecast.sources.adapters import raw_orders_from_testdata
     raw = raw_orders_from_testdata(spark, SF_MID, cfg)

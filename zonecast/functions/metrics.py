@@ -15,7 +15,7 @@ def _c(c: Column | str) -> Column:
 
 
 def mape(actual: Column | str, pred: Column | str) -> Column:
-    """AG7: 100 * mean(|a - p| / a) over a > 0; 0.0 when no a > 0."""
+    """AG7 + FLT9: 100 * mean(|a - p| / a) over a > 0; 0.0 when no a > 0."""
     a, p = _c(actual), _c(pred)
     ape = F.when(a > 0, F.abs(a - p) / a)
     return F.coalesce(F.avg(ape) * F.lit(100.0), F.lit(0.0))

@@ -108,7 +108,7 @@ ORDER_COLS = ("order_id, zone_id, \"timestamp\", order_value, items_count, "
 @register("validation_reasons", O.with_ctes(*_VAL, body="""
 SELECT order_id, schema_reason, range_reason, error_reason FROM validated"""))
 def q_validation_reasons(spark, sf_dir):
-    """VAL1-VAL9: per-order schema, range and merged reasons."""
+    """VAL1-VAL9 (JN7 as a per-row merge): per-order schema, range and merged reasons."""
     return validated(spark, sf_dir).select(
         "order_id", "schema_reason", "range_reason", "error_reason")
 
@@ -138,7 +138,7 @@ def q_validation_reason_counts(spark, sf_dir):
 
 @register("clean_orders", O.with_ctes(*_VAL, body=f"SELECT {ORDER_COLS} FROM clean"))
 def q_clean_orders(spark, sf_dir):
-    """VAL10, VAL11 (clean side), FN23."""
+    """VAL10, VAL11 (clean side, JN8 as a filter), FN23."""
     return clean(spark, sf_dir)
 
 
@@ -203,7 +203,7 @@ def q_time_features(spark, sf_dir):
 @register("lag_features", O.with_ctes(*_FEAT, body="""
 SELECT zone_id, "timestamp", order_count, lag_1h, lag_2h, lag_24h, lag_168h FROM features"""))
 def q_lag_features(spark, sf_dir):
-    """WN1-WN4."""
+    """WN1-WN4 (TK1: ordered inside the window)."""
     return features(spark, sf_dir).select(
         "zone_id", "timestamp", "order_count", "lag_1h", "lag_2h", "lag_24h", "lag_168h")
 

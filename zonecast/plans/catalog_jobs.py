@@ -81,9 +81,9 @@ def _trained(spark, sf_dir):
 
 @register("gbt_metrics")
 def q_gbt_metrics(spark, sf_dir):
-    """ML1-ML5: fit on the training part, evaluate on validation against the
-    seasonal-naive baseline (rows-only check: MLlib trees are not equal to
-    the original booster's numbers)."""
+    """ML1-ML6 (guards), WN10: fit on the training part, evaluate on
+    validation against the seasonal-naive baseline (rows-only check: MLlib
+    trees are not equal to the original booster's numbers)."""
     _feats, model, val = _trained(spark, sf_dir)
     return ML.evaluate_model(model, val)
 
@@ -166,8 +166,9 @@ def _ingested_store(spark, sf_dir):
 
 @register("job_ingest_clean", O.with_ctes(*_VAL, body=f"SELECT {ORDER_COLS} FROM clean"))
 def q_job_ingest_clean(spark, sf_dir):
-    """The ingest job (SRC1 watermark read, dedup, VAL, SNK1) on a fresh
-    date-partitioned store; its clean_orders table equals the batch result."""
+    """The ingest job on a fresh date-partitioned store (SRC1 watermark read,
+    SRC2 and SRC4 declared reads, SRC5 dt partitions, dedup, VAL1-VAL12, SNK1,
+    SNK11); its clean_orders table equals the batch result."""
     st = _ingested_store(spark, sf_dir)
     return st.read_table("clean_orders").drop("ingested_at", CFG.date_partition_col)
 
@@ -178,7 +179,7 @@ SELECT order_id, zone_id, "timestamp", order_value, items_count, delivery_time_m
        coalesce(is_festival_day, false) AS is_festival_day, error_reason
 FROM validated WHERE error_reason IS NOT NULL"""))
 def q_job_ingest_rejected(spark, sf_dir):
-    """The ingest job's quarantine table (SNK2)."""
+    """The ingest job's quarantine table (SNK2, VAL10)."""
     st = _ingested_store(spark, sf_dir)
     return st.read_table("validation_errors").drop(
         "rejected_at", "error_id", CFG.date_partition_col)
@@ -187,7 +188,8 @@ def q_job_ingest_rejected(spark, sf_dir):
 @register("job_features", O.with_ctes(*_FEAT, body=f"SELECT {FEATURE_SELECT} FROM features"))
 def q_job_features(spark, sf_dir):
     """Ingest, then the feature job (orders scanned once, versioned
-    overwrite SNK3); the committed version equals the feature table."""
+    overwrite SNK3, read back through the commit log SRC3); the committed
+    version equals the feature table."""
     from zonecast.plans.jobs import run_features  # noqa: PLC0415
     st = _ingested_store(spark, sf_dir)
     run_features(st, CFG, JOB_AS_OF)
