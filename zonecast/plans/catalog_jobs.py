@@ -90,9 +90,16 @@ def q_gbt_metrics(spark, sf_dir):
 
 @register("gbt_forecast")
 def q_gbt_forecast(spark, sf_dir):
-    """ML8 with the trained model as scorer: T+1, T+2 for every zone."""
+    """ML8 with the trained model as scorer: T+1, T+2 for every zone. The
+    model goes through its artefact life cycle first: saved under a
+    time-stamped name (SNK12), pointer moved, located and loaded (SRC6)."""
+    from zonecast.sources.store import Store  # noqa: PLC0415
     feats, model, _val = _trained(spark, sf_dir)
-    fc = FC.forecast(feats, ML.gbt_scorer(model), CFG)
+    st = Store(spark, S.scratch(spark, "gbt-store"), CFG)
+    model_dir = S.scratch(spark, "gbt-models")
+    st.set_model_pointer(ML.save_model(model, model_dir, JOB_AS_OF), JOB_AS_OF)
+    loaded, _path = ML.load_latest_model(st, model_dir)
+    fc = FC.forecast(feats, ML.gbt_scorer(loaded), CFG)
     return fc.select("zone_id", "forecast_hour", "step", "predicted_order_count")
 
 

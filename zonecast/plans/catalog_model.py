@@ -61,7 +61,7 @@ def q_training_split_counts(spark, sf_dir):
 SELECT round(mape, 6) AS mape, round(rmse, 6) AS rmse, round(mae, 6) AS mae, n_rows
 FROM (SELECT {_metrics_sql("order_count", "lag_168h")} FROM val)"""))
 def q_seasonal_naive_metrics(spark, sf_dir):
-    """AG7-AG10, ML12: baseline metrics on the validation part."""
+    """AG7-AG10, FLT9, ML12: baseline metrics on the validation part."""
     m = MET.seasonal_naive_metrics(features(spark, sf_dir), CFG)
     return m.select(*_sel(["mape", "rmse", "mae", "n_rows"]))
 
