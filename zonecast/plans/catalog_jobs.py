@@ -1,4 +1,5 @@
-"""Registered queries: incremental ingest/features, boosted trees, streams."""
+"""Registered queries: incremental ingest/features, boosted trees, streams,
+and the ingest/feature jobs themselves on a scratch store."""
 
 from __future__ import annotations
 
@@ -13,18 +14,20 @@ from zonecast.operators import forecast as FC
 from zonecast.operators import model as ML
 from zonecast.operators import validate as V
 from zonecast.plans import oracle as O
-from zonecast.plans.catalog import (CFG, FEATURE_SELECT, ORDER_COLS, _FEAT, _VAL, clean,
-                                    features, r6, raw, register)
+from zonecast.plans.catalog import (CFG, FEATURE_SELECT, ORDER_COLS, _FEAT, _VAL, _memo,
+                                    clean, features, r6, raw, register)
 from zonecast.plans.catalog_model import _ACTUAL
-from zonecast.plans.jobs import read_new_orders
+from zonecast.plans.jobs import read_new_orders, run_features, run_ingest
 from zonecast.session import materialize
 from zonecast.sources.adapters import events_as_orders
+from zonecast.sources.store import Store
 from zonecast.streaming import ingest_stream as S
 
 # Fixed parameters of the incremental checks: state as after earlier runs.
 WATERMARK = CFG.split_date          # SRC1: rows strictly after it
 REFERENCE_CAP = 500_000             # TK2: the original batch cap
 GBT_ITERATIONS = 20                 # bounded cost for the driver check; jobs use cfg.max_iter
+JOB_AS_OF = dt.datetime(2024, 1, 31, 1, 0)  # the jobs' run time (after the last event)
 
 _WM = f"TIMESTAMP '{WATERMARK:%Y-%m-%d %H:%M:%S}'"
 
@@ -93,7 +96,6 @@ def q_gbt_forecast(spark, sf_dir):
     """ML8 with the trained model as scorer: T+1, T+2 for every zone. The
     model goes through its artefact life cycle first: saved under a
     time-stamped name (SNK12), pointer moved, located and loaded (SRC6)."""
-    from zonecast.sources.store import Store  # noqa: PLC0415
     feats, model, _val = _trained(spark, sf_dir)
     st = Store(spark, S.scratch(spark, "gbt-store"), CFG)
     model_dir = S.scratch(spark, "gbt-models")
@@ -145,30 +147,20 @@ def q_stream_hourly_counts(spark, sf_dir):
     (watermark 2 h), drained in complete mode; equals AG6."""
     base = S.scratch(spark, "stream-hourly")
     orders = _order_stream(spark, sf_dir)
-    clean_stream = V.clean_rows(V.with_reasons(orders, CFG))
+    clean_stream = V.clean_from_orders(orders, CFG)
     S.drain_complete(S.hourly_counts_stream(clean_stream), f"{base}/out", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/out")
 
 
 # ---- the jobs themselves on a scratch store (SNK1-SNK3, SNK11, SRC1-SRC5) -----------------
 
-JOB_AS_OF = dt.datetime(2024, 1, 31, 1, 0)
-
-
-def _ingested_store(spark, sf_dir):
-    from zonecast.plans.catalog import _SCOPE  # noqa: PLC0415
-    from zonecast.plans.jobs import run_ingest  # noqa: PLC0415
-    from zonecast.sources.store import Store  # noqa: PLC0415
-    scope = _SCOPE.get()
-    key = ("store", sf_dir)
-    if scope is not None and key in scope:
-        return scope[key]
-    st = Store(spark, S.scratch(spark, "job-store"), CFG)
-    st.append("raw_orders", raw(spark, sf_dir))
-    run_ingest(st, CFG, JOB_AS_OF)
-    if scope is not None:
-        scope[key] = st
-    return st
+def _ingested_store(spark, sf_dir) -> Store:
+    def make() -> Store:
+        st = Store(spark, S.scratch(spark, "job-store"), CFG)
+        st.append("raw_orders", raw(spark, sf_dir))
+        run_ingest(st, CFG, JOB_AS_OF)
+        return st
+    return _memo(("store", sf_dir), make)
 
 
 @register("job_ingest_clean", O.with_ctes(*_VAL, body=f"SELECT {ORDER_COLS} FROM clean"))
@@ -197,7 +189,6 @@ def q_job_features(spark, sf_dir):
     """Ingest, then the feature job (orders scanned once, versioned
     overwrite SNK3, read back through the commit log SRC3); the committed
     version equals the feature table."""
-    from zonecast.plans.jobs import run_features  # noqa: PLC0415
     st = _ingested_store(spark, sf_dir)
     run_features(st, CFG, JOB_AS_OF)
     out = st.read_table("features")
