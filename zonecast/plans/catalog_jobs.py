@@ -193,3 +193,14 @@ def q_job_features(spark, sf_dir):
     run_features(st, CFG, JOB_AS_OF)
     out = st.read_table("features")
     return out.select(*[r6(x) if x == "rolling_std_3h" else F.col(x) for x in FE.FEATURE_ORDER])
+
+
+@register("stream_store_clean", O.with_ctes(*_VAL, body=f"SELECT {ORDER_COLS} FROM clean"))
+def q_stream_store_clean(spark, sf_dir):
+    """SM1 into the store: the order stream runs through the ingest job's
+    per-batch step (dedup, VAL1-VAL12, keyed appends SNK1/SNK2); the stored
+    clean_orders table equals the batch result."""
+    st = Store(spark, S.scratch(spark, "stream-store"), CFG)
+    S.ingest_stream_to_store(st, CFG, _order_stream(spark, sf_dir),
+                             S.scratch(spark, "stream-store-ckpt"), lambda _b: JOB_AS_OF)
+    return st.read_table("clean_orders").drop("ingested_at", CFG.date_partition_col)

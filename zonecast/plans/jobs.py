@@ -14,7 +14,7 @@ import datetime as dt
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.config import DAG_NAMES, RUN_FAILED, RUN_SUCCESS, Config
@@ -97,6 +97,33 @@ def read_new_orders(raw: DataFrame, watermark: dt.datetime, cap: int | None = No
     return out
 
 
+def ingest_batch(store: Store, cfg: Config, batch: DataFrame, as_of: dt.datetime,
+                 since: dt.datetime) -> dict:
+    """Dedup, validate and append one batch (SNK1, SNK2, VAL1-VAL12).
+
+    Rows carry two booleans (no text); reason text is built for rejected
+    rows only. The counters are one aggregate over the persisted batch after
+    the writes (it reads cached blocks; an Observation cannot be read back
+    inside a streaming foreachBatch). Appends are keyed, so a retried batch
+    adds nothing twice; ``since`` (no later than the batch's oldest event)
+    bounds the partitions the key check reads. Shared by the hourly job and
+    the streaming sink.
+    """
+    flagged = (V.with_flags(V.dedupe_orders(batch), cfg)
+               .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        clean, rejected = V.split_flagged(flagged, cfg)
+        stamp = F.lit(as_of).cast("timestamp_ntz")
+        store.append("clean_orders", clean.withColumn("ingested_at", stamp),
+                     key=["order_id"], since=since)
+        rejected = (rejected.withColumn("rejected_at", stamp)
+                    .withColumn("error_id", F.xxhash64("order_id", "error_reason", "rejected_at")))
+        store.append("validation_errors", rejected, key=["order_id", "timestamp"], since=since)
+        return flagged.agg(*V.flag_counts()).first().asDict()
+    finally:
+        flagged.unpersist()
+
+
 def run_ingest(store: Store, cfg: Config, as_of: dt.datetime) -> dict:
     """Job 1: raw_orders -> clean_orders | validation_errors, watermark."""
     with _logged(store, DAG_NAMES[0], as_of) as box:
@@ -107,23 +134,7 @@ def run_ingest(store: Store, cfg: Config, as_of: dt.datetime) -> dict:
             else batch
         if batch.isEmpty():  # SNK10: log 0 and stop (T23)
             return {"total_rows": 0, "clean_rows": 0, "rejected_rows": 0, "watermark": wm}
-        obs = Observation("ingest")
-        # Rows carry two booleans (no text); the counters are observed during
-        # the first write; reason text is built for rejected rows only.
-        flagged = (V.with_flags(V.dedupe_orders(batch), cfg)
-                   .observe(obs, *V.flag_counts())
-                   .persist(StorageLevel.MEMORY_AND_DISK))
-        try:
-            clean, rejected = V.split_flagged(flagged, cfg)
-            stamp = F.lit(as_of).cast("timestamp_ntz")
-            store.append("clean_orders", clean.withColumn("ingested_at", stamp),
-                         key=["order_id"], since=wm)
-            rejected = (rejected.withColumn("rejected_at", stamp)
-                        .withColumn("error_id", F.xxhash64("order_id", "error_reason", "rejected_at")))
-            store.append("validation_errors", rejected, key=["order_id", "timestamp"], since=wm)
-            m = obs.get
-        finally:
-            flagged.unpersist()
+        m = ingest_batch(store, cfg, batch, as_of, since=wm)
         # SNK11: the newest event time of the batch, rejected rows included.
         store.save_watermark("raw_orders", m["max_timestamp"], as_of)
         box["rows"] = m["clean_rows"]  # VAL12: rows_processed = clean rows

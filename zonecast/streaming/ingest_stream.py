@@ -13,6 +13,7 @@ back on output.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -88,6 +89,25 @@ def validate_stream(spark: SparkSession, orders: DataFrame, cfg: Config, clean_p
     _run(orders, sink, checkpoint)
 
 
+def ingest_stream_to_store(store, cfg: Config, orders: DataFrame, checkpoint: str,
+                           as_of_fn: Callable[[int], dt.datetime] | None = None) -> None:
+    """SM1 into the store: each micro-batch goes through the ingest job's
+    per-batch step (dedup, validation, keyed appends into clean_orders and
+    validation_errors), so the feature job reads stream-fed tables. A
+    replayed batch adds nothing (keyed appends); the stream checkpoint
+    plays the stored watermark's role."""
+    from zonecast.plans.jobs import ingest_batch  # noqa: PLC0415 - jobs is a layer above
+
+    as_of_fn = as_of_fn or (lambda _batch_id: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        oldest = batch.agg(F.min("timestamp")).first()[0]
+        if oldest is None:
+            return
+        ingest_batch(store, cfg, batch, as_of_fn(batch_id), since=oldest)
+    _run(orders, sink, checkpoint)
+
+
 def drain_complete(df: DataFrame, out_path: str, checkpoint: str) -> None:
     """Run an aggregate stream to the end of its input in complete mode,
     each batch replacing the result table (its full current state)."""
