@@ -34,6 +34,7 @@ def test_order_aggregate_is_combined_map_side(spark):
     assert "partial_count" in plan and "partial_max" in plan
     assert plan.index("Exchange hashpartitioning") < plan.index("partial_count")
     assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    assert plan.count("Window [") == 1  # totals and modal label in one window pass
 
 
 def test_scan_pushdown_and_pruning(spark):

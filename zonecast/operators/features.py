@@ -54,11 +54,12 @@ def zone_hour_aggregate(clean: DataFrame) -> DataFrame:
                  .agg(F.count("order_id").alias("n"),
                       F.count(F.lit(1)).alias("rows"),
                       F.max("is_festival_day").alias("fest")))
-    zh = Window.partitionBy("zone_id", "timestamp")
-    ranked = zh.orderBy(F.desc("rows"), F.asc_nulls_last("weather_condition"))
-    return (per_label
-            .withColumns({"order_count": F.sum("n").over(zh).cast("int"),
-                          "is_festival_day": F.max("fest").over(zh),
+    ranked = (Window.partitionBy("zone_id", "timestamp")
+              .orderBy(F.desc("rows"), F.asc_nulls_last("weather_condition")))
+    whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (per_label  # one Window node: same partitioning and order, two frames
+            .withColumns({"order_count": F.sum("n").over(whole).cast("int"),
+                          "is_festival_day": F.max("fest").over(whole),
                           "_rank": F.row_number().over(ranked)})
             .where(F.col("_rank") == 1)
             .select("zone_id", "timestamp", "order_count", "is_festival_day",
