@@ -189,3 +189,21 @@ def test_cap_cutoff_matches_sorting(spark, cfg):
         kth = sorted(r.timestamp for r in raw.select("timestamp").collect())[cap - 1]
         assert got.count() == raw.where(F.col("timestamp") <= kth).count()
     assert J.read_new_orders(raw, ts("2023-12-31 00:00:00"), cap=10**6).count() == 10000
+
+
+def test_failed_reload_keeps_previous_version(spark, cfg, tmp_root):
+    # operators: SNK3 (T32: a failed reload publishes nothing)
+    from zonecast.operators import features as FE
+    st = Store(spark, f"{tmp_root}/wh", cfg)
+    good = FE.build_features(orders_df(spark, [order("a"), order("b", zone="Z2")]), cfg)
+    st.overwrite_versioned("features", good, ts("2026-01-01 01:00:00"))
+    before = sorted(st.read_table("features").collect())
+    bad = good.withColumn("order_count", F.lit("not a number").cast("int"))  # fails at write
+    try:
+        st.overwrite_versioned("features", bad, ts("2026-01-01 02:00:00"))
+        raise AssertionError("expected the write to fail")
+    except AssertionError:
+        raise
+    except Exception:  # noqa: BLE001
+        pass
+    assert sorted(st.read_table("features").collect()) == before
