@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 _WORDS = """list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), w -> w <> '')"""
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"""
 
 
 def _shingles(table: str, key: str) -> str:
     """Distinct five-word shingles; a shorter text is one shingle."""
     return f"""
     SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5
-        THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+        THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
         WHEN len(w) > 0 THEN ['short ' || array_to_string(w, ' ')] ELSE []::VARCHAR[] END) AS s
     FROM (SELECT {key}, {_WORDS} AS w FROM {table})"""
 
@@ -25,3 +25,14 @@ m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN i USING (s) GROUP
 SELECT doc_id, item_id, n_item, n_shared, n_shared::DOUBLE / n_item AS containment
 FROM m JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item
 """
+
+ORACLES["op2_sharding"] = """
+WITH k AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS key FROM documents),
+p AS (SELECT *, key >> (32 - depth) AS prefix
+    FROM k CROSS JOIN (SELECT unnest(range(0, 33)) AS depth)),
+b AS (SELECT depth, prefix, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS n FROM p GROUP BY depth, prefix)
+SELECT doc_id, n_bytes, depth, prefix, 0::BIGINT AS page, shard_bytes
+FROM p JOIN b USING (depth, prefix) WHERE shard_bytes <= 1048576 OR n = 1
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+"""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonecast.llm import bbpe, decontam, knn_quality, toxicity_pu
+from zonecast.llm import backoff, bbpe, decontam, ext_hash, knn_quality, toxicity_pu
 from zonecast.llm.common import table
 from zonecast.llm.oracles import ORACLES  # noqa: F401
 
@@ -21,6 +21,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ext_hash.shards(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity_pu.score(docs, toxicity_pu.train(docs, table(spark, sf_dir, "labels")))
@@ -39,4 +43,9 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bbpe.digest_documents(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
-QUERIES = {f.__name__: f for f in (op4_toxicity, op7_quality, op8_decontamination, op9_bpe)}
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.scores(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_sharding, op4_toxicity, op7_quality, op8_decontamination, op9_bpe, op10_lm_scoring)}
