@@ -10,7 +10,8 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ARROW_ROWS = "512"  # rows of an Arrow batch: whole texts, some very long
+ARROW_ROWS = "4096"          # an Arrow batch has at most so many rows
+ARROW_BYTES = str(8 << 20)   # and about so many bytes: whole texts, some very long
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,6 +39,7 @@ def small_batches(spark: SparkSession) -> None:
     """Bound the texts that a Python worker holds at once, and make this
     subpackage importable in the executors' Python workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

@@ -36,3 +36,20 @@ SELECT doc_id, n_bytes, depth, prefix, 0::BIGINT AS page, shard_bytes
 FROM p JOIN b USING (depth, prefix) WHERE shard_bytes <= 1048576 OR n = 1
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
 """
+
+_COMPONENTS = """
+reach(node, other) AS (SELECT {node}, {node} FROM {nodes}
+    UNION SELECT r.node, e.b FROM reach r JOIN edges e ON e.a = r.other)
+"""
+
+ORACLES["op1_minhash_dedup"] = f"""
+WITH RECURSIVE d AS ({_shingles("documents", "doc_id")}),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM d x JOIN d y USING (s)
+    WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+edges AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+    WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+{_COMPONENTS.format(node="doc_id", nodes="documents")}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach JOIN documents ON doc_id = node LEFT JOIN n USING (doc_id) GROUP BY doc_id, n
+"""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonecast.llm import backoff, bbpe, decontam, ext_hash, knn_quality, toxicity_pu
+from zonecast.llm import backoff, bbpe, decontam, ext_hash, knn_quality, lsh_forest, toxicity_pu
 from zonecast.llm.common import table
 from zonecast.llm.oracles import ORACLES  # noqa: F401
 
@@ -21,6 +21,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ext_hash.shards(table(spark, sf_dir, "documents"))
 
@@ -48,4 +52,4 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_sharding, op4_toxicity, op7_quality, op8_decontamination, op9_bpe, op10_lm_scoring)}
+    op1_minhash_dedup, op2_sharding, op4_toxicity, op7_quality, op8_decontamination, op9_bpe, op10_lm_scoring)}
