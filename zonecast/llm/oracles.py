@@ -53,3 +53,13 @@ edges AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id =
 SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
 FROM reach JOIN documents ON doc_id = node LEFT JOIN n USING (doc_id) GROUP BY doc_id, n
 """
+
+ORACLES["op5_embedding_dedup"] = f"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+edges AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id
+    WHERE list_cosine_similarity(x.e, y.e) >= 0.9),
+n AS (SELECT a AS vec_id, count(*) AS n FROM edges GROUP BY a),
+{_COMPONENTS.format(node="vec_id", nodes="embeddings")}
+SELECT vec_id, coalesce(n, 0) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+FROM reach JOIN embeddings ON vec_id = node LEFT JOIN n USING (vec_id) GROUP BY vec_id, n
+"""
