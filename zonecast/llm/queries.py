@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonecast.llm import backoff, bbpe, cover_tree, decontam, ext_hash, knn_quality, lsh_forest, toxicity_pu
+from zonecast.llm import backoff, bbpe, cover_tree, decontam, ext_hash, knn_quality, lsh_forest, pii, toxicity_pu
 from zonecast.llm.common import table
 from zonecast.llm.oracles import ORACLES  # noqa: F401
 
@@ -38,6 +38,10 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.anonymise(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return knn_quality.score(docs, knn_quality.train(docs, table(spark, sf_dir, "labels")))
@@ -56,4 +60,4 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_dedup, op2_sharding, op4_toxicity, op5_embedding_dedup, op7_quality, op8_decontamination, op9_bpe, op10_lm_scoring)}
+    op1_minhash_dedup, op2_sharding, op4_toxicity, op5_embedding_dedup, op6_pii, op7_quality, op8_decontamination, op9_bpe, op10_lm_scoring)}
