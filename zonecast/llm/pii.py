@@ -211,6 +211,8 @@ def render(kind: str, mention: str, surrogate: str) -> str:
         return surrogate.title() if not mention.isupper() else surrogate.upper()
     if len(surrogate) != len(mention):
         return surrogate
+    if mention.isupper():
+        return surrogate.upper()
     return "".join(s.upper() if m.isupper() else s for s, m in zip(surrogate, mention))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonecast.llm import backoff, bbpe, cover_tree, decontam, ext_hash, knn_quality, lsh_forest, pii, toxicity_pu
+from zonecast.llm import backoff, bbpe, cover_tree, decontam, ext_hash, knn_quality, lsh_forest, para_dedup, pii, toxicity_pu
 from zonecast.llm.common import table
 from zonecast.llm.oracles import ORACLES  # noqa: F401
 
@@ -29,6 +29,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ext_hash.shards(table(spark, sf_dir, "documents"))
 
 
+def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return para_dedup.by_document(para_dedup.repeats(table(spark, sf_dir, "documents")))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity_pu.score(docs, toxicity_pu.train(docs, table(spark, sf_dir, "labels")))
@@ -60,4 +64,4 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_dedup, op2_sharding, op4_toxicity, op5_embedding_dedup, op6_pii, op7_quality, op8_decontamination, op9_bpe, op10_lm_scoring)}
+    op1_minhash_dedup, op2_sharding, op3_paragraph_dedup, op4_toxicity, op5_embedding_dedup, op6_pii, op7_quality, op8_decontamination, op9_bpe, op10_lm_scoring)}
