@@ -180,17 +180,6 @@ def test_prediction_job_retry_is_idempotent(spark, cfg, tmp_root):
     assert st.read_table("predictions").count() == 10
 
 
-def test_cap_cutoff_matches_sorting(spark, cfg):
-    # operators: TK2, SRC1
-    # exact cut-off (whole ties) on real data, against a plain sort
-    raw = raw_orders_from_testdata(spark, SF_MID, cfg)
-    for cap in (1, 137, 5000, 9999):
-        got = J.read_new_orders(raw, ts("2023-12-31 00:00:00"), cap=cap)
-        kth = sorted(r.timestamp for r in raw.select("timestamp").collect())[cap - 1]
-        assert got.count() == raw.where(F.col("timestamp") <= kth).count()
-    assert J.read_new_orders(raw, ts("2023-12-31 00:00:00"), cap=10**6).count() == 10000
-
-
 def test_failed_reload_keeps_previous_version(spark, cfg, tmp_root):
     # operators: SNK3 (T32: a failed reload publishes nothing)
     from zonecast.operators import features as FE

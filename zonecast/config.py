@@ -7,7 +7,7 @@ the same plans run on any zone set, calendar or split date.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the original pipeline's for equal results.
@@ -107,7 +107,6 @@ class Config:
     festival_dates: tuple[dt.date, ...] = tuple(_d(d) for d in FESTIVAL_DATES_2026)
     items_min: int = 1
     items_max: int = 20
-    batch_cap: int | None = None  # reference caps at 500000; off by default (T13)
     initial_watermark: dt.datetime = _ts("2026-01-01 00:00:00")
     split_date: dt.datetime = _ts("2026-06-01 00:00:00")
     min_train_rows: int = 1000
@@ -129,7 +128,6 @@ class Config:
     forecast_weather: str = "none"
     # Driver-side scan options.
     date_partition_col: str = "dt"
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     @property
     def zone_codes(self) -> dict[str, int]:

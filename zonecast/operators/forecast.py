@@ -129,7 +129,7 @@ def forecast(features: DataFrame, scorer: Scorer, cfg: Config,
         inputs = step_inputs(series, fh, cfg, weather).withColumn("step", F.lit(s))
         scored = scorer(inputs).withColumn(
             "predicted_raw", colf.clip_at_zero("prediction")).drop("prediction")
-        if materialize and horizon > 2 and s < horizon:
+        if materialize and s < horizon:
             # keep each step's plan linear in the horizon (one row per zone)
             scored = write_and_read(scored, f"forecast-step{s}")
         steps.append(scored)

@@ -22,7 +22,7 @@ from zonecast.functions import columns as colf
 from zonecast.operators import metrics as MET
 
 
-ROWS_PER_PARTITION = 100_000
+TRAIN_PARTITIONS = 8  # fixed: split candidates must not depend on the cluster
 
 
 class TrainingSkipped(Exception):
@@ -57,12 +57,7 @@ def train(features: DataFrame, cfg: Config, max_iter: int | None = None,
                               f"{counts['train_rows'] + counts['val_rows']} < {need}")
     if counts["train_rows"] == 0 or counts["val_rows"] == 0:
         raise TrainingSkipped("training or validation split is empty")
-    # Each tree level is a Spark job over the training rows: size the
-    # partitions to the data (about ROWS_PER_PARTITION rows each, at most the
-    # default parallelism) so a small grid is not spread over idle tasks.
-    par = features.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(par, -(-int(counts["train_rows"]) // ROWS_PER_PARTITION)))
-    data = _prepare(tr).repartition(parts).cache()  # many small per-tree jobs read it
+    data = _prepare(tr).repartition(TRAIN_PARTITIONS, "zone_id", "timestamp").cache()
     try:
         model = gbt_pipeline(cfg, max_iter).fit(data)
     finally:

@@ -39,6 +39,8 @@ def drift_pairs(predictions: DataFrame, clean: DataFrame, as_of: Column | dt.dat
     """
     since = cal.hours_before(_lit_ts(as_of), cfg.drift_lookback_hours)
     p = predictions.where(F.col("forecast_hour") >= since)
+    if cfg.date_partition_col in clean.columns:  # read the window's partitions only
+        clean = clean.where(F.col(cfg.date_partition_col) >= F.to_date(since))
     a = actual_hourly(clean.where(F.col("timestamp") >= since))
     return (p.join(a, (p.zone_id == a.zone_id) & (p.forecast_hour == a.hour_timestamp))
             .select(p.zone_id, p.forecast_hour, p.predicted_order_count,

@@ -3,9 +3,10 @@
 FLT4, FLT7, FLT8, TK3-TK8, WN8, AG20, JN5, FN17, FN19-FN21.
 
 The reports read four append-only logs (predictions, alerts, model_runs,
-pipeline_runs). The jobs in ``zonecast.plans.jobs`` write them; for the
-driver's tables they are replayed from the feature table on the original
-hourly/daily schedule (``*_history`` below), so they grow with the data.
+pipeline_runs). The jobs in ``zonecast.plans.jobs`` write them; the run-log
+reports read what the jobs wrote. Daily model evaluations and per-batch
+alerts are also computed from the feature table on the original schedule
+(``*_history`` below), so those reports grow with the data.
 Every top-k has a tie-breaker (the original has none).
 """
 
@@ -14,8 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.config import (ALERT_TYPE_HIGH_DEMAND, DAG_NAMES, NO_RUNS, RUN_FAILED,
-                             RUN_SUCCESS, Config)
+from zonecast.config import ALERT_TYPE_HIGH_DEMAND, DAG_NAMES, NO_RUNS, RUN_FAILED, Config
 from zonecast.functions import calendar as cal
 from zonecast.functions import columns as colf
 from zonecast.operators import metrics as MET
@@ -79,55 +79,6 @@ def model_run_history(features: DataFrame, cfg: Config, scorer=None) -> DataFram
         "baseline_mape")
 
 
-def pipeline_run_history(clean: DataFrame, features: DataFrame, cfg: Config) -> DataFrame:
-    """The pipeline_runs log of the four jobs replayed on their schedule.
-
-    Per hour g of the grid: ingest at g+1h (rows = clean orders of hour g,
-    0 -> SUCCESS with 0, T23), features at g+1h15 (rows = grid rows so
-    far), predictions at g+1h30 (FAILED with 0 rows until the first
-    successful training, SNK9). Training daily at 02:00 (rows = rows with
-    history before the run; FAILED when there are none). Running counts
-    are hour offsets on the dense grid, not windows.
-    """
-    n_zones = len(cfg.zones)
-    # both bounds from one aggregate (one scalar subquery, reused)
-    bounds = features.agg(F.struct(
-        F.min("timestamp").alias("first"),
-        F.min(F.when(F.col("lag_168h").isNotNull(), F.col("timestamp"))).alias("first_hist"),
-    )).scalar()
-    first, first_hist = bounds.getField("first"), bounds.getField("first_hist")
-    per_hour = (clean.groupBy(cal.floor_hour("timestamp").alias("timestamp"))
-                .agg(F.count(F.lit(1)).alias("clean_rows")))
-    ts = F.col("timestamp")
-    h = (features.select("timestamp").distinct().join(per_hour, "timestamp", "left")
-         .withColumn("grid_rows", (_hours_between(ts, first) + 1) * n_zones)
-         .withColumn("hist_before", F.coalesce(
-             F.greatest(_hours_between(ts, first_hist), F.lit(0)) * n_zones, F.lit(0))))
-    # first training run with history: the first 02:00 strictly after first_hist
-    first_day = F.to_date(first_hist).cast("timestamp_ntz") + F.expr("INTERVAL 2 HOURS")
-    first_model = F.when(first_day > first_hist, first_day).otherwise(
-        first_day + F.expr("INTERVAL 1 DAY"))
-
-    def run(name: str, at: Column, ok: Column, rows: Column) -> Column:
-        return F.struct(F.lit(name).alias("dag_name"), at.alias("run_time"),
-                        F.when(ok, F.lit(RUN_SUCCESS)).otherwise(F.lit(RUN_FAILED)).alias("status"),
-                        F.when(ok, rows).otherwise(F.lit(0)).cast("int").alias("rows_processed"))
-
-    # One pass over the hours: each hour yields its runs as an array that is
-    # exploded (the daily training run only at 02:00), instead of a union
-    # that would re-read the hourly frame once per job.
-    after = cal.hours_after(ts, 1)
-    runs = F.array(
-        run(DAG_NAMES[0], after, F.lit(True), F.coalesce("clean_rows", F.lit(0))),
-        run(DAG_NAMES[1], after + F.expr("INTERVAL 15 MINUTES"), F.lit(True), F.col("grid_rows")),
-        F.when(F.hour(ts) == 2, run(DAG_NAMES[2], ts, F.col("hist_before") > 0,
-                                    F.col("hist_before"))),
-        run(DAG_NAMES[3], after + F.expr("INTERVAL 30 MINUTES"),
-            F.coalesce(after >= first_model, F.lit(False)), F.lit(n_zones * cfg.horizon)))
-    return (h.select(F.explode(runs).alias("r")).where(F.col("r").isNotNull())
-            .select("r.dag_name", "r.run_time", "r.status", "r.rows_processed"))
-
-
 # ---- reports -----------------------------------------------------------------------
 
 def latest_batch(predictions: DataFrame) -> DataFrame:
@@ -199,7 +150,7 @@ def dag_status(runs: DataFrame, dag_names=DAG_NAMES) -> DataFrame:
     j = names.join(latest_runs(runs), "dag_name", "left")
     return j.select("display_order", "dag_name", "run_time",
                     F.coalesce("status", F.lit(NO_RUNS)).alias("status"),
-                    "rows_processed").orderBy("display_order")
+                    F.coalesce("rows_processed", F.lit(0)).alias("rows_processed")).orderBy("display_order")
 
 
 def failed_runs(runs: DataFrame) -> DataFrame:

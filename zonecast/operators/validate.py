@@ -10,7 +10,7 @@ in the scan stage.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.config import (NULL_TEXT, REASON_GROUP_SEPARATOR, REASON_INVALID_ZONE,
@@ -186,6 +186,20 @@ def dedupe_orders(orders: DataFrame, key: str = "order_id",
     return unique.select(*cols).unionByName(picked.select(*cols)).unionByName(no_key.select(*cols))
 
 
+def row_key(columns: list[str]) -> Column:
+    """A null-safe hash of the row's values: NULL equals NULL, and a NULL in
+    one column isn't the same as in another."""
+    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\\0")) for c in columns])
+
+
+def with_error_id(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Identity of a rejected row: its values and its number among equal
+    rows, so a retry finds it and true repeats stay apart."""
+    w = Window.partitionBy("_key").orderBy("_key")
+    return (rows.withColumn("_key", row_key(columns))
+            .withColumn("error_id", F.xxhash64("_key", F.row_number().over(w))).drop("_key"))
+
+
 def coerce_flags(df: DataFrame, cols=("is_weekend", "is_festival_day")) -> DataFrame:
     """VAL11: boolean flags, NULL -> false."""
     return df.withColumns({c: F.coalesce(F.col(c).cast("boolean"), F.lit(False)) for c in cols})

@@ -11,6 +11,7 @@ from zonecast.operators import reports as RP
 from zonecast.plans import oracle as O
 from zonecast.plans.catalog import CFG, _FEAT, _VAL, clean, r6, raw, register
 from zonecast.plans.catalog import features
+from zonecast.plans.catalog_jobs import _WM, _at, operated_store
 from zonecast.plans.catalog_model import (_AVG7, _BACKTEST, _LIN, _MAPE, _RMSE, _MAE,
                                           _msg_sql, backtest)
 
@@ -169,51 +170,41 @@ def q_model_trend(spark, sf_dir):
 
 # ---- pipeline runs log (RP5-RP7, WN8, FLT8, TK4, SNK8-SNK10) --------------------------------
 
-_PRUNS = f"""first_f AS (SELECT min("timestamp") AS f FROM features),
-first_hist AS (SELECT min("timestamp") AS fh FROM features WHERE lag_168h IS NOT NULL),
-per_hour AS (
-  SELECT date_trunc('hour', "timestamp") AS ts, count(*) AS clean_rows FROM clean GROUP BY 1),
-hrs AS (
-  SELECT d.ts, p.clean_rows,
-         ({_hours_between_sql("d.ts", "f")} + 1) * {_NZ} AS grid_rows,
-         coalesce(greatest({_hours_between_sql("d.ts", "fh")}, 0) * {_NZ}, 0) AS hist_before
-  FROM (SELECT DISTINCT "timestamp" AS ts FROM features) d
-  LEFT JOIN per_hour p ON d.ts = p.ts, first_f, first_hist),
-first_model AS (
-  SELECT CASE WHEN CAST(CAST(fh AS DATE) AS TIMESTAMP) + INTERVAL 2 HOUR > fh
-              THEN CAST(CAST(fh AS DATE) AS TIMESTAMP) + INTERVAL 2 HOUR
-              ELSE CAST(CAST(fh AS DATE) AS TIMESTAMP) + INTERVAL 26 HOUR END AS fm
-  FROM first_hist),
-pipeline_runs AS (
-  SELECT '{DAG_NAMES[0]}' AS dag_name, ts + INTERVAL 1 HOUR AS run_time, 'SUCCESS' AS status,
-         CAST(coalesce(clean_rows, 0) AS INTEGER) AS rows_processed FROM hrs
-  UNION ALL
-  SELECT '{DAG_NAMES[1]}', ts + INTERVAL 75 MINUTE, 'SUCCESS', CAST(grid_rows AS INTEGER) FROM hrs
-  UNION ALL
-  SELECT '{DAG_NAMES[2]}', ts, CASE WHEN hist_before > 0 THEN 'SUCCESS' ELSE 'FAILED' END,
-         CAST(CASE WHEN hist_before > 0 THEN hist_before ELSE 0 END AS INTEGER)
-  FROM hrs WHERE hour(ts) = 2
-  UNION ALL
-  SELECT '{DAG_NAMES[3]}', ts + INTERVAL 90 MINUTE,
-         CASE WHEN coalesce(ts + INTERVAL 1 HOUR >= fm, false) THEN 'SUCCESS' ELSE 'FAILED' END,
-         CAST(CASE WHEN coalesce(ts + INTERVAL 1 HOUR >= fm, false)
-                   THEN {_NZ * CFG.horizon} ELSE 0 END AS INTEGER)
-  FROM hrs, first_model),
+def _run_sql(dag: int, minutes: int, rows: str, status: str = "SUCCESS") -> str:
+    return (f"SELECT '{DAG_NAMES[dag]}' AS dag_name, TIMESTAMP '{_at(minutes):%Y-%m-%d %H:%M:%S}' AS run_time, "
+            f"'{status}' AS status, CAST({rows} AS INTEGER) AS rows_processed")
+
+
+def _grid_sql(where: str) -> str:
+    return (f"(SELECT ({_hours_between_sql('max(h)', 'min(h)')} + 1) * {_NZ} FROM "
+            f"(SELECT date_trunc('hour', \"timestamp\") AS h FROM clean WHERE {where}))")
+
+
+_EARLY = f"\"timestamp\" <= {_WM}"
+_PRUNS = "pipeline_runs AS (" + " UNION ALL ".join((
+    _run_sql(3, 0, "0", "FAILED"),
+    _run_sql(0, 10, f"(SELECT count(*) FROM clean WHERE {_EARLY})"),
+    _run_sql(1, 20, _grid_sql(_EARLY)), _run_sql(3, 30, f"{_NZ * CFG.horizon}"),
+    _run_sql(0, 40, f"(SELECT count(*) FROM clean WHERE NOT {_EARLY})"),
+    _run_sql(0, 50, "0"), _run_sql(1, 60, _grid_sql("true")),
+    _run_sql(3, 70, f"{_NZ * CFG.horizon}"), _run_sql(3, 70, f"{_NZ * CFG.horizon}"),
+    _run_sql(3, 90, "0", "FAILED"))) + """),
 latest_runs AS (
   SELECT dag_name, run_time, status, rows_processed FROM (
     SELECT *, row_number() OVER (PARTITION BY dag_name ORDER BY run_time DESC, status DESC) AS rn
     FROM pipeline_runs) WHERE rn = 1)"""
-_PR = _FEAT + (_PRUNS,)
+_PR = _VAL + (_PRUNS,)
 
 
 def pipeline_runs(spark, sf_dir):
-    return RP.pipeline_run_history(clean(spark, sf_dir), features(spark, sf_dir), CFG)
+    return operated_store(spark, sf_dir).read_table("pipeline_runs").drop("run_id")
 
 
-@register("job_runs_log", O.with_ctes(*_PR, body="SELECT * FROM pipeline_runs"))
+@register("job_runs_log", O.with_ctes(*_PR, body="SELECT *, true AS has_id FROM pipeline_runs"))
 def q_job_runs_log(spark, sf_dir):
-    """SNK8-SNK10 rows of the four jobs replayed on their schedule."""
-    return pipeline_runs(spark, sf_dir)
+    """SNK8-SNK10: what the jobs logged: rows, an empty ingest, failures."""
+    runs = operated_store(spark, sf_dir).read_table("pipeline_runs")
+    return runs.withColumn("has_id", F.col("run_id").isNotNull()).drop("run_id")
 
 
 @register("latest_runs", O.with_ctes(*_PR, body="SELECT * FROM latest_runs"))
@@ -227,7 +218,7 @@ _DAGS = ", ".join(f"('{n}', {i})" for i, n in enumerate(DAG_NAMES))
 
 @register("dag_status", O.with_ctes(*_PR, body=f"""
 SELECT CAST(d.display_order AS INTEGER) AS display_order, d.dag_name, l.run_time,
-       coalesce(l.status, 'NO RUNS') AS status, l.rows_processed
+       coalesce(l.status, 'NO RUNS') AS status, coalesce(l.rows_processed, 0) AS rows_processed
 FROM (VALUES {_DAGS}) d(dag_name, display_order)
 LEFT JOIN latest_runs l ON d.dag_name = l.dag_name ORDER BY display_order"""))
 def q_dag_status(spark, sf_dir):

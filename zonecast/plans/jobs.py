@@ -13,7 +13,6 @@ from __future__ import annotations
 import datetime as dt
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +23,8 @@ from zonecast.operators import metrics as MET
 from zonecast.operators import model as ML
 from zonecast.operators import monitor as MON
 from zonecast.operators import validate as V
-from zonecast.sources.schemas import SCHEMAS
+from zonecast.session import materialize
+from zonecast.sources.schemas import ORDER_FIELDS, SCHEMAS
 from zonecast.sources.store import Store
 
 
@@ -32,7 +32,7 @@ def log_run(store: Store, dag: str, status: str, rows: int, as_of: dt.datetime)
     """SNK8 / SNK9: one pipeline_runs row."""
     row = store.spark.createDataFrame([(dag, as_of, status, int(rows), None)],
                                       SCHEMAS["pipeline_runs"])
-    store.append("pipeline_runs", row)
+    store.append("pipeline_runs", row.withColumn("run_id", F.xxhash64("dag_name", "run_time", "status")))
 
 
 @contextmanager
@@ -46,118 +46,95 @@ def _logged(store: Store, dag: str, as_of: dt.datetime):
     log_run(store, dag, RUN_SUCCESS, box["rows"], as_of)
 
 
-# Bucket widths for the cap's cut-off search, coarse to fine; the last
-# level is the exact timestamp (microseconds).
-_CUT_UNITS = ("hour", "minute", "second", "millisecond", None)
-
-
-def cap_cutoff(batch: DataFrame, cap: int):
-    """The event time of the cap-th oldest row, or None when the batch has
-    at most ``cap`` rows.
-
-    Exact and without a single-task merge: per level one grouped count over
-    the rows of the bucket chosen so far (hours of the batch, then at most
-    60, 60, 1000 and 1000 buckets), and the running count picks the bucket
-    in which the cap-th row lies. Only those small count tables reach the
-    driver.
-    """
-    ts = F.col("timestamp")
-    times = batch.select("timestamp").where(ts.isNotNull())
-    if times.count() <= cap:
-        return None
-    before, scope = 0, times
-    for unit in _CUT_UNITS:
-        key = F.date_trunc(unit, ts).cast("timestamp_ntz") if unit else ts
-        counts = (scope.groupBy(key.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-                  .orderBy("b").collect())
-        for b, n in counts:
-            if before + n >= cap:
-                chosen = b
-                break
-            before += n
-        if unit is None:
-            return chosen
-        scope = scope.where(F.date_trunc(unit, ts).cast("timestamp_ntz") == F.lit(chosen))
-    return None  # not reached
-
-
-def read_new_orders(raw: DataFrame, watermark: dt.datetime, cap: int | None = None,
-                    part_col: str | None = "dt") -> DataFrame:
-    """SRC1 + TK2: rows strictly after the watermark, oldest first, at most
-    ``cap`` rows plus every row tied with the last one (T13)."""
-    wm = F.lit(watermark).cast("timestamp_ntz")
+def read_new_orders(raw: DataFrame, watermark: dt.datetime, part_col: str | None = "dt") -> DataFrame:
+    """SRC1 + TK2: every row after the watermark, and every row without an
+    event time (the caller drops those stored already). All of them: the
+    batch grows with the backlog, the reading is pruned to its partitions."""
     out = raw
     if part_col and part_col in raw.columns:
-        out = out.where(F.col(part_col) >= F.lit(watermark.date()))
-    out = out.where(F.col("timestamp") > wm)
-    if cap:
-        cutoff = cap_cutoff(out, cap)
-        if cutoff is not None:
-            out = out.where(F.col("timestamp") <= F.lit(cutoff).cast("timestamp_ntz"))
-    return out
+        out = out.where((F.col(part_col) >= F.lit(watermark.date())) | F.col(part_col).isNull())
+    ts = F.col("timestamp")
+    return out.where((ts > F.lit(watermark).cast("timestamp_ntz")) | ts.isNull())
 
 
 def ingest_batch(store: Store, cfg: Config, batch: DataFrame, as_of: dt.datetime,
                  since: dt.datetime) -> dict:
-    """Dedup, validate and append one batch (SNK1, SNK2, VAL1-VAL12).
-
-    Rows carry two booleans (no text); reason text is built for rejected
-    rows only. The counters are one aggregate over the persisted batch after
-    the writes (it reads cached blocks; an Observation cannot be read back
-    inside a streaming foreachBatch). Appends are keyed, so a retried batch
-    adds nothing twice; ``since`` (no later than the batch's oldest event)
-    bounds the partitions the key check reads. Shared by the hourly job and
-    the streaming sink.
+    """Validate, dedup and append one batch (SNK1, SNK2, VAL1-VAL12).
+
+    The batch is staged once on shared storage with two booleans per row (no
+    text); reason text is built for rejected rows only. An order is stored
+    once for all time (``order_keys``); a rejected row once per value and
+    repeat (a null-safe hash), so a retried batch adds nothing. Every raw row
+    is either clean, a duplicate of a clean order, or quarantined. ``since``
+    bounds the partitions the checks read. Shared by the hourly job and the
+    streaming sink.
     """
-    flagged = (V.with_flags(V.dedupe_orders(batch), cfg)
-               .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        clean, rejected = V.split_flagged(flagged, cfg)
-        stamp = F.lit(as_of).cast("timestamp_ntz")
-        store.append("clean_orders", clean.withColumn("ingested_at", stamp),
-                     key=["order_id"], since=since)
-        rejected = (rejected.withColumn("rejected_at", stamp)
-                    .withColumn("error_id", F.xxhash64("order_id", "error_reason", "rejected_at")))
-        store.append("validation_errors", rejected, key=["order_id", "timestamp"], since=since)
-        return flagged.agg(*V.flag_counts()).first().asDict()
-    finally:
-        flagged.unpersist()
+    order_cols = [c for c, _, _ in ORDER_FIELDS]
+    staged = materialize(V.with_flags(batch, cfg), "ingest-batch")
+    clean, rejected = V.split_flagged(staged, cfg)
+    clean = materialize(V.dedupe_orders(clean), "ingest-clean")
+    stamp = F.lit(as_of).cast("timestamp_ntz")
+    store.append_new_orders(clean.withColumn("ingested_at", stamp), since)
+    rejected = V.with_error_id(rejected, order_cols).withColumn("rejected_at", stamp)
+    store.append("validation_errors", rejected, key=["error_id"], since=since)
+    counts = staged.agg(*V.flag_counts()).first().asDict()
+    bounds = clean.agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("oldest")).first()
+    counts["clean_rows"] = bounds["n"]  # one per order
+    store.log_ingest(bounds["oldest"], as_of)
+    return counts
 
 
 def run_ingest(store: Store, cfg: Config, as_of: dt.datetime) -> dict:
     """Job 1: raw_orders -> clean_orders | validation_errors, watermark."""
     with _logged(store, DAG_NAMES[0], as_of) as box:
         wm = store.watermark("raw_orders", cfg.initial_watermark)
-        batch = read_new_orders(store.read_table("raw_orders"), wm, cfg.batch_cap,
-                                cfg.date_partition_col)
-        batch = batch.drop(cfg.date_partition_col) if cfg.date_partition_col in batch.columns \
-            else batch
+        part = cfg.date_partition_col
+        batch = read_new_orders(store.read_table("raw_orders"), wm, part)
+        batch = batch.drop(part) if part in batch.columns else batch
+        # Rows without an event time are read again each run: drop the stored ones.
+        stored = store.read_table("validation_errors").where(
+            F.col(part).isNull() & F.col("timestamp").isNull()).select("error_id")
+        untimed = V.with_error_id(batch.where(F.col("timestamp").isNull()),
+                                  [c for c, _, _ in ORDER_FIELDS])
+        batch = (batch.where(F.col("timestamp").isNotNull())
+                 .unionByName(untimed.join(stored, "error_id", "left_anti").drop("error_id")))
         if batch.isEmpty():  # SNK10: log 0 and stop (T23)
             return {"total_rows": 0, "clean_rows": 0, "rejected_rows": 0, "watermark": wm}
         m = ingest_batch(store, cfg, batch, as_of, since=wm)
         # SNK11: the newest event time of the batch, rejected rows included.
-        store.save_watermark("raw_orders", m["max_timestamp"], as_of)
+        newest = m["max_timestamp"] or wm
+        store.save_watermark("raw_orders", newest, as_of)
         box["rows"] = m["clean_rows"]  # VAL12: rows_processed = clean rows
-        return {**m, "watermark": m["max_timestamp"]}
+        return {**m, "watermark": newest}
 
 
 def run_features(store: Store, cfg: Config, as_of: dt.datetime,
-                 incremental: bool = False) -> str:
-    """Job 2: clean_orders -> features (new committed version, SNK3)."""
+                 incremental: bool = True) -> str:
+    """Job 2: clean_orders -> features (new committed version, SNK3).
+
+    Recomputes from the oldest hour that ingests since the last version have
+    touched (late orders included) and keeps the stored rows before it; the
+    result equals the full build.
+    """
     with _logged(store, DAG_NAMES[1], as_of) as box:
         clean = store.read_table("clean_orders")
-        current = store.read_table("features")
-        since = None
-        if incremental:
+        last = store.last_commit("features")
+        ingests = store.read_table("ingests")
+        upto = ingests.agg(F.max("seq")).first()[0]
+        feats = None
+        if incremental and last is not None and last["upto"] is not None and last["rows"]:
+            current = store.read_table("features")
             bounds = current.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-            if bounds["hi"] is not None:
-                since = bounds["hi"]  # the last stored hour may have been partial
+            oldest = ingests.where(F.col("seq") > last["upto"]).agg(F.min("oldest")).first()[0]
+            since = min(x for x in (oldest, bounds["hi"]) if x is not None)  # hi may be partial
+            since = since.replace(minute=0, second=0, microsecond=0)
+            if since > bounds["lo"]:  # else the grid itself begins earlier: build in full
                 new = FE.build_features_incremental(clean, cfg, since, bounds["lo"])
                 feats = current.where(F.col("timestamp") < F.lit(since)).unionByName(new)
-        if since is None:
+        if feats is None:
             feats = FE.build_features_once(clean, cfg)
-        version = store.overwrite_versioned("features", feats, as_of)
-        box["rows"] = store.read_table("features").count()
+        version = store.overwrite_versioned("features", feats, as_of, upto)
+        box["rows"] = store.last_commit("features")["rows"]
         return version
 
 
@@ -165,8 +142,7 @@ def run_training(store: Store, cfg: Config, as_of: dt.datetime, model_dir: str,
                  force_daily: bool = True, max_iter: int | None = None) -> dict:
     """Job 3: drift check (ML7), fit, evaluate, gate, save, log (SNK7, SNK12)."""
     with _logged(store, DAG_NAMES[2], as_of) as box:
-        have_model = store.model_pointer() is not None or bool(
-            [n for n in store.list_dirs(model_dir) if n.startswith("model_")])
+        have_model = store.model_pointer() is not None  # a promoted one
         try:
             pairs = MON.drift_pairs(store.read_predictions(), store.read_table("clean_orders"),
                                     as_of, cfg)
@@ -177,6 +153,8 @@ def run_training(store: Store, cfg: Config, as_of: dt.datetime, model_dir: str,
         if not decision["trigger"]:
             return {"decision": decision, "trained": False}
         feats = store.read_table("features")
+        if feats.isEmpty():
+            raise ValueError("features table is empty; run the feature job first")
         try:
             model, _tr, val = ML.train(feats, cfg, max_iter=max_iter)
         except ML.TrainingSkipped as e:  # ML6: too little data is a skip, not a failure
@@ -196,23 +174,27 @@ def run_training(store: Store, cfg: Config, as_of: dt.datetime, model_dir: str,
         return {"decision": decision, "trained": True, "promoted": promoted, "path": path, **m}
 
 
-def run_predictions(store: Store, cfg: Config, as_of: dt.datetime, model_dir: str) -> int:
-    """Job 4: locate model (SRC6), forecast (ML8), append (SNK4), alerts
-    (ML11, SNK5) and flags (SNK6)."""
+def run_predictions(store: Store, cfg: Config, as_of: dt.datetime, model_dir: str,
+                    scorer=None) -> int:
+    """Job 4: locate model (SRC6) unless a scorer is given, forecast (ML8),
+    append (SNK4), alerts (ML11, SNK5) and flags (SNK6)."""
     with _logged(store, DAG_NAMES[3], as_of) as box:
-        model, _ = ML.load_latest_model(store, model_dir)
+        if scorer is None:
+            scorer = ML.gbt_scorer(ML.load_latest_model(store, model_dir)[0])
         feats = store.read_table("features")
         if feats.isEmpty():
             raise ValueError("features table is empty; run the feature job first")
-        fc = FC.forecast(feats, ML.gbt_scorer(model), cfg)
-        preds = FC.prediction_rows(fc, F.lit(as_of))
-        # keyed appends: a retried run with the same as_of adds nothing twice
-        store.append("predictions", preds, key=["zone_id", "forecast_hour", "generated_at"])
+        stamp = F.lit(as_of).cast("timestamp_ntz")
+        preds = FC.prediction_rows(FC.forecast(feats, scorer, cfg), stamp).withColumn(
+            "prediction_id", F.xxhash64("zone_id", "forecast_hour", "generated_at"))
+        # Keyed appends: a retried run with the same as_of adds nothing twice;
+        # the key holds the run time, so only its partition is checked.
+        store.append("predictions", preds, key=["zone_id", "forecast_hour", "generated_at"], since=as_of)
         batch = store.read_table("predictions").where(
-            F.col("generated_at") == F.lit(as_of).cast("timestamp_ntz"))
-        alerts = MON.high_demand(batch, MON.seven_day_avg(feats), cfg)
-        alerts = alerts.withColumn("created_at", F.lit(as_of).cast("timestamp_ntz"))
-        store.append("alerts", alerts, key=["zone_id", "created_at", "message"])
+            (F.col(cfg.date_partition_col) == F.lit(as_of.date())) & (F.col("generated_at") == stamp))
+        alerts = MON.high_demand(batch, MON.seven_day_avg(feats), cfg).withColumn("created_at", stamp)
+        alerts = alerts.withColumn("alert_id", F.xxhash64("zone_id", "created_at", "message"))
+        store.append("alerts", alerts, key=["zone_id", "created_at", "message"], since=as_of)
         store.flag(alerts, as_of)
         box["rows"] = batch.count()
         return box["rows"]

@@ -47,9 +47,9 @@ def apply_required_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private folder is
-    created and registered; on a cluster the setting must point at
-    shared storage and is used as is.
+    Only a local session without one (tests) gets a private folder; on a
+    cluster executors would each write to their own disk, so a missing
+    setting is an error there.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -59,6 +59,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="zonecast-ckpt-")
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)

@@ -97,7 +97,15 @@ PIPELINE_RUNS = _schema(
 
 WATERMARKS = _schema(("source", S, False), ("watermark", TS, True), ("updated_at", TS, True))
 
-MODEL_POINTER = _schema(("name", S, False), ("model_path", S, True), ("updated_at", TS, True))
+MODEL_POINTER = _schema(("name", S, False), ("model_path", S, True), ("updated_at", TS, True),
+                        ("seq", L, True))
+
+# Every order_id ever stored in clean_orders: its primary key over all time.
+ORDER_KEYS = _schema(("order_id", S, False))
+
+# One row per ingested batch: the oldest event time it brought, so that the
+# incremental feature build finds late orders without scanning clean_orders.
+INGESTS = _schema(("seq", L, False), ("as_of", TS, True), ("oldest", TS, True))
 
 SCHEMAS: dict[str, T.StructType] = {
     "raw_orders": RAW_ORDERS,
@@ -110,9 +118,12 @@ SCHEMAS: dict[str, T.StructType] = {
     "pipeline_runs": PIPELINE_RUNS,
     "watermarks": WATERMARKS,
     "model_pointer": MODEL_POINTER,
+    "order_keys": ORDER_KEYS,
+    "ingests": INGESTS,
 }
 
 # Tables stored with a derived date partition for time pruning (SRC1, SRC5):
 # NTZ predicates are pushed but do not skip row groups, a dt predicate does.
 DATE_PARTITIONED = {"raw_orders": "timestamp", "clean_orders": "timestamp",
-                    "validation_errors": "timestamp"}
+                    "validation_errors": "timestamp", "predictions": "generated_at",
+                    "alerts": "created_at"}

@@ -4,10 +4,12 @@ SRC1-SRC6, SNK1-SNK12. Tables live under one root (shared storage on a
 cluster). Event tables are partitioned by a derived ``dt`` date, so time
 predicates prune whole directories (an NTZ predicate alone is pushed but
 skips no row groups). Appends are idempotent through a key anti-join
-restricted to the partitions the batch can touch. Full reloads write a new
-version directory and commit it by appending a row to ``_commits``;
-readers take the newest committed version, so a reload is atomic and the
-version being read is never overwritten. Prediction flags (the original's
+restricted to the partitions the batch can touch (rows without an event
+time are in a partition of their own, which is always read). Full reloads
+write a new version directory and commit it by appending a row to
+``_commits`` with the next commit number; readers take the highest number,
+whatever the callers' clocks say, so a reload is atomic and the version
+being read is never overwritten. Prediction flags (the original's
 UPDATE) are an append-only table applied on read.
 """
 
@@ -35,6 +37,8 @@ COMMITS_SCHEMA = T.StructType([
     T.StructField("version", T.StringType()),
     T.StructField("committed_at", T.TimestampNTZType()),
     T.StructField("rows", T.LongType()),
+    T.StructField("seq", T.LongType()),
+    T.StructField("upto", T.LongType()),  # newest ingest the version covers
 ])
 
 
@@ -101,7 +105,7 @@ class Store:
         if key and self.exists(self.path(name)):
             existing = self.read_table(name)
             if since is not None and part:
-                existing = existing.where(F.col(part) >= F.lit(since.date()))
+                existing = existing.where((F.col(part) >= F.lit(since.date())) | F.col(part).isNull())
             out = out.join(existing.select(*key), key, "left_anti")
         if part:
             # AQE-sized write partitions per date: skewed dates are split,
@@ -112,21 +116,52 @@ class Store:
             w = w.partitionBy(part)
         w.parquet(self.path(name))
 
+    # ---- the primary key of clean_orders, over all time (SNK1) --------------------------
+    def append_new_orders(self, clean: DataFrame, since: dt.datetime) -> None:
+        """Append the orders whose id was never stored. ``clean`` is a staged
+        table. The stored keys are semi-joined with the batch's ids first, so
+        only that small result meets the rows; a batch that fails between
+        both appends is completed by its retry, because its rows are found
+        in clean_orders and its ids are still missing from the keys."""
+        from zonecast.session import materialize  # noqa: PLC0415
+
+        ids = clean.select("order_id")
+        stored = self.read_table("order_keys").join(ids, "order_id", "left_semi")
+        stored = materialize(stored.distinct(), "known-keys")
+        self.append("clean_orders", clean.join(stored, "order_id", "left_anti"),
+                    key=["order_id"], since=since)
+        self.append("order_keys", ids.join(stored, "order_id", "left_anti"))
+
+    def log_ingest(self, oldest: dt.datetime | None, as_of: dt.datetime) -> None:
+        seq = self._next(self.read_table("ingests"))
+        self.append("ingests", self.spark.createDataFrame([(seq, as_of, oldest)], SCHEMAS["ingests"]))
+
     # ---- versioned overwrite (SNK3) -------------------------------------------------------
     def current_version(self, name: str) -> str | None:
+        last = self.last_commit(name)
+        return last["version"] if last else None
+
+    def last_commit(self, name: str):
+        """The commit row with the highest number, or None."""
         commits = f"{self.path(name)}/_commits"
         if not self.exists(commits):
             return None
-        row = (self.spark.read.schema(COMMITS_SCHEMA).parquet(commits)
-               .agg(F.max_by("version", "committed_at").alias("v")).first())
-        return row["v"] if row else None
+        return (self.spark.read.schema(COMMITS_SCHEMA).parquet(commits)
+                .orderBy(F.desc("seq"), F.desc("version")).first())
+
+    def _next(self, df: DataFrame) -> int:
+        """The number after the highest ``seq`` (each table has one writer)."""
+        return (df.agg(F.max("seq")).first()[0] or 0) + 1
 
-    def overwrite_versioned(self, name: str, df: DataFrame, as_of: dt.datetime) -> str:
+    def overwrite_versioned(self, name: str, df: DataFrame, as_of: dt.datetime,
+                            upto: int | None = None) -> str:
         version = f"v={as_of:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
         target = f"{self.path(name)}/{version}"
         df.write.mode("error").parquet(target)
         n = self.spark.read.parquet(target).count()  # footer metadata only
-        commit = self.spark.createDataFrame([(version, as_of, n)], COMMITS_SCHEMA)
+        last = self.last_commit(name)
+        commit = self.spark.createDataFrame(
+            [(version, as_of, n, (last["seq"] if last else 0) + 1, upto)], COMMITS_SCHEMA)
         commit.coalesce(1).write.mode("append").parquet(f"{self.path(name)}/_commits")
         return version
 
@@ -135,7 +170,7 @@ class Store:
         if not self.exists(self.path("watermarks")):
             return default
         row = (self.read_table("watermarks").where(F.col("source") == source)
-               .agg(F.max_by("watermark", "updated_at").alias("w")).first())
+               .agg(F.max("watermark").alias("w")).first())  # it never moves back
         return row["w"] if row and row["w"] is not None else default
 
     def save_watermark(self, source: str, value: dt.datetime, as_of: dt.datetime) -> None:
@@ -144,8 +179,11 @@ class Store:
 
     # ---- predictions with flags (SNK6 / JN9 on read) --------------------------------------
     def flag(self, alerts: DataFrame, as_of: dt.datetime) -> None:
-        rows = (alerts.select("zone_id", "forecast_hour").distinct()
-                .withColumn("flag", F.lit(FLAG_HIGH_DEMAND))
+        keys = ["zone_id", "forecast_hour"]
+        rows = alerts.select(*keys).distinct()
+        if self.exists(self.path(FLAGS)):  # a retry flags nothing twice
+            rows = rows.join(self.read_table(FLAGS).select(*keys), keys, "left_anti")
+        rows = (rows.withColumn("flag", F.lit(FLAG_HIGH_DEMAND))
                 .withColumn("flagged_at", F.lit(as_of).cast("timestamp_ntz")))
         rows.write.mode("append").parquet(self.path(FLAGS))
 
@@ -161,14 +199,15 @@ class Store:
 
     # ---- model pointer (SNK12, SRC6) ---------------------------------------------------------
     def set_model_pointer(self, model_path: str, as_of: dt.datetime) -> None:
-        row = self.spark.createDataFrame([("latest", model_path, as_of)], SCHEMAS["model_pointer"])
+        seq = self._next(self.read_table("model_pointer"))
+        row = self.spark.createDataFrame([("latest", model_path, as_of, seq)], SCHEMAS["model_pointer"])
         row.coalesce(1).write.mode("append").parquet(self.path("model_pointer"))
 
     def model_pointer(self) -> str | None:
         if not self.exists(self.path("model_pointer")):
             return None
         row = (self.read_table("model_pointer")
-               .agg(F.max_by("model_path", "updated_at").alias("p")).first())
+               .agg(F.max_by("model_path", "seq").alias("p")).first())
         return row["p"] if row else None
 
 

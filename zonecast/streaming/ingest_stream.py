@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonecast.config import Config
+from zonecast.config import DAG_NAMES, RUN_SUCCESS, Config
 from zonecast.operators import validate as V
 from zonecast.session import scratch_path
 
@@ -96,24 +96,31 @@ def ingest_stream_to_store(store, cfg: Config, orders: DataFrame, checkpoint: st
     validation_errors), so the feature job reads stream-fed tables. A
     replayed batch adds nothing (keyed appends); the stream checkpoint
     plays the stored watermark's role."""
-    from zonecast.plans.jobs import ingest_batch  # noqa: PLC0415 - jobs is a layer above
+    from zonecast.plans.jobs import ingest_batch, log_run  # noqa: PLC0415 - jobs is a layer above
 
     as_of_fn = as_of_fn or (lambda _batch_id: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         oldest = batch.agg(F.min("timestamp")).first()[0]
-        if oldest is None:
-            return
-        ingest_batch(store, cfg, batch, as_of_fn(batch_id), since=oldest)
+        as_of = as_of_fn(batch_id)  # rows without an event time are quarantined too
+        counts = ingest_batch(store, cfg, batch, as_of, since=oldest or as_of)
+        log_run(store, DAG_NAMES[0], RUN_SUCCESS, counts["clean_rows"], as_of)  # SNK8, VAL12
     _run(orders, sink, checkpoint)
 
 
-def drain_complete(df: DataFrame, out_path: str, checkpoint: str) -> None:
-    """Run an aggregate stream to the end of its input in complete mode,
-    each batch replacing the result table (its full current state)."""
+def drain_update(df: DataFrame, out_path: str, checkpoint: str) -> None:
+    """Run an aggregate stream to the end of its input in update mode: each
+    batch writes only the groups it changed, state older than the watermark
+    is dropped, and ``latest_updates`` reads the newest row of each group."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
-    _run(df, sink, checkpoint, mode="complete")
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+    _run(df, sink, checkpoint, mode="update")
+
+
+def latest_updates(updates: DataFrame, keys: list[str]) -> DataFrame:
+    values = [c for c in updates.columns if c not in (*keys, "batch")]
+    newest = updates.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v"))
+    return newest.select(*keys, "_v.*")
 
 
 def drain_append(df: DataFrame, out_path: str, checkpoint: str) -> None:
