@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.config import TEST_CONFIG, Config
+from zonecast.functions import calendar as cal
 from zonecast.operators import features as FE
 from zonecast.operators import validate as V
 from zonecast.plans import oracle as O
@@ -152,17 +153,39 @@ def q_rejected_orders(spark, sf_dir):
     return V.rejected_rows(validated(spark, sf_dir))
 
 
-@register("deduplicated_orders", O.with_ctes(O.raw_cte(CFG), body=f"""
+_AGAIN = """again AS (
+  SELECT * FROM raw UNION ALL
+  SELECT order_id, zone_id, "timestamp" + INTERVAL 1 HOUR AS "timestamp", order_value + 1 AS order_value,
+         items_count, delivery_time_mins, is_weekend, weather_condition, is_festival_day
+  FROM raw WHERE CAST(order_id AS BIGINT) % 7 = 0)"""
+
+
+@register("deduplicated_orders", O.with_ctes(O.raw_cte(CFG), _AGAIN, body=f"""
 SELECT {ORDER_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY "timestamp", zone_id,
          order_value, items_count, delivery_time_mins, is_weekend, weather_condition,
          is_festival_day) AS rn
-  FROM raw WHERE order_id IS NOT NULL) WHERE rn = 1
+  FROM again WHERE order_id IS NOT NULL) WHERE rn = 1
 UNION ALL
-SELECT {ORDER_COLS} FROM raw WHERE order_id IS NULL"""))
+SELECT {ORDER_COLS} FROM again WHERE order_id IS NULL"""))
 def q_deduplicated_orders(spark, sf_dir):
-    """T14 / PK of raw_orders: one row per order_id, earliest first."""
-    return V.dedupe_orders(raw(spark, sf_dir))
+    """T14 / PK of raw_orders: one row per order_id, earliest first, where
+    every seventh order comes again an hour later."""
+    orders = raw(spark, sf_dir)
+    again = orders.where(F.col("order_id").cast("long") % 7 == 0).withColumns({
+        "timestamp": F.col("timestamp") + F.expr("INTERVAL 1 HOUR"), "order_value": F.col("order_value") + 1})
+    return V.dedupe_orders(orders.unionByName(again))
+
+
+@register("text_timestamps", O.with_ctes(O.raw_cte(CFG), body="""
+SELECT order_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS as_text,
+       date_trunc('second', "timestamp") AS parsed, true AS rejects_other_text FROM raw"""))
+def q_text_timestamps(spark, sf_dir):
+    """FN21, FN22: every order's time as text and read back; other text is NULL."""
+    text = cal.to_text("timestamp")
+    return raw(spark, sf_dir).select(
+        "order_id", text.alias("as_text"), cal.from_text(text).alias("parsed"),
+        cal.from_text(F.concat(F.lit("on "), text)).isNull().alias("rejects_other_text"))
 
 
 # ---- features (AG1-AG4, JN1-JN3, FN1-FN14, WN1-WN7) ---------------------------------
