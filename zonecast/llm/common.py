@@ -24,11 +24,24 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` once into the shared folder and read it."""
+    """Cut lineage: write ``df`` once into the shared folder and read it.
+
+    The write's own shuffle files are no longer needed by then (the table is
+    on shared storage), so Spark is told to delete them with it instead of
+    keeping them until the driver collects garbage.
+    """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"llm-{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
