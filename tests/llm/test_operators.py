@@ -155,7 +155,7 @@ def test_near_equal_paragraphs_join_one_cluster():
         raw = " ".join(w).encode()
         s = textblocks.shingles(*[textblocks.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[k] for k in (0, 3)])[0]
         sets.append(s)
-    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), *(pa.array([np.unique(s).tobytes()]) for s in sets)],
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), *(pa.array([para_dedup.pack(s)]) for s in sets)],
                                        ["a", "b", "xs", "ys"])
     assert next(para_dedup.confirm([batch])).to_pylist() == [{"a": 1, "b": 2}]  # 19 of 21 shingles
     assert 1 - (1 - 0.75 ** para_dedup.ROWS) ** para_dedup.BANDS >= para_dedup.RECALL
@@ -259,7 +259,7 @@ def test_no_vectors(spark):
 def test_cover_tree_levels_are_nested_and_cover():
     tree = cover_tree.CoverTree(cover_tree.unit(vectors()))
     n = len(tree.points)
-    for level, (s, r) in enumerate(zip(tree.start[:-1], cover_tree.RADII)):
+    for level, (s, r) in enumerate(zip(tree.start[:-1], tree.bounds)):
         centre = np.repeat(s, np.diff(np.append(s, n)))
         far = np.linalg.norm(tree.points - tree.points[centre], axis=1)
         assert far.max() <= r + 1e-9

@@ -9,7 +9,10 @@ whatever other words, has at least one whole paragraph in common.
 Equal paragraphs meet by their fingerprint.  Of the rest, minhash bands
 (tuned by ``tune_bands`` for recall at the threshold) collide; colliding
 pairs are confirmed by exact Jaccard similarity of their shingle sets, and
-connected components of confirmed pairs are clusters.  A cluster that spans
+connected components of confirmed pairs are clusters.  In a band of m
+different paragraphs fewer than 2 m pairs are looked at (each with the next
+and with the first), so a similar pair that is neither, in no band, is not
+linked; equal paragraphs always are.  A cluster that spans
 several documents is a repeated passage: its first occurrence (smallest
 doc_id, then position) stays, the others are removed.
 
@@ -158,6 +161,16 @@ def collide(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x[:, 0].copy()), pa.array(x[:, 1].copy())], ["a", "b"])
 
 
+def pack(inside: np.ndarray) -> bytes:
+    """The distinct shingles of a paragraph, the first 40 bits of each hash:
+    enough to tell the few shingles of two paragraphs apart."""
+    return np.unique(inside).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def unpack(raw: bytes) -> set[bytes]:
+    return {raw[i:i + 5] for i in range(0, len(raw), 5)}
+
+
 def contents(batches):
     """(fingerprint, shingles) of the wanted paragraphs of each text."""
     for batch in batches:
@@ -168,7 +181,7 @@ def contents(batches):
             asked = [set(wanted[k].as_py()) for k in range(i, j)]
             for t, m, x in zip(text.tolist(), marks.tolist(), inside):
                 if m in asked[t]:
-                    out.append((m, np.unique(x).tobytes()))
+                    out.append((m, pack(x)))
                     asked[t].discard(m)
         if out:
             m, x = zip(*out)
@@ -179,8 +192,8 @@ def confirm(batches):
     for batch in batches:
         ok = []
         for r, (x, y) in enumerate(zip(batch.column("xs").to_pylist(), batch.column("ys").to_pylist())):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            union = len(np.union1d(x, y))
+            x, y = unpack(x), unpack(y)
+            union = len(x | y)
             if 100 * (len(x) + len(y) - union) >= THRESHOLD * union:
                 ok.append(r)
         if ok:
