@@ -40,6 +40,7 @@ CHUNK = 8192
 MAX_PIVOTS = 512
 RADII = tuple(2.0 ** -k for k in range(7))
 TILE = 1024       # nodes of a side in a matrix product
+PAIRS = 1 << 17   # node pairs expanded at a time
 MARGIN = 1e-9     # a bound must clear the threshold by this much
 FOUND = "vec_id long, n_links long, root long"
 
@@ -84,6 +85,9 @@ class CoverTree:
         # Slices of a finer level lie inside those of a coarser one, in its order.
         self.order, self.points = order, points[order]
         self.start = [*paths, np.arange(n)] if not paths or len(paths[-1]) < n else paths
+        self.bounds = [*RADII[:len(paths)], 0.0][:len(self.start)]  # a level's radius at most
+        while len(self.start) > 2 and 2 * len(self.start[0]) > n:
+            del self.start[0], self.bounds[0]  # a top level that hardly groups prunes nothing
         self.radius, self.size = [], []
         for s in self.start:
             size = np.diff(np.append(s, n))
@@ -159,18 +163,39 @@ class DualTraversal:
         for p, q in zip(x[inside], y[inside]):
             self._all(a.start[la][p], a.size[la][p], b.start[lb][q], b.size[lb][q])
         open_ = ~single & ~inside
-        finer_a, finer_b = min(la + 1, len(a.start) - 1), min(lb + 1, len(b.start) - 1)
-        for p, q in zip(x[open_], y[open_]):
-            a0, a1 = self._below(a, la, finer_a, p)
-            b0, b1 = self._below(b, lb, finer_b, q)
-            self._tiles(finer_a, finer_b, a0, a1, b0, b1)
+        if open_.any():
+            self._deeper(la, lb, x[open_], y[open_])
+
+    def _deeper(self, la, lb, x, y):
+        """The pairs of the children of each open pair of nodes."""
+        (la, a0, na), (lb, b0, nb) = self._below(self.a, la, x), self._below(self.b, lb, y)
+        many = na * nb >= TILE
+        for i in np.flatnonzero(many):
+            self._tiles(la, lb, a0[i], a0[i] + na[i], b0[i], b0[i] + nb[i])
+        a0, na, b0, nb = (z[~many] for z in (a0, na, b0, nb))
+        n = na * nb
+        ends = np.cumsum(n)
+        first = 0
+        while first < len(n):  # about PAIRS pairs at a time
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + PAIRS)))
+            k = np.arange(int(n[first:last].sum()))
+            of = np.repeat(np.arange(first, last), n[first:last])
+            k -= (ends[of] - n[of]) - (ends[first] - n[first])
+            u, v = a0[of] + k // nb[of], b0[of] + k % nb[of]
+            cosine = np.einsum("ij,ij->i", self.a.points[self.a.start[la][u]], self.b.points[self.b.start[lb][v]])
+            bound = self.reach + MARGIN + self.a.radius[la][u] + self.b.radius[lb][v]
+            close = cosine >= 1 - np.minimum(bound, 2) ** 2 / 2
+            if close.any():
+                self._decide(la, lb, u[close], v[close], cosine[close])
+            first = last
 
     @staticmethod
-    def _below(tree, level, finer, node):
-        if finer == level:
-            return node, node + 1
-        first, end = tree.children(level, np.array([node]))
-        return int(first[0]), int(end[0])
+    def _below(tree, level, node):
+        """(next level, first child, children) of each node."""
+        if level + 1 == len(tree.start):
+            return level, node, np.ones(len(node), np.int64)
+        first, end = tree.children(level, node)
+        return level + 1, first, end - first
 
     def _link(self, x, y):
         if len(x):
