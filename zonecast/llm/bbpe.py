@@ -232,7 +232,7 @@ class ByteBPE:
             out.append(ids)
         return out
 
-    def encode_column(self, column, block_bytes: int = 4 << 20):
+    def encode_column(self, column, block_bytes: int = 1 << 20):
         """Yield each text's ids as little-endian 32-bit bytes, in order."""
         for _, _, data, off in tb.blocks(column, block_bytes):
             if not len(data):
