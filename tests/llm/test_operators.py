@@ -303,6 +303,28 @@ def test_collisions_are_drawn_again(spark):
     assert out[3] == "clean" and out[2] not in out[1] and first[:3] + "-" + first[3:5] not in out[1]
 
 
+def test_given_names_never_share_a_surrogate(spark):
+    names = sorted({f"{a}{b}{c}".title() for a in pii.SYLLABLES["latin"] for b in pii.SYLLABLES["latin"] for c in ("", "o", "ia", "el", "is", "yn", "e")})
+    names = [n for v in pii.GIVEN.values() for n in v] + names[:2000]
+    titles = ["Mr", "Mrs", "Dr"]
+    docs = documents(spark, [(k, f"met {titles[k % 3]} {n} Doe, {titles[k // 3 % 3]}. {n} Doe") for k, n in enumerate(names)])
+    got = {r.doc_id: r.text for r in pii.anonymise(docs).collect()}
+    new = {}
+    for k, n in enumerate(names):
+        first, second = (got[k][a:b] for a, b, kind in pii.spans(got[k]) if kind.startswith("given"))
+        assert first == second == new.setdefault(n, first)
+    assert len(set(new.values())) == len(new) and not set(new.values()) & set(new)
+
+
+def test_fields_without_letters_are_no_secrets_and_full_formats_lengthen(spark):
+    blank = f"password: {'_' * 20} token = {'-' * 16}"
+    mails = [f"_@{k}.com" for k in range(10)]
+    docs = documents(spark, [(1, blank)] + [(2 + k, m) for k, m in enumerate(mails)])
+    got = {r.doc_id: r.text for r in pii.anonymise(docs).collect()}
+    assert got.pop(1) == blank
+    assert len(set(got.values())) == 10 and not set(got.values()) & set(mails)
+
+
 def test_anonymise_odd_rows_and_nothing(odd, odd_rows, none):
     got = pii.anonymise(clashing(odd)).collect()
     assert collections.Counter((r.doc_id, r.text) for r in got) == collections.Counter(odd_rows)

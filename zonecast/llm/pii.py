@@ -12,12 +12,19 @@ only on key, kind, value and attempt:
   different values of one format get different surrogates by construction;
 * cards keep their first digit and whether the Luhn check holds; IPv4
   addresses stay valid; domains keep their last label;
-* given names come from a list for gender (from the title) and script,
-  surnames are built from syllables of the script.
+* given names come first from a list for gender and script, further ones and
+  surnames are built from syllables of the script, more with every attempt.
+  A given name is one entity a script whatever title it stands behind; its
+  gender only directs the draw (titles of both genders, or of none, draw a
+  neutral name).
 
 Collision checks run over all entities of the corpus: a surrogate that is
 some real entity's value, or another entity's surrogate, is drawn again with
-the next attempt until none is left.  Entities are counted and joined as a
+the next attempt until none is left, without exception.  Names lengthen with
+the attempt; e-mail addresses, secrets and telephone numbers do after every
+``SAME`` draws, so that a format whose few values are all in use isn't the
+end.  (IPv4 addresses, cards and social-security numbers can't be longer;
+should MAX_ATTEMPTS draws of one all be taken, the run fails.)  Entities are counted and joined as a
 table; only the few that needed another attempt are joined back to the
 texts that mention them (the planner broadcasts them if they are small).
 
@@ -40,6 +47,7 @@ from zonecast.llm.common import small_batches, text_frame, written
 
 KEY = b"zonecast-surrogates"  # a deployment passes its own secret
 MAX_ATTEMPTS = 64
+SAME = 16           # draws in a value's own format before it may lengthen
 ENTITIES = "kind string, value string"
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -49,7 +57,7 @@ _TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "господин", "г-н"
 _TITLE = {t: g for g, ts in _TITLES.items() for t in ts}
 # Kind, pattern (group 1 is the entity), and what a text must hold at all.
 KINDS = (
-    ("secret", re.compile(r"(?i)(?<!\w)(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s*[:=]\s*[\"']?([A-Za-z0-9+/_-]{16,256})"), "="),
+    ("secret", re.compile(r"(?i)(?<!\w)(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s*[:=]\s*[\"']?((?=[+/_-]{0,255}[A-Za-z0-9])[A-Za-z0-9+/_-]{16,256})"), "="),
     ("email", re.compile(r"(?<![\w.%+-])(\w[\w.%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24})(?![\w@])"), "@"),
     ("ip", re.compile(rf"(?<![\w.])((?:{_OCTET}\.){{3}}{_OCTET})(?!\w|\.\d)"), "."),
     ("card", re.compile(r"(?<![\w+.-])(\d(?:[ -]?\d){12,18})(?!\w|[.-]\d)"), None),
@@ -73,6 +81,8 @@ GIVEN["n", "latin"] = "Alex Chris Dana Jamie Jordan Kim Lee Morgan Robin Sam Tay
 GIVEN["n", "cyrillic"] = "Женя Саша Валя Слава Шура Миша Никита Паша".split()
 SYLLABLES = {"latin": "bar bel cor dan del far gan hal kel lan mar nor pel ran sel tan ver wal".split(),
              "cyrillic": "бор вол гор дан кар лев мар нов пет ром сав тар".split()}
+ENDINGS = {("m", "latin"): "us", ("f", "latin"): "a", ("n", "latin"): "y",
+           ("m", "cyrillic"): "", ("f", "cyrillic"): "а", ("n", "cyrillic"): "и"}
 
 
 class Surrogates:
@@ -119,11 +129,20 @@ class Surrogates:
             out.append(c)
         return "".join(reversed(out))
 
+    def syllables(self, value: str, tweak: str, script: str, count: int) -> str:
+        h, out = self._hash(tweak, value), ""
+        parts = SYLLABLES[script]
+        for _ in range(count):
+            h, k = divmod(h, len(parts))
+            out += parts[k]
+        return out
+
     def _of(self, kind: str, value: str, attempt: int) -> str:
-        tweak = f"{kind}:{attempt}"
+        tweak, more = f"{kind}:{attempt}", attempt // SAME
         if kind == "email":
-            head, _, last = value.rpartition(".")
-            return self.letters(head, tweak) + "." + last
+            local, _, rest = value.partition("@")
+            domain, _, last = rest.rpartition(".")
+            return self.letters(f"{local}{'a' * more}@{domain}", tweak) + "." + last
         if kind == "ip":
             x = 0
             for o in value.split("."):
@@ -136,19 +155,21 @@ class Surrogates:
             return next(body + d for d in "0123456789" if luhn(body + d) == off)
         if kind.startswith("given"):
             _, gender, script = kind.split(":")
-            names = GIVEN[gender, script]
-            h = self._hash(tweak, value)
-            name = names[h % len(names)]
-            return (name if attempt < 4 else f"{name}-{names[h // len(names) % len(names)]}").lower()
+            if attempt == 0:
+                names = GIVEN[gender, script]
+                return names[self._hash(tweak, value) % len(names)].lower()
+            return self.syllables(value, tweak, script, 1 + attempt) + ENDINGS[gender, script]
         if kind.startswith("surname"):
-            parts = SYLLABLES[kind.split(":")[1]]
-            h, out = self._hash(tweak, value), ""
-            for _ in range(3 + attempt // 4):
-                h, k = divmod(h, len(parts))
-                out += parts[k]
+            return self.syllables(value, tweak, kind.split(":")[1], 3 + attempt // 4)
+        if kind == "secret":
+            hexadecimal = re.fullmatch(f"[{HEX}-]+", value)
+            return self.letters(value + "a" * more, tweak, dict.fromkeys(HEX, HEX) if hexadecimal else _ALPHABET)
+        if kind == "phone":
+            value += "0" * more
+            out = self.letters(value, tweak)
+            while len(out) == 11 and out[0] == "1" != value[0]:  # would read as ten digits behind +1
+                out = self.letters(out, tweak)
             return out
-        if kind == "secret" and re.fullmatch(f"[{HEX}-]+", value):
-            return self.letters(value, tweak, dict.fromkeys(HEX, HEX))
         return self.letters(value, tweak)
 
 
@@ -187,6 +208,11 @@ def spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def entity(kind: str) -> str:
+    """The kind that all mentions of an entity share: no gender."""
+    return re.sub("^given:[mfn]:", "given:", kind)
+
+
 def canonical(kind: str, mention: str) -> str:
     """The value that all mentions of an entity share."""
     if kind in ("card", "ssn", "phone"):
@@ -206,7 +232,7 @@ def render(kind: str, mention: str, surrogate: str) -> str:
             elif c.isdigit():
                 c = next(digits)
             out.append(c)
-        return "".join(out)
+        return "".join((*out, *digits))
     if kind.startswith(("given", "surname")):
         return surrogate.title() if not mention.isupper() else surrogate.upper()
     if len(surrogate) != len(mention):
@@ -216,12 +242,16 @@ def render(kind: str, mention: str, surrogate: str) -> str:
     return "".join(s.upper() if m.isupper() else s for s, m in zip(surrogate, mention))
 
 
-def replace(text: str, surrogates: Surrogates, attempts: dict[tuple[str, str], int]) -> tuple[str, list[str]]:
-    """The text with surrogates, and the kinds replaced."""
+def replace(text: str, surrogates: Surrogates,
+            attempts: dict[tuple[str, str], tuple[str, int]]) -> tuple[str, list[str]]:
+    """The text with surrogates, and the kinds replaced.  ``attempts`` holds
+    (kind, attempt) of the entities not drawn by the mention's own kind in
+    the first attempt."""
     out, last, kinds = [], 0, []
     for a, b, kind in spans(text):
         value = canonical(kind, text[a:b])
-        new = surrogates.of(kind, value, attempts.get((kind, value), 0))
+        drawn, attempt = attempts.get((entity(kind), value), (kind, 0))
+        new = surrogates.of(drawn, value, attempt)
         out += text[last:a], render(kind, text[a:b], new)
         last = b
         kinds.append(kind.split(":")[0])
@@ -233,59 +263,71 @@ def _mentions(batches, with_text: bool):
         rows = set()
         for k, t in enumerate(batch.column("text").to_pylist()):
             where = (batch.column("h")[k].as_py(),) if with_text and t else ()
-            rows.update((*where, kind, canonical(kind, t[a:b])) for a, b, kind in (spans(t) if t else ()))
+            rows.update((*where, entity(kind) if with_text else kind, canonical(kind, t[a:b]))
+                        for a, b, kind in (spans(t) if t else ()))
         columns = list(zip(*sorted(rows))) if rows else [[]] * (2 + with_text)
         types = [pa.int64()] * with_text + [pa.string()] * 2
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
-                                         (["h"] if with_text else []) + ["kind", "value"])
+                                         ["h", "entity", "value"] if with_text else ["kind", "value"])
 
 
 def assign(entities: DataFrame, key: bytes = KEY) -> DataFrame:
-    """kind, value, attempt, surrogate: no surrogate is a real value of its
-    kind, nor any other entity's surrogate."""
+    """kind, value, attempt, surrogate, mixed: no surrogate is a real value
+    of its kind, nor any other entity's surrogate.  A given name's kind has
+    the gender drawn; ``mixed`` tells that its mentions have several."""
     def draw(batches):
         s = Surrogates(key)
         for b in batches:
             new = [s.of(*x) for x in zip(*(b.column(c).to_pylist() for c in ("kind", "value", "attempt")))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(new, pa.string())], ["kind", "value", "attempt", "surrogate"])
-
-    schema = "kind string, value string, attempt int, surrogate string"
-    names = F.col("kind").startswith("given")  # few names, shared by design between people of one script
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(new, pa.string())], [*b.schema.names, "surrogate"])
+
+    gender = F.regexp_extract("kind", "^given:([mfn]):", 1)
+    entities = (entities.withColumn("gender", gender).withColumn("entity", F.regexp_replace("kind", "^given:[mfn]:", "given:"))
+                .groupBy("entity", "value").agg(F.collect_set("gender").alias("genders")))
+    known = F.array_except("genders", F.array(F.lit("n")))
+    entities = written(entities.select(
+        "entity", "value", (F.size("genders") > 1).alias("mixed"),
+        F.when(F.array_contains("genders", ""), F.col("entity"))
+        .otherwise(F.concat(F.lit("given:"), F.when(F.size(known) == 1, known[0]).otherwise("n"),
+                            F.substring("entity", 6, 99))).alias("kind")), "entities")
+    columns = ["entity", "value", "mixed", "kind"]
+    schema = "entity string, value string, mixed boolean, kind string, attempt int, surrogate string"
     pending, done = entities.withColumn("attempt", F.lit(0)), None
     for _ in range(MAX_ATTEMPTS):
         drawn = written(pending.mapInArrow(draw, schema), "surrogates")
-        taken = entities.select("kind", F.col("value").alias("surrogate"))
+        taken = entities.select("entity", F.col("value").alias("surrogate"))
         if done is not None:
-            taken = taken.unionByName(done.select("kind", "surrogate"))
-        clash = drawn.join(taken.distinct().withColumn("taken", F.lit(True)), ["kind", "surrogate"], "left")
-        order = Window.partitionBy("kind", "surrogate").orderBy("value")
-        clash = written(clash.withColumn("again", (F.col("taken").isNotNull() | (F.row_number().over(order) > 1))
-                                         & ~(names & (F.col("attempt") >= MAX_ATTEMPTS - 1))), "checked")
-        good = clash.filter("NOT again").select("kind", "value", "attempt", "surrogate")
+            taken = taken.unionByName(done.select("entity", "surrogate"))
+        clash = drawn.join(taken.distinct().withColumn("taken", F.lit(True)), ["entity", "surrogate"], "left")
+        order = Window.partitionBy("entity", "surrogate").orderBy("value")
+        clash = written(clash.withColumn("again", F.col("taken").isNotNull() | (F.row_number().over(order) > 1)), "checked")
+        good = clash.filter("NOT again").select(*columns, "attempt", "surrogate")
         done = good if done is None else done.unionByName(good)
-        pending = clash.filter("again").select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
+        pending = clash.filter("again").select(*columns, (F.col("attempt") + 1).alias("attempt"))
         if pending.isEmpty():
-            return done
+            return done.select("kind", "value", "attempt", "surrogate", "mixed")
     raise RuntimeError("no free surrogate after MAX_ATTEMPTS draws")
 
 
 def _with_attempts(docs: DataFrame, text: str, key: bytes) -> DataFrame:
-    """``docs`` and a column of the entities whose first draw collided."""
+    """``docs`` and a column of the entities whose first draw collided, or
+    is of another gender than some mention's title."""
     src = docs.select(F.col(text).cast("string").alias("text"))
     entities = written(src.mapInArrow(lambda b: _mentions(b, False), ENTITIES).distinct(), "entities")
-    redrawn = assign(entities, key).filter("attempt > 0").select("kind", "value", "attempt")
+    redrawn = assign(entities, key).filter("attempt > 0 OR mixed").select(
+        F.regexp_replace("kind", "^given:[mfn]:", "given:").alias("entity"), "value", "kind", "attempt")
     redrawn = written(redrawn, "redrawn")
     if redrawn.isEmpty():
-        return docs.withColumn("__redrawn", F.lit(None).cast("array<struct<kind:string,value:string,attempt:int>>"))
+        return docs.withColumn("__redrawn", F.lit(None).cast("array<struct<entity:string,value:string,kind:string,attempt:int>>"))
     hashed = src.withColumn("h", F.xxhash64("text"))
-    by_text = (hashed.mapInArrow(lambda b: _mentions(b, True), "h long, kind string, value string").distinct()
-               .join(redrawn, ["kind", "value"]).groupBy(F.col("h").alias("__h"))
-               .agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("__redrawn")))
+    by_text = (hashed.mapInArrow(lambda b: _mentions(b, True), "h long, entity string, value string").distinct()
+               .join(redrawn, ["entity", "value"]).groupBy(F.col("h").alias("__h"))
+               .agg(F.collect_list(F.struct("entity", "value", "kind", "attempt")).alias("__redrawn")))
     return docs.join(written(by_text, "texts"), F.xxhash64(F.col(text).cast("string")) == F.col("__h"), "left").drop("__h")
 
 
 def _attempts(cell) -> dict:
-    return {(x["kind"], x["value"]): x["attempt"] for x in cell or ()}
+    return {(x["entity"], x["value"]): (x["kind"], x["attempt"]) for x in cell or ()}
 
 
 def anonymise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key: bytes = KEY) -> DataFrame:
