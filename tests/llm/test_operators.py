@@ -325,6 +325,30 @@ def test_fields_without_letters_are_no_secrets_and_full_formats_lengthen(spark):
     assert len(set(got.values())) == 10 and not set(got.values()) & set(mails)
 
 
+@pytest.mark.parametrize("text, entities", [
+    ("dns is 8.8.8.8", ["8.8.8.8"]), ("1.1.1.1", ["1.1.1.1"]), ("ip ٣.٣.٣.٣", ["٣.٣.٣.٣"]),
+    ("pay 4 5 3 9 5 7 8 7 6 3 6 2 1 4 8 6 now", ["4 5 3 9 5 7 8 7 6 3 6 2 1 4 8 6"]), ("id ١٢٣-٤٥-٦٧٨٩", ["١٢٣-٤٥-٦٧٨٩"]),
+    ("Mr. McDonald's", ["McDonald"]), ("Mr O'Neil, Mr O’Neil", ["O'Neil", "O’Neil"]), ("Mr. Šimek", ["Šimek"]),
+    ("Mr S\u030cimek", ["S\u030cimek"]), ("MR SMITH.", ["SMITH"]), ("MS Office, MS ROE", ["ROE"]),
+    ("Mrs Jean-Paul left", ["Jean-Paul"]), ("Dr Παπαδόπουλος", ["Παπαδόπουλος"]), ("Mr Smith's", ["Smith"]),
+    ("Mrs Anne-Marie O'Brien-Łukasz", ["Anne-Marie", "O'Brien-Łukasz"]), ("mail 王小明@example.com", ["王小明@example.com"]),
+    ("mail İŞTE@X9.com", ["İŞTE@X9.com"]), ("मोहन@example.org", ["मोहन@example.org"]), ("Mr. who", [])])
+def test_detections_in_any_script_are_whole_and_replaced(text, entities):
+    found = pii.spans(text)
+    assert [text[a:b] for a, b, kind in found] == entities
+    new, kinds = pii.replace(text, pii.Surrogates(), {})
+    assert len(kinds) == len(found) and [k for *_, k in pii.spans(new)] == [k for *_, k in found]
+    assert not any(old in new for old in entities)
+    for (a, _, kind), (c, _, _) in zip(found, pii.spans(new)):
+        assert kind != "email" or text[a:].split("@")[0] != new[c:].split("@")[0]
+
+
+def test_mentions_of_one_entity_corefer_in_other_forms():
+    for kind, forms in (("surname:latin", ("O'Neil", "O’Neil", "O'NEIL")), ("surname:latin", ("Šimek", "S\u030cimek")),
+                        ("ip", ("3.3.3.3", "٣.٣.٣.٣")), ("ssn", ("123-45-6789", "١٢٣-٤٥-٦٧٨٩")), ("email", ("İa@B.com", "İA@b.com"))):
+        assert len({pii.canonical(kind, f) for f in forms}) == 1
+
+
 def test_anonymise_odd_rows_and_nothing(odd, odd_rows, none):
     got = pii.anonymise(clashing(odd)).collect()
     assert collections.Counter((r.doc_id, r.text) for r in got) == collections.Counter(odd_rows)

@@ -2,13 +2,15 @@
 
 Detected: e-mail addresses, telephone numbers, IPv4 addresses, payment card
 numbers, social-security numbers, secrets behind ``token =`` and the like,
-and names behind a title.  An entity is a kind and a canonical value, so
-mentions that differ in case or punctuation corefer.  Its surrogate depends
+and names behind a title (a capital of any script, then letters with inner
+capitals, apostrophes and hyphens; titles as listed or in capitals).  An
+entity is a kind and a canonical value, so mentions that differ in case,
+punctuation, the script of digits or the composition of accents corefer.  Its surrogate depends
 only on key, kind, value and attempt:
 
 * strings are permuted within their alphabet (digits stay digits, Latin,
-  accented, Greek or Cyrillic letters stay such, case and punctuation are the
-  mention's) by a keyed Feistel network with cycle walking, a bijection, so
+  accented, Greek or Cyrillic letters and those of any other script stay
+  such, case and punctuation are the mention's) by a keyed Feistel network with cycle walking, a bijection, so
   different values of one format get different surrogates by construction;
 * cards keep their first digit and whether the Luhn check holds; IPv4
   addresses stay valid; domains keep their last label;
@@ -37,6 +39,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+import unicodedata
 from functools import lru_cache
 
 import pyarrow as pa
@@ -51,23 +55,29 @@ SAME = 16           # draws in a value's own format before it may lengthen
 ENTITIES = "kind string, value string"
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_LATIN, _CYRILLIC = r"[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+", r"[А-ЯЁ][а-яё]+"
+_UPPER = "".join(re.findall(r"\w", "".join(c for c in map(chr, range(0x20000)) if c.isupper() or c.istitle())))
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x20000)) if unicodedata.category(c) in ("Mn", "Mc"))
+_LETTERS = rf"(?:[^\W\d_]|[{_MARKS}])+"
+_MORE = rf"['’-](?![sS](?!\w)){_LETTERS}"  # not a genitive
+_NAME = rf"[{_UPPER}](?:{_LETTERS}(?:{_MORE})*|(?:{_MORE})+)"
 _TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "господин", "г-н"),
            "f": ("Mrs", "Ms", "Frau", "Madame", "Mme", "Señora", "госпожа", "г-жа"), "n": ("Dr", "Prof")}
-_TITLE = {t: g for g, ts in _TITLES.items() for t in ts}
-# Kind, pattern (group 1 is the entity), and what a text must hold at all.
+_TITLE = {t: g for g, ts in _TITLES.items() for x in ts for t in (x, x.upper())}
+_AHEAD = {"MS": rf"(?=\.? [{_UPPER}]['’-]?[{_UPPER}])"}  # MS SMITH, not MS Office
+# Kind, pattern (group 1 is the entity), and what any text with a match holds.
 KINDS = (
-    ("secret", re.compile(r"(?i)(?<!\w)(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s*[:=]\s*[\"']?((?=[+/_-]{0,255}[A-Za-z0-9])[A-Za-z0-9+/_-]{16,256})"), "="),
-    ("email", re.compile(r"(?<![\w.%+-])(\w[\w.%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24})(?![\w@])"), "@"),
-    ("ip", re.compile(rf"(?<![\w.])((?:{_OCTET}\.){{3}}{_OCTET})(?!\w|\.\d)"), "."),
-    ("card", re.compile(r"(?<![\w+.-])(\d(?:[ -]?\d){12,18})(?!\w|[.-]\d)"), None),
-    ("ssn", re.compile(r"(?<![\w-])(\d{3}-\d{2}-\d{4})(?![\w-])"), "-"),
-    ("phone", re.compile(r"(?<![\w+])((?:\+?\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{1,3}(?:[ .-]\d{2,4}){2,5})(?!\w)"), None),
-    ("name", re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, _TITLE))})\.? ((?:{_LATIN}|{_CYRILLIC})(?: (?:{_LATIN}|{_CYRILLIC}))?)(?!\w)"), None),
+    ("secret", re.compile(r"(?i)(?<!\w)(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s*[:=]\s*[\"']?((?=[+/_-]{0,255}[A-Za-z0-9])[A-Za-z0-9+/_-]{16,256})"), re.compile("[=:]")),
+    ("email", re.compile(rf"(?<![\w.%+{_MARKS}-])(\w[\w.%+{_MARKS}-]{{0,63}}@[A-Za-z0-9-]{{1,63}}(?:\.[A-Za-z0-9-]{{1,63}}){{0,8}}\.[A-Za-z]{{2,24}})(?![\w@])"), re.compile("@")),
+    ("ip", re.compile(rf"(?<![\w.])((?:{_OCTET}\.){{3}}{_OCTET})(?!\w|\.\d)"), re.compile(r"\d\.\d")),
+    ("card", re.compile(r"(?<![\w+.-])(\d(?:[ -]?\d){12,18})(?!\w|[.-]\d)"), re.compile(r"\d[ -]?\d")),
+    ("ssn", re.compile(r"(?<![\w-])(\d{3}-\d{2}-\d{4})(?![\w-])"), re.compile(r"\d-\d")),
+    ("phone", re.compile(r"(?<![\w+])((?:\+?\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{1,3}(?:[ .-]\d{2,4}){2,5})(?!\w)"), re.compile(r"\d{2}")),
+    ("name", re.compile(rf"(?<!\w)(?:{'|'.join(re.escape(t) + _AHEAD.get(t, '') for t in _TITLE)})\.? ({_NAME}(?: {_NAME})?)(?!\w)"), None),
 )
-_DIGITS = re.compile(r"\d{2}")
+_DIGIT = re.compile(r"\d")
 
 ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ",
+             "āăąćĉċčďđēĕėęěĝğġģĥħĩīĭįĵķĺļľłńņňōŏőŕŗřśŝşšţťŧũūŭůűųŵŷźżž",
              "αβγδεζηθικλμνξοπρστυφχψω", "абвгдеёжзийклмнопрстуфхцчшщъыьэюя")
 HEX = "0123456789abcdef"
 _ALPHABET = {c: a for a in ALPHABETS for c in a}
@@ -80,9 +90,25 @@ GIVEN = {
 GIVEN["n", "latin"] = "Alex Chris Dana Jamie Jordan Kim Lee Morgan Robin Sam Taylor Toni".split()
 GIVEN["n", "cyrillic"] = "Женя Саша Валя Слава Шура Миша Никита Паша".split()
 SYLLABLES = {"latin": "bar bel cor dan del far gan hal kel lan mar nor pel ran sel tan ver wal".split(),
-             "cyrillic": "бор вол гор дан кар лев мар нов пет ром сав тар".split()}
+             "cyrillic": "бор вол гор дан кар лев мар нов пет ром сав тар".split(),
+             "greek": "βαρ γαλ δαν καρ λαν μαρ νορ παν ροδ σαρ ταν φιλ".split()}
 ENDINGS = {("m", "latin"): "us", ("f", "latin"): "a", ("n", "latin"): "y",
-           ("m", "cyrillic"): "", ("f", "cyrillic"): "а", ("n", "cyrillic"): "и"}
+           ("m", "cyrillic"): "", ("f", "cyrillic"): "а", ("n", "cyrillic"): "и",
+           ("m", "greek"): "ος", ("f", "greek"): "α", ("n", "greek"): "ι"}
+
+
+@lru_cache(1)
+def _others() -> dict[str, str]:
+    """The alphabets of all letters and digits not in ALPHABETS: one a
+    script (the first word of the characters' names) and plane."""
+    groups: dict[tuple, list[str]] = {}
+    for c in map(chr, range(128, sys.maxunicode + 1)):
+        if c.isalnum() and c not in _ALPHABET and (c.lower() == c or len(c.lower()) > 1):
+            name = re.split("[ -]", unicodedata.name(c, ""), maxsplit=1)[0]
+            groups.setdefault((name, c.isdecimal(), ord(c) >> 16), []).append(c)
+    rest = [c for g in groups.values() if len(g) < 10 for c in g]
+    alphabets = ["".join(g) for g in (*(g for g in groups.values() if len(g) >= 10), rest)]
+    return {c: a for a in alphabets for c in a}
 
 
 class Surrogates:
@@ -112,7 +138,7 @@ class Surrogates:
 
     def letters(self, value: str, tweak: str, alphabet: dict[str, str] = _ALPHABET) -> str:
         """Permute all letters and digits, each within its alphabet."""
-        alphabets = [alphabet.get(c) for c in value]
+        alphabets = [alphabet.get(c) or (_others().get(c) if c > "\x7f" and c.isalnum() else None) for c in value]
         if not any(alphabets):
             return value
         shape = "".join("x" if a is None else f"{len(a)}." for a in alphabets)
@@ -155,7 +181,7 @@ class Surrogates:
             return next(body + d for d in "0123456789" if luhn(body + d) == off)
         if kind.startswith("given"):
             _, gender, script = kind.split(":")
-            if attempt == 0:
+            if attempt == 0 and (gender, script) in GIVEN:
                 names = GIVEN[gender, script]
                 return names[self._hash(tweak, value) % len(names)].lower()
             return self.syllables(value, tweak, script, 1 + attempt) + ENDINGS[gender, script]
@@ -182,16 +208,17 @@ def luhn(digits: str) -> int:
 
 
 def script(word: str) -> str:
-    return "cyrillic" if "Ѐ" <= word[0] <= "ӿ" else "latin"
+    if "Ͱ" <= word[0] <= "Ͽ" or "ἀ" <= word[0] <= "\u1fff":
+        return "greek"
+    return "cyrillic" if "Ѐ" <= word[0] <= "ԯ" else "latin"
 
 
 def spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities of a text, in order."""
-    found, digits = [], bool(_DIGITS.search(text))
+    found, digit = [], bool(_DIGIT.search(text))
     for kind, pattern, needs in KINDS:
-        if kind in ("ip", "card", "ssn", "phone") and not digits or needs and needs not in text:
-            if not (kind == "secret" and ":" in text):
-                continue
+        if kind in ("ip", "card", "ssn", "phone") and not digit or needs and not needs.search(text):
+            continue
         for m in pattern.finditer(text):
             a, b = m.span(1)
             if all(b <= s or a >= e for s, e, _, _ in found):
@@ -216,9 +243,14 @@ def entity(kind: str) -> str:
 def canonical(kind: str, mention: str) -> str:
     """The value that all mentions of an entity share."""
     if kind in ("card", "ssn", "phone"):
-        digits = re.sub(r"\D", "", mention)
+        digits = "".join(str(int(c)) for c in mention if c.isdecimal())
         return digits[1:] if kind == "phone" and len(digits) == 11 and digits[0] == "1" else digits
-    return mention.lower() if len(mention.lower()) == len(mention) else mention
+    if kind == "ip":
+        return ".".join(str(int(o)) for o in mention.split("."))
+    if kind.startswith(("given", "surname")):
+        return unicodedata.normalize("NFC", mention).lower().replace("’", "'")
+    low = mention.lower()
+    return low if len(low) == len(mention) else "".join(c.lower() if len(c.lower()) == 1 else c for c in mention)
 
 
 def render(kind: str, mention: str, surrogate: str) -> str:
@@ -230,16 +262,14 @@ def render(kind: str, mention: str, surrogate: str) -> str:
             if c.isdigit() and skip > 0:
                 skip -= 1
             elif c.isdigit():
-                c = next(digits)
+                c = chr(ord(c) - int(c) + int(next(digits)))  # a digit of the same script
             out.append(c)
         return "".join((*out, *digits))
     if kind.startswith(("given", "surname")):
         return surrogate.title() if not mention.isupper() else surrogate.upper()
     if len(surrogate) != len(mention):
         return surrogate
-    if mention.isupper():
-        return surrogate.upper()
-    return "".join(s.upper() if m.isupper() else s for s, m in zip(surrogate, mention))
+    return "".join(s.upper() if m.isupper() and len(s.upper()) == 1 else s for s, m in zip(surrogate, mention))
 
 
 def replace(text: str, surrogates: Surrogates,
