@@ -161,6 +161,34 @@ def test_near_equal_paragraphs_join_one_cluster():
     assert 1 - (1 - 0.75 ** para_dedup.ROWS) ** para_dedup.BANDS >= para_dedup.RECALL
 
 
+def test_whole_short_texts_lines_and_changed_paragraphs_are_found(spark):
+    rows, pairs = [], []
+    def pair(a, b):
+        pairs.append((len(rows), len(rows) + 1))
+        rows.extend([(len(rows), a), (len(rows) + 1, b)])
+    for n in range(24, 50):
+        for seed in range(4):
+            t = prose(9000 + 10 * n + seed, n, 9000)
+            pair(t, t)                                # an equal text
+            t = prose(50000 + 10 * n + seed, n, 9000)  # an equal line
+            k = 100000 + 3 * len(rows)
+            pair(f"{prose(k, 90, 9000)}\n{t}\n{prose(k + 1, 40, 9000)}", f"{t}\r\n{prose(k + 2, 200, 9000)}")
+    for seed in range(20):
+        w = prose(20000 + seed, 60, 9000).split(" ")
+        other = [*w[:30], "changed", *w[31:]]
+        a, b = " ".join(w), " ".join(other)
+        pair(f"{prose(seed + 500, 80, 9000)}\n{a}", f"{b}\n{prose(seed + 600, 80, 9000)}")
+        wrapped = ["\n".join(" ".join(x[k:k + 12]) for k in range(0, 60, 12)) for x in (w, other)]
+        pair(f"new{seed} {prose(seed + 700, 80, 9000)}\n\n{wrapped[0].upper()} u{seed}", f"{wrapped[1].upper()} u{seed}\n\nold{seed} {prose(seed + 800, 80, 9000)}")
+    df = documents(spark, rows)
+    got = {r.doc_id for r in para_dedup.by_document(para_dedup.repeats(df)).collect()}
+    exact = {i for i, j in pairs[:208]} | {j for i, j in pairs[:208]}
+    near = [p for p in pairs[208:] if set(p) <= got]
+    assert exact <= got and len(near) >= 0.8 * len(pairs[208:])
+    text = {r.doc_id: r.text for r in para_dedup.remove(df).collect()}
+    assert all(text[i] == rows[i][1] and len(text[j]) < len(rows[j][1]) - 60 for i, j in pairs[:208])
+
+
 def test_paragraphs_of_odd_rows_and_nothing(odd, none):
     rows = para_dedup.by_document(para_dedup.repeats(odd)).collect()
     assert {7, 8, 9} <= {r.doc_id for r in rows} and not {0, 1, 2, 3, 12, 14, None} & {r.doc_id for r in rows}

@@ -1,10 +1,16 @@
 """Repeated passages across documents by paragraph MinHash banding.
 
-A paragraph is a run of ``PARAGRAPH`` words that begins at an anchor: the
-five-word shingle of least hash in some window of ``WINDOW`` shingles.
-Anchors depend only on the words around them, so a passage of at least
-``PASSAGE`` = 50 words that stands in two documents, wherever and between
-whatever other words, has at least one whole paragraph in common.
+Units are the whole paragraphs of a text, and anchored runs for passages that
+stand in running text.  Whole paragraphs are lines of ``PARAGRAPH`` words or
+more, and wrapped ones (several lines between blank lines).  An anchored run
+has ``PARAGRAPH`` words and begins at an anchor: the five-word shingle of
+least hash in some window of ``WINDOW`` shingles that a run can begin at (in
+a text with fewer, among all of them).  Anchors depend only on the words
+around them, so a passage of at least ``PASSAGE`` = 50 words that stands in
+two documents, wherever and between whatever other words, has at least one
+whole run in common, and so have equal texts and lines of 24 words or more.
+Shorter passages inside a line may be missed.  Below, a paragraph is a unit
+of either sort.
 
 Equal paragraphs meet by their fingerprint.  Of the rest, minhash bands
 (tuned by ``tune_bands`` for recall at the threshold) collide; colliding
@@ -14,15 +20,16 @@ different paragraphs fewer than 2 m pairs are looked at (each with the next
 and with the first), so a similar pair that is neither, in no band, is not
 linked; equal paragraphs always are.  A cluster that spans
 several documents is a repeated passage: its first occurrence (smallest
-doc_id, then position) stays, the others are removed.
+doc_id, then position) stays, with what overlaps it there (a line and the run
+in it can be one cluster); the others are removed.
 
 Bands are summed up in every task (a paragraph in many copies is sent once a
 batch), occurrences are counted with a map-side minimum, and texts are read
 again only for colliding paragraphs that aren't equal.
 
 Defined results: texts of fewer than PARAGRAPH words, empty and null texts,
-and rows without an id have no paragraphs and no result row; a run of one
-repeated word is no paragraph; repeated rows (equal id and text) count as
+and rows without an id have no paragraphs and no result row; one word
+repeated is no paragraph; repeated rows (equal id and text) count as
 one document, so they aren't repeats of each other.
 """
 
@@ -39,7 +46,7 @@ from zonecast.llm.graph import components
 
 PARAGRAPH = 24                      # words
 PASSAGE = 50                        # words of the shortest passage found for sure
-WINDOW = PASSAGE - PARAGRAPH        # shingles
+WINDOW = PASSAGE - PARAGRAPH        # shingles that a run can begin at
 SIZE = PARAGRAPH - tb.SHINGLE_WORDS + 1
 THRESHOLD = 75                      # percent
 RECALL = 0.9
@@ -59,40 +66,86 @@ def tune_bands(threshold: float = THRESHOLD / 100, recall: float = RECALL, rows:
 ROWS = 2
 BANDS = tune_bands(rows=ROWS)
 _A = np.random.default_rng(11).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_Q = np.array([pow(0xC2B2AE3D27D4EB4F, j + 1, 2**64) for j in range(SIZE)], dtype=np.uint64)
+_Q = 0xC2B2AE3D27D4EB4F
 UNITS = "doc_id long, start int, end int, print long"
 BAND_ROWS = "band long, print long"
 
 
+def anchors(s: np.ndarray, soff: np.ndarray) -> np.ndarray:
+    """The shingles at which runs begin."""
+    n = np.maximum(np.diff(soff) - SIZE + 1, 0)  # places of a text where a run has room
+    begin = np.concatenate([[0], np.cumsum(n)])
+    at = np.repeat(soff[:-1] - begin[:-1], n) + np.arange(begin[-1])
+    v, stop = s[at], np.repeat(begin[1:], n)
+    chosen = np.zeros(len(v), dtype=bool)
+    if len(v) >= WINDOW:
+        least = np.lib.stride_tricks.sliding_window_view(v, WINDOW).argmin(axis=1) + np.arange(len(v) - WINDOW + 1)
+        chosen[least[np.arange(len(least)) + WINDOW <= stop[:len(least)]]] = True
+    for d in np.flatnonzero((n > 0) & (n < WINDOW)):  # shorter than a window
+        chosen[begin[d] + v[begin[d]:begin[d + 1]].argmin()] = True
+    return at[chosen]
+
+
+def whole(data: np.ndarray, start: np.ndarray, end: np.ndarray, woff: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, words) of the lines, and of the paragraphs of several
+    lines between blank lines where a text has such."""
+    lines = np.concatenate([[0], np.cumsum(data == 10)])
+    gap = lines[start[1:]] - lines[end[:-1]] if len(start) else np.zeros(0, np.int64)
+    edge = np.zeros(len(start) + 1, dtype=bool)
+    edge[woff] = True
+    out = []
+    for breaks in (1, 2):
+        cut = edge.copy()
+        cut[1:-1] |= gap >= breaks
+        at = np.flatnonzero(cut)
+        if breaks == 2:
+            text = np.searchsorted(woff, at[:-1], "right")
+            parted = np.bincount(text, minlength=len(woff) + 1)[text] > 1
+            inner = np.concatenate([[0], np.cumsum(np.append(gap == 1, False))]) if len(start) else np.zeros(1, np.int64)
+            wrapped = inner[np.maximum(at[1:] - 1, 0)] > inner[at[:-1]]
+            ok = parted & wrapped
+        else:
+            ok = np.ones(len(at) - 1, dtype=bool)
+        ok &= np.diff(at) >= PARAGRAPH
+        out.append(np.stack([at[:-1], np.diff(at)])[:, ok])
+    return tuple(np.concatenate(out, axis=1))
+
+
 def paragraphs(data: np.ndarray, off: np.ndarray):
-    """(text number, first byte, end byte, shingles) of a block's paragraphs."""
+    """(text number, first byte, end byte, shingles, offsets of a paragraph's
+    shingles) of a block's paragraphs."""
     h, start, end, woff = tb.words(data, off)
     s, soff = tb.shingles(h, woff)
-    n = np.diff(soff)
-    text = np.repeat(np.arange(len(n)), n)
-    stop = np.repeat(soff[1:], n)            # each shingle's text ends here
-    chosen = np.zeros(len(s), dtype=bool)
-    if len(s) >= WINDOW:
-        at = np.lib.stride_tricks.sliding_window_view(s, WINDOW).argmin(axis=1) + np.arange(len(s) - WINDOW + 1)
-        chosen[at[np.arange(len(at)) + WINDOW <= stop[:len(at)]]] = True
-    for d in np.flatnonzero((n >= SIZE) & (n < WINDOW)):  # shorter than a window
-        chosen[soff[d] + s[soff[d]:soff[d + 1]].argmin()] = True
-    a = np.flatnonzero(chosen)
-    a = a[a + SIZE <= stop[a]]
-    inside = s[a[:, None] + np.arange(SIZE)] if len(a) else np.zeros((0, SIZE), np.uint64)
-    real = inside[:, 0] != inside[:, 1]
-    a, inside = a[real], inside[real]
-    first = a - soff[:-1][text[a]] + woff[:-1][text[a]]  # number of the first word
-    begin = off[:-1][text[a]]
-    return text[a], start[first] - begin, end[first + PARAGRAPH - 1] - begin, inside
-
-
-def fingerprint(inside: np.ndarray) -> np.ndarray:
-    return tb.mix((inside * _Q).sum(axis=1, dtype=np.uint64)).view(np.int64)
-
-
-def bands(inside: np.ndarray) -> np.ndarray:
-    least = np.stack([(inside * a).min(axis=1) for a in _A], axis=1).reshape(len(inside), BANDS, ROWS)
+    a = anchors(s, soff)
+    text = np.searchsorted(soff, a, "right") - 1
+    first, count = whole(data, start, end, woff)
+    first = np.concatenate([a - soff[text] + woff[text], first])  # number of the first word
+    count = np.concatenate([np.full(len(a), PARAGRAPH), count])
+    text = np.searchsorted(woff, first, "right") - 1
+    n = count - tb.SHINGLE_WORDS + 1
+    at = np.concatenate([[0], np.cumsum(n)])
+    inside = s[np.repeat(first - woff[text] + soff[text] - at[:-1], n) + np.arange(at[-1])]
+    if len(n):
+        real = np.minimum.reduceat(inside, at[:-1]) != np.maximum.reduceat(inside, at[:-1])
+        if not real.all():
+            inside = inside[np.repeat(real, n)]
+            text, first, count, n = text[real], first[real], count[real], n[real]
+            at = np.concatenate([[0], np.cumsum(n)])
+    begin = off[text]
+    return text, start[first] - begin, end[first + count - 1] - begin, inside, at
+
+
+def fingerprint(inside: np.ndarray, at: np.ndarray) -> np.ndarray:
+    if len(at) < 2:
+        return np.zeros(0, np.int64)
+    n = np.diff(at)
+    power = np.cumprod(np.full(n.max(), _Q, dtype=np.uint64))
+    place = np.arange(at[-1]) - np.repeat(at[:-1], n)
+    return tb.mix(np.add.reduceat(inside * power[place], at[:-1])).view(np.int64)
+
+
+def bands(inside: np.ndarray, at: np.ndarray) -> np.ndarray:
+    least = np.stack([np.minimum.reduceat(inside * a, at[:-1]) for a in _A], axis=1).reshape(len(at) - 1, BANDS, ROWS)
     key = least[:, :, 0] * np.uint64(0x9E3779B97F4A7C15)
     for r in range(1, ROWS):
         key = (key ^ least[:, :, r]) * np.uint64(0xBF58476D1CE4E5B9)
@@ -104,11 +157,11 @@ def find(batches):
     for batch in batches:
         ids = batch.column("doc_id")
         for i, _, data, off in tb.blocks(batch.column("text")):
-            text, a, b, inside = paragraphs(data, off)
+            text, a, b, inside, at = paragraphs(data, off)
             if len(text):
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(i + text)), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)),
-                     pa.array(fingerprint(inside))], ["doc_id", "start", "end", "print"])
+                     pa.array(fingerprint(inside, at))], ["doc_id", "start", "end", "print"])
 
 
 def band_rows(batches):
@@ -128,10 +181,10 @@ def band_rows(batches):
 
     for batch in batches:
         for _, _, data, off in tb.blocks(batch.column("text")):
-            inside = paragraphs(data, off)[3]
+            inside, at = paragraphs(data, off)[3:]
             if len(inside):
-                held.append(np.stack([bands(inside).ravel(), np.repeat(fingerprint(inside), BANDS)], axis=1))
-                rows += len(inside)
+                held.append(np.stack([bands(inside, at).ravel(), np.repeat(fingerprint(inside, at), BANDS)], axis=1))
+                rows += len(at) - 1
                 if rows >= FLUSH:
                     yield from distinct()
                     held, rows = [], 0
@@ -176,12 +229,12 @@ def contents(batches):
     for batch in batches:
         wanted, out = batch.column("wanted"), []
         for i, j, data, off in tb.blocks(batch.column("text")):
-            text, _, _, inside = paragraphs(data, off)
-            marks = fingerprint(inside)
+            text, _, _, inside, at = paragraphs(data, off)
+            marks = fingerprint(inside, at)
             asked = [set(wanted[k].as_py()) for k in range(i, j)]
-            for t, m, x in zip(text.tolist(), marks.tolist(), inside):
+            for k, (t, m) in enumerate(zip(text.tolist(), marks.tolist())):
                 if m in asked[t]:
-                    out.append((m, pack(x)))
+                    out.append((m, pack(inside[at[k]:at[k + 1]])))
                     asked[t].discard(m)
         if out:
             m, x = zip(*out)
@@ -224,14 +277,15 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     src = text_frame(docs, doc_id, text).filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= 2 * PARAGRAPH - 1))
     units = written(src.mapInArrow(find, UNITS), "paragraphs")
     near = _near(src, units)
-    counted = (units.groupBy("print").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("last"))
+    counted = (units.groupBy("print").agg(F.min(F.struct("doc_id", "start", "end")).alias("first"), F.max("doc_id").alias("last"))
                .join(near, "print", "left").filter("cluster IS NOT NULL OR first.doc_id <> last")
                .withColumn("cluster", F.coalesce("cluster", "print")))
     counted = written(counted, "counted")
     spread = (counted.groupBy("cluster").agg(F.min("first").alias("first"), F.max("last").alias("last"))
               .filter("first.doc_id <> last").drop("last"))
     marks = written(counted.select("print", "cluster").join(spread, "cluster"), "repeated")
-    removed = ~((F.col("doc_id") == F.col("first.doc_id")) & (F.col("start") == F.col("first.start")))
+    removed = ~((F.col("doc_id") == F.col("first.doc_id")) & (F.col("start") < F.col("first.end"))
+                & (F.col("end") > F.col("first.start")))
     return units.distinct().join(marks, "print").select(
         "doc_id", "start", "end", "cluster", F.col("first.doc_id").alias("first_doc_id"), removed.alias("removed"))
 
