@@ -189,6 +189,30 @@ def test_whole_short_texts_lines_and_changed_paragraphs_are_found(spark):
     assert all(text[i] == rows[i][1] and len(text[j]) < len(rows[j][1]) - 60 for i, j in pairs[:208])
 
 
+def test_all_pairs_of_large_mixed_bands_are_looked_at(spark):
+    opening, texts = prose(70000, 20, 9000), []
+    for k in range(150):  # one opening, and continuations of which two are alike
+        w = f"{opening} {prose(71000 + k, 9, 90000)}".split(" ")
+        texts += [" ".join(w), " ".join([*w[:-1], f"other{k}"])]
+    near = prose(72000, 60, 9000).split(" ")  # and a family of near copies, more than KEPT a paragraph
+    texts += [" ".join([*near[:-1], f"end{k}"]) for k in range(100)]
+    rows = list(enumerate(texts))
+    found = para_dedup.repeats(documents(spark, rows)).collect()
+    got = {r.doc_id: r.cluster for r in found if (r.start, r.end) == (0, len(texts[r.doc_id].encode()))}
+    want = brute.near_duplicates(texts)[1]
+    assert sorted(collections.Counter(want).values()) == [2] * 150 + [100]
+    joined = collections.Counter((got.get(i), want[i]) for i in got)
+    assert len({c for c, _ in joined}) == len(joined) == len({w for _, w in joined})  # no cluster is more or less
+    assert len(joined) >= 0.98 * 151 and max(joined.values()) == 100
+    s = [textblocks.text_sets(pa.array(texts[:40]))]
+    sets = list(s[0])
+    at = np.concatenate([[0], np.cumsum([len(v) for v in sets])])
+    sk = para_dedup.sketch(np.concatenate(sets), at)
+    for i in range(40):
+        ok = para_dedup.possible(sk[i:i + 1], sk)
+        assert all(ok[j] for j in range(40) if want[i] == want[j])
+
+
 def test_paragraphs_of_odd_rows_and_nothing(odd, none):
     rows = para_dedup.by_document(para_dedup.repeats(odd)).collect()
     assert {7, 8, 9} <= {r.doc_id for r in rows} and not {0, 1, 2, 3, 12, 14, None} & {r.doc_id for r in rows}

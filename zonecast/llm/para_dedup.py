@@ -13,18 +13,23 @@ Shorter passages inside a line may be missed.  Below, a paragraph is a unit
 of either sort.
 
 Equal paragraphs meet by their fingerprint.  Of the rest, minhash bands
-(tuned by ``tune_bands`` for recall at the threshold) collide; colliding
-pairs are confirmed by exact Jaccard similarity of their shingle sets, and
-connected components of confirmed pairs are clusters.  In a band of m
-different paragraphs fewer than 2 m pairs are looked at (each with the next
-and with the first), so a similar pair that is neither, in no band, is not
-linked; equal paragraphs always are.  A cluster that spans
+(tuned by ``tune_bands`` for recall at the threshold; lines and runs have
+bands of their own) collide.  Pairs in a band are dropped only if bitmaps of
+their shingles show that they can't reach the threshold; the others are
+confirmed by exact Jaccard similarity of their shingle sets, and connected
+components of confirmed pairs are clusters.  At first a paragraph is paired
+with ``KEPT`` others of a band and looks at the ``NEAR`` next; in bands where
+that left pairs, all pairs of different components are looked at afterwards,
+block by block across tasks, so none is left out.
+A cluster that spans
 several documents is a repeated passage: its first occurrence (smallest
 doc_id, then position) stays, with what overlaps it there (a line and the run
-in it can be one cluster); the others are removed.
+in it can be one cluster); the others are removed.  So is a first occurrence
+more than half of which other removed paragraphs cut out anyway (a run that
+begins two words before a passage, say).
 
-Bands are summed up in every task (a paragraph in many copies is sent once a
-batch), occurrences are counted with a map-side minimum, and texts are read
+Bands are made ``BANDS_AT_ONCE`` at a time (less disk) and summed up in every
+task (a paragraph in many copies is sent once a batch), occurrences are counted with a map-side minimum, and texts are read
 again only for colliding paragraphs that aren't equal.
 
 Defined results: texts of fewer than PARAGRAPH words, empty and null texts,
@@ -35,9 +40,11 @@ one document, so they aren't repeats of each other.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.llm import textblocks as tb
@@ -49,9 +56,14 @@ PASSAGE = 50                        # words of the shortest passage found for su
 WINDOW = PASSAGE - PARAGRAPH        # shingles that a run can begin at
 SIZE = PARAGRAPH - tb.SHINGLE_WORDS + 1
 THRESHOLD = 75                      # percent
-RECALL = 0.9
+RECALL = 0.99
 BROADCAST_KEYS = 1_000_000          # fingerprints sent to all executors at most
 FLUSH = 1 << 18                     # paragraphs of one deduplicated batch of bands
+BANDS_AT_ONCE = 3
+KEPT = 4                            # pairs of a paragraph in a band at first
+NEAR = 64                           # places in a band looked at at first
+BLOCK = 2048                        # paragraphs of a large band compared by one task
+BITS, MANY = 56, 255                # a sketch: bitmap of shingles, their number (MANY or more: unknown)
 
 
 def tune_bands(threshold: float = THRESHOLD / 100, recall: float = RECALL, rows: int = 2) -> int:
@@ -68,7 +80,7 @@ BANDS = tune_bands(rows=ROWS)
 _A = np.random.default_rng(11).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _Q = 0xC2B2AE3D27D4EB4F
 UNITS = "doc_id long, start int, end int, print long"
-BAND_ROWS = "band long, print long"
+BAND_ROWS = "band long, print long, sketch long"
 
 
 def anchors(s: np.ndarray, soff: np.ndarray) -> np.ndarray:
@@ -113,7 +125,7 @@ def whole(data: np.ndarray, start: np.ndarray, end: np.ndarray, woff: np.ndarray
 
 def paragraphs(data: np.ndarray, off: np.ndarray):
     """(text number, first byte, end byte, shingles, offsets of a paragraph's
-    shingles) of a block's paragraphs."""
+    shingles, is it whole) of a block's paragraphs."""
     h, start, end, woff = tb.words(data, off)
     s, soff = tb.shingles(h, woff)
     a = anchors(s, soff)
@@ -121,6 +133,7 @@ def paragraphs(data: np.ndarray, off: np.ndarray):
     first, count = whole(data, start, end, woff)
     first = np.concatenate([a - soff[text] + woff[text], first])  # number of the first word
     count = np.concatenate([np.full(len(a), PARAGRAPH), count])
+    entire = np.arange(len(count)) >= len(a)
     text = np.searchsorted(woff, first, "right") - 1
     n = count - tb.SHINGLE_WORDS + 1
     at = np.concatenate([[0], np.cumsum(n)])
@@ -129,10 +142,10 @@ def paragraphs(data: np.ndarray, off: np.ndarray):
         real = np.minimum.reduceat(inside, at[:-1]) != np.maximum.reduceat(inside, at[:-1])
         if not real.all():
             inside = inside[np.repeat(real, n)]
-            text, first, count, n = text[real], first[real], count[real], n[real]
+            text, first, count, n, entire = text[real], first[real], count[real], n[real], entire[real]
             at = np.concatenate([[0], np.cumsum(n)])
     begin = off[text]
-    return text, start[first] - begin, end[first + count - 1] - begin, inside, at
+    return text, start[first] - begin, end[first + count - 1] - begin, inside, at, entire
 
 
 def fingerprint(inside: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -144,12 +157,31 @@ def fingerprint(inside: np.ndarray, at: np.ndarray) -> np.ndarray:
     return tb.mix(np.add.reduceat(inside * power[place], at[:-1])).view(np.int64)
 
 
-def bands(inside: np.ndarray, at: np.ndarray) -> np.ndarray:
-    least = np.stack([np.minimum.reduceat(inside * a, at[:-1]) for a in _A], axis=1).reshape(len(at) - 1, BANDS, ROWS)
+def bands(inside: np.ndarray, at: np.ndarray, entire: np.ndarray, numbers: range = range(BANDS)) -> np.ndarray:
+    least = np.stack([np.minimum.reduceat(inside * a, at[:-1]) for k in numbers for a in _A[k * ROWS:(k + 1) * ROWS]],
+                     axis=1).reshape(len(at) - 1, len(numbers), ROWS)
     key = least[:, :, 0] * np.uint64(0x9E3779B97F4A7C15)
     for r in range(1, ROWS):
         key = (key ^ least[:, :, r]) * np.uint64(0xBF58476D1CE4E5B9)
-    return tb.mix(key + np.arange(1, BANDS + 1, dtype=np.uint64)).view(np.int64)
+    key += np.array(numbers, dtype=np.uint64) + np.uint64(1)
+    return tb.mix(key + entire[:, None] * np.uint64(BANDS)).view(np.int64)
+
+
+def sketch(inside: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A bitmap of each paragraph's shingles, and how many there are."""
+    bits = np.bitwise_or.reduceat(np.uint64(1) << (inside >> np.uint64(16)) % np.uint64(BITS), at[:-1])
+    return (bits << np.uint64(8) | np.minimum(np.diff(at), MANY).astype(np.uint64)).view(np.int64)
+
+
+def possible(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether paragraphs of these sketches may reach the threshold.  Each
+    differing bit is a shingle in one set only, and sets of Jaccard
+    similarity t differ by at most (1 - t) / (1 + t) of their sizes' sum."""
+    x, y = x.view(np.uint64), y.view(np.uint64)
+    differ = np.bitwise_count((x ^ y) >> np.uint64(8)).astype(np.int64)
+    low = np.uint64(MANY)
+    n, m = (x & low).astype(np.int64), (y & low).astype(np.int64)
+    return ((100 + THRESHOLD) * differ <= (100 - THRESHOLD) * (n + m)) | (n == MANY) | (m == MANY)
 
 
 def find(batches):
@@ -157,15 +189,15 @@ def find(batches):
     for batch in batches:
         ids = batch.column("doc_id")
         for i, _, data, off in tb.blocks(batch.column("text")):
-            text, a, b, inside, at = paragraphs(data, off)
+            text, a, b, inside, at, _ = paragraphs(data, off)
             if len(text):
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(i + text)), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)),
                      pa.array(fingerprint(inside, at))], ["doc_id", "start", "end", "print"])
 
 
-def band_rows(batches):
-    """Distinct (band, fingerprint) of many paragraphs at a time."""
+def band_rows(batches, numbers: range = range(BANDS)):
+    """Distinct (band, fingerprint, sketch) of many paragraphs at a time."""
     held, rows = [], 0
 
     def distinct():
@@ -177,13 +209,15 @@ def band_rows(batches):
         both = both[new]
         for i in range(0, len(both), 1 << 16):
             x = both[i:i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0].copy()), pa.array(x[:, 1].copy())], ["band", "print"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, c].copy()) for c in range(3)], ["band", "print", "sketch"])
 
     for batch in batches:
         for _, _, data, off in tb.blocks(batch.column("text")):
-            inside, at = paragraphs(data, off)[3:]
+            inside, at, entire = paragraphs(data, off)[3:]
             if len(inside):
-                held.append(np.stack([bands(inside, at).ravel(), np.repeat(fingerprint(inside, at), BANDS)], axis=1))
+                held.append(np.stack([bands(inside, at, entire, numbers).ravel(),
+                                      np.repeat(fingerprint(inside, at), len(numbers)),
+                                      np.repeat(sketch(inside, at), len(numbers))], axis=1))
                 rows += len(at) - 1
                 if rows >= FLUSH:
                     yield from distinct()
@@ -192,26 +226,91 @@ def band_rows(batches):
         yield from distinct()
 
 
+def _pair_batches(a: np.ndarray, b: np.ndarray):
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+    for i in range(0, len(pairs), 1 << 16):
+        yield pairs[i:i + (1 << 16)]
+
+
+COLLIDED = "a long, b long, band long, sketch long"
+
+
 def collide(batches):
-    """Pairs of different fingerprints in one band: each with the next and
-    with the band's first, so a band of m needs fewer than 2 m pairs."""
-    got = [(b.column("band").to_numpy(), b.column("print").to_numpy()) for b in batches if b.num_rows]
+    """Pairs (a, b) of different fingerprints in one band; and of each band
+    that may have further pairs all members (a, null, band, sketch)."""
+    got = [[b.column(c).to_numpy() for c in ("band", "print", "sketch")] for b in batches if b.num_rows]
     if not got:
         return
-    band, mark = (np.concatenate(x) for x in zip(*got))
+    band, mark, sk = (np.concatenate(x) for x in zip(*got))
     order = np.lexsort((mark, band))
-    band, mark = band[order], mark[order]
+    band, mark, sk = band[order], mark[order], sk[order]
     new = np.ones(len(band), dtype=bool)
-    new[1:] = band[1:] != band[:-1]
-    first = mark[np.flatnonzero(new)][np.cumsum(new) - 1]
-    follows = np.flatnonzero(~new)
-    a = np.concatenate([mark[follows - 1], first[follows]])
-    b = np.concatenate([mark[follows], mark[follows]])
-    a, b = np.minimum(a, b), np.maximum(a, b)
-    pairs = np.unique(np.stack([a, b], axis=1)[a != b], axis=0)
-    for i in range(0, len(pairs), 1 << 16):
-        x = pairs[i:i + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(x[:, 0].copy()), pa.array(x[:, 1].copy())], ["a", "b"])
+    new[1:] = (band[1:] != band[:-1]) | (mark[1:] != mark[:-1])
+    band, mark, sk = band[new], mark[new], sk[new]
+    sent, more = np.zeros(len(band), dtype=np.int8), np.zeros(len(band), dtype=bool)
+    live, a, b = np.arange(len(band)), [mark[:0]], [mark[:0]]
+    for k in range(1, NEAR + 2):
+        live = live[live + k < len(band)]
+        live = live[band[live + k] == band[live]]
+        if not len(live):
+            break
+        if k > NEAR:
+            more[live] = True
+            break
+        i = live[possible(sk[live], sk[live + k])]
+        full = sent[i] >= KEPT
+        more[i[full]] = True
+        i = i[~full]
+        sent[i] += 1
+        a.append(mark[i])
+        b.append(mark[i + k])
+    for x in _pair_batches(np.concatenate(a), np.concatenate(b)):
+        none = pa.nulls(len(x), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(x[:, 0].copy()), pa.array(x[:, 1].copy()), none, none],
+                                         ["a", "b", "band", "sketch"])
+    first = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
+    rest = np.flatnonzero(np.repeat(np.logical_or.reduceat(more, first), np.diff(np.append(first, len(band)))))
+    for i in range(0, len(rest), 1 << 16):
+        r = rest[i:i + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(mark[r]), pa.nulls(len(r), pa.int64()), pa.array(band[r]), pa.array(sk[r])],
+                                         ["a", "b", "band", "sketch"])
+
+
+def cross(batches):
+    """Possible pairs of different clusters between two blocks of a band."""
+    names = ("band", "low", "high", "own", "print", "sketch", "cluster")
+    got = [[b.column(c).to_numpy() for c in names] for b in batches if b.num_rows]
+    if not got:
+        return
+    columns = [np.concatenate(x) for x in zip(*got)]
+    order = np.lexsort(columns[2::-1])
+    band, low, high, own, mark, sk, cluster = (c[order] for c in columns)
+    new = np.ones(len(band), dtype=bool)
+    new[1:] = (band[1:] != band[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    edges = np.append(np.flatnonzero(new), len(band))
+    a, b, held = [], [], 0
+
+    def pairs():
+        for x in _pair_batches(np.concatenate(a), np.concatenate(b)):
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0].copy()), pa.array(x[:, 1].copy())], ["a", "b"])
+
+    for i, j in zip(edges[:-1], edges[1:]):
+        rows = np.arange(i, j)
+        same = low[i] == high[i]
+        left, right = (rows, rows) if same else (rows[own[i:j] == low[i]], rows[own[i:j] == high[i]])
+        for n, x in enumerate(left):
+            y = right[n + 1:] if same else right
+            y = y[cluster[y] != cluster[x]]
+            y = y[possible(sk[x:x + 1], sk[y])]
+            if len(y):
+                a.append(np.full(len(y), mark[x]))
+                b.append(mark[y])
+                held += len(y)
+            if held > 1 << 20:
+                yield from pairs()
+                a, b, held = [], [], 0
+    if held:
+        yield from pairs()
 
 
 def pack(inside: np.ndarray) -> bytes:
@@ -229,7 +328,7 @@ def contents(batches):
     for batch in batches:
         wanted, out = batch.column("wanted"), []
         for i, j, data, off in tb.blocks(batch.column("text")):
-            text, _, _, inside, at = paragraphs(data, off)
+            text, _, _, inside, at, _ = paragraphs(data, off)
             marks = fingerprint(inside, at)
             asked = [set(wanted[k].as_py()) for k in range(i, j)]
             for k, (t, m) in enumerate(zip(text.tolist(), marks.tolist())):
@@ -253,11 +352,31 @@ def confirm(batches):
             yield batch.select(["a", "b"]).take(pa.array(ok))
 
 
+def _unsettled(large: DataFrame, clusters: DataFrame) -> DataFrame:
+    """The possible pairs of different clusters in these bands."""
+    members = written(large.join(clusters, "print", "left").withColumn("cluster", F.coalesce("cluster", "print")), "members")
+    sizes = (members.groupBy("band").agg(F.count("*").alias("m"), F.min("cluster").alias("x"), F.max("cluster").alias("y"))
+             .filter("x <> y").select("band", F.ceil(F.col("m") / BLOCK).cast("long").alias("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = (members.join(sizes, "band").withColumn("own", F.pmod(F.xxhash64("print"), F.col("blocks")))
+             .withColumn("other", other)
+             .select("band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own",
+                     "print", "sketch", "cluster"))
+    return written(dealt.repartition("band", "low", "high").mapInArrow(cross, "a long, b long").distinct(), "unsettled")
+
+
 def _near(src: DataFrame, units: DataFrame) -> DataFrame:
     """(print, cluster) of fingerprints linked to different ones."""
-    pairs = written(src.mapInArrow(band_rows, BAND_ROWS).repartition("band").mapInArrow(collide, "a long, b long")
-                    .distinct(), "pairs")
-    marks = written(pairs.select(F.explode(F.array("a", "b")).alias("print")).distinct(), "marks")
+    def some(numbers):
+        rows = src.mapInArrow(lambda batches: band_rows(batches, numbers), BAND_ROWS)
+        return written(rows.repartition("band").mapInArrow(collide, COLLIDED), "collided")
+
+    collided = [some(range(k, min(k + BANDS_AT_ONCE, BANDS))) for k in range(0, BANDS, BANDS_AT_ONCE)]
+    collided = reduce(DataFrame.unionByName, collided)
+    pairs = written(collided.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs")
+    large = collided.filter("b IS NULL").select("band", F.col("a").alias("print"), "sketch")
+    marks = pairs.select(F.explode(F.array("a", "b")).alias("print")).union(large.select("print"))
+    marks = written(marks.distinct(), "marks")
     marks = F.broadcast(marks) if marks.count() <= BROADCAST_KEYS else marks
     where = (units.join(marks, "print").groupBy("print").agg(F.min("doc_id").alias("doc_id"))
              .groupBy("doc_id").agg(F.collect_list("print").alias("wanted")))
@@ -265,9 +384,21 @@ def _near(src: DataFrame, units: DataFrame) -> DataFrame:
     where = F.broadcast(where) if where.count() <= BROADCAST_KEYS // 8 else where
     content = written(src.join(where, "doc_id").mapInArrow(contents, "print long, shingles binary")
                       .dropDuplicates(["print"]), "contents")
-    links = (pairs.join(content.toDF("a", "xs"), "a").join(content.toDF("b", "ys"), "b")
-             .mapInArrow(confirm, "a long, b long"))
-    return components(written(links, "links")).select(F.col("node").alias("print"), F.col("component").alias("cluster"))
+
+    def confirmed(pairs):
+        return written(pairs.join(content.toDF("a", "xs"), "a").join(content.toDF("b", "ys"), "b")
+                       .mapInArrow(confirm, "a long, b long"), "links")
+
+    def clusters(links):
+        found = components(links).select(F.col("node").alias("print"), F.col("component").alias("cluster"))
+        return found.union(found.select("cluster", "cluster").distinct())  # and the components' own roots
+
+    links = confirmed(pairs)
+    found = clusters(links)
+    if large.isEmpty():
+        return found
+    pairs = _unsettled(large, found)
+    return found if pairs.isEmpty() else clusters(links.union(confirmed(pairs)))
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -286,8 +417,15 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     marks = written(counted.select("print", "cluster").join(spread, "cluster"), "repeated")
     removed = ~((F.col("doc_id") == F.col("first.doc_id")) & (F.col("start") < F.col("first.end"))
                 & (F.col("end") > F.col("first.start")))
-    return units.distinct().join(marks, "print").select(
+    found = units.distinct().join(marks, "print").select(
         "doc_id", "start", "end", "cluster", F.col("first.doc_id").alias("first_doc_id"), removed.alias("removed"))
+    place = Window.partitionBy("doc_id").orderBy("start")
+    upto = F.max(F.when(F.col("removed"), F.col("end"))).over(place.rangeBetween(Window.unboundedPreceding, 0))
+    since = F.min(F.when(F.col("removed"), F.col("start"))).over(place.rangeBetween(0, Window.unboundedFollowing))
+    low = F.greatest(F.col("start"), F.least(F.col("end"), F.coalesce(upto, F.col("start"))))
+    high = F.greatest(low, F.least(F.col("end"), F.coalesce(since, F.col("end"))))
+    gone = 2 * (high - low) < F.col("end") - F.col("start")
+    return found.withColumn("removed", F.col("removed") | gone)
 
 
 def by_document(found: DataFrame) -> DataFrame:
