@@ -1,17 +1,13 @@
-import datetime as dt
 import os
 import sys
 import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [HERE, os.path.dirname(HERE)]
 
 from zonecast.config import TEST_CONFIG  # noqa: E402
-from zonecast.sources.schemas import RAW_ORDERS  # noqa: E402
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
@@ -34,17 +30,3 @@ def cfg():
 @pytest.fixture
 def tmp_root():
     return tempfile.mkdtemp(prefix="zonecast-test-")
-
-
-def ts(text: str) -> dt.datetime:
-    return dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
-
-
-def order(oid="o1", zone="Z1", t="2026-01-01 12:00:00", value=500.0, items=3,
-          delivery=15.0, weekend=False, weather="sunny", festival=False):
-    return (oid, zone, ts(t) if isinstance(t, str) else t, value, items, delivery, weekend,
-            weather, festival)
-
-
-def orders_df(spark, rows):
-    return spark.createDataFrame(rows, RAW_ORDERS)

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, order, orders_df, ts
+from helpers import SF_MID, order, orders_df, ts
 from zonecast.operators import features as FE
 from zonecast.operators import validate as V
 from zonecast.sources.adapters import raw_orders_from_testdata

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import ts
+from helpers import ts
 from zonecast.functions import metrics as M
 from zonecast.operators import forecast as FC
 from zonecast.operators import monitor as MON

@@ -6,7 +6,7 @@ import sys
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL, order, orders_df, ts
+from helpers import SF_MID, SF_SMALL, order, orders_df, ts
 from zonecast.plans import jobs as J
 from zonecast.sources.adapters import raw_orders_from_testdata
 from zonecast.sources.store import Store

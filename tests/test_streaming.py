@@ -1,6 +1,6 @@
 """SM1-SM3: stream results, late-data bound, duplicate suppression."""
 
-from conftest import order, orders_df, ts
+from helpers import order, orders_df, ts
 from zonecast.sources.schemas import RAW_ORDERS
 from zonecast.streaming import ingest_stream as S
 

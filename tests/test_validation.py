@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import order, orders_df
+from helpers import order, orders_df
 from zonecast.operators import validate as V
 
 
@@ -105,7 +105,7 @@ def test_hot_duplicate_group_collapses(spark, cfg):
 
 def test_boolean_predicate_matches_reasons(spark, cfg):
     # operators: VAL10
-    from conftest import SF_MID
+    from helpers import SF_MID
     from zonecast.sources.adapters import raw_orders_from_testdata
     raw = raw_orders_from_testdata(spark, SF_MID, cfg)
     v = V.with_reasons(raw, cfg).withColumn("_ok", V.is_valid(cfg))
@@ -115,7 +115,7 @@ def test_boolean_predicate_matches_reasons(spark, cfg):
 
 def test_flag_counts_match_text_counts(spark, cfg):
     # operators: VAL10, VAL12
-    from conftest import SF_MID
+    from helpers import SF_MID
     from zonecast.sources.adapters import raw_orders_from_testdata
     raw = raw_orders_from_testdata(spark, SF_MID, cfg)
     by_text = V.validation_counts(V.with_reasons(raw, cfg)).first().asDict()
