@@ -464,6 +464,15 @@ def test_bpe_equals_the_public_library_on_random_text():
         assert bpe.decode_bytes(ids) == (t or "").encode()
 
 
+def test_bpe_cuts_every_pair_after_an_apostrophe_as_the_public_library():
+    import string
+    after = [chr(c) for c in range(1, 0x3A00)]
+    texts = [" ".join(f"'{a}{b}n" for b in after) for a in string.ascii_letters] + ["'k\u00ecn", "'D\u1765"]
+    bpe, want = bbpe.ByteBPE.from_file(vocabulary_path()), reference_encoder()
+    for t, ids in zip(texts, bpe.encode_column(pa.array(texts))):
+        assert np.frombuffer(ids, "<u4").tolist() == want.encode_ordinary(t)
+
+
 def test_bpe_digests(odd, odd_rows, none):
     got = bbpe.digest_documents(clashing(odd), vocabulary_path()).collect()
     want = reference_encoder()

@@ -75,7 +75,10 @@ def pretoken_starts(chars: np.ndarray, first: np.ndarray) -> np.ndarray:
         inside = lambda k: (apostrophe + k < n) & ~new_text[np.minimum(apostrophe + k, n)]
         c1, c2 = at(1), at(2)
         one = inside(1) & np.isin(c1, [ord(c) for c in "stmd"])
-        two = inside(1) & inside(2) & np.isin(c1 * 128 + c2, [ord(a) * 128 + ord(b) for a, b in ("re", "ve", "ll")])
+        two = np.zeros(len(apostrophe), dtype=bool)
+        for a, b in ("re", "ve", "ll"):
+            two |= (c1 == ord(a)) & (c2 == ord(b))
+        two &= inside(1) & inside(2)
         for which, size in ((one, 1), (two & ~one, 2)):
             a = apostrophe[which]
             for k in range(1, size + 1):
