@@ -63,3 +63,11 @@ n AS (SELECT a AS vec_id, count(*) AS n FROM edges GROUP BY a),
 SELECT vec_id, coalesce(n, 0) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
 FROM reach JOIN embeddings ON vec_id = node LEFT JOIN n USING (vec_id) GROUP BY vec_id, n
 """
+
+ORACLES["op12_exact_dedup"] = """
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+    regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm FROM documents),
+k AS (SELECT doc_id, norm, first_value(doc_id) OVER (PARTITION BY norm ORDER BY n_chars DESC, doc_id) AS keep_id,
+    count(*) OVER (PARTITION BY norm) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM k
+"""

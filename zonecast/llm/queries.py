@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonecast.llm import backoff, bbpe, cover_tree, decontam, ext_hash, knn_quality, lsh_forest, para_dedup, pii, toxicity_pu
+from zonecast.llm import (backoff, bbpe, chunk_recipes, cover_tree, decontam, ext_hash, knn_quality, lsh_forest,
+                          para_dedup, pii, toxicity_pu)
 from zonecast.llm.common import table
 from zonecast.llm.oracles import ORACLES  # noqa: F401
 
@@ -63,5 +64,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff.scores(table(spark, sf_dir, "documents"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_recipes.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_dedup, op2_sharding, op3_paragraph_dedup, op4_toxicity, op5_embedding_dedup, op6_pii, op7_quality, op8_decontamination, op9_bpe, op10_lm_scoring)}
+    op1_minhash_dedup, op2_sharding, op3_paragraph_dedup, op4_toxicity, op5_embedding_dedup, op6_pii, op7_quality,
+    op8_decontamination, op9_bpe, op10_lm_scoring, op12_exact_dedup)}
