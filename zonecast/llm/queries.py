@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from zonecast.llm import (backoff, bbpe, chunk_recipes, cover_tree, decontam, ext_hash, knn_quality, lsh_forest,
-                          para_dedup, pii, toxicity_pu)
+                          para_dedup, pii, toxicity_pu, turn_repair)
 from zonecast.llm.common import table
 from zonecast.llm.oracles import ORACLES  # noqa: F401
 
@@ -68,6 +68,10 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup, op2_sharding, op3_paragraph_dedup, op4_toxicity, op5_embedding_dedup, op6_pii, op7_quality,
-    op8_decontamination, op9_bpe, op10_lm_scoring, op12_exact_dedup)}
+    op8_decontamination, op9_bpe, op10_lm_scoring, op12_exact_dedup, op13_conversation_repair)}
