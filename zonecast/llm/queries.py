@@ -9,17 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from zonecast.llm import (backoff, bbpe, chunk_recipes, cover_tree, decontam, ext_hash, knn_quality, lsh_forest,
-                          para_dedup, pii, toxicity_pu, turn_repair)
+                          para_dedup, pii, token_align, toxicity_pu, turn_repair)
 from zonecast.llm.common import table
 from zonecast.llm.oracles import ORACLES  # noqa: F401
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +65,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff.scores(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.alignment_report(table(spark, sf_dir, "documents"), *map(vocabulary_path, ALIGNED))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -74,4 +79,4 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup, op2_sharding, op3_paragraph_dedup, op4_toxicity, op5_embedding_dedup, op6_pii, op7_quality,
-    op8_decontamination, op9_bpe, op10_lm_scoring, op12_exact_dedup, op13_conversation_repair)}
+    op8_decontamination, op9_bpe, op10_lm_scoring, op11_token_alignment, op12_exact_dedup, op13_conversation_repair)}
