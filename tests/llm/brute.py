@@ -42,6 +42,19 @@ def near_duplicates(texts):
     return [len(x) for x in s], roots(len(s), links)
 
 
+def near_duplicates_by_index(texts):
+    """The same through an index of shingles, for more texts."""
+    s = [shingles(t) for t in texts]
+    where = collections.defaultdict(list)
+    links = []
+    for i, x in enumerate(s):
+        both = collections.Counter(j for y in x for j in where[y])
+        links += [(i, j) for j, n in both.items() if 100 * n >= 75 * (len(x) + len(s[j]) - n)]
+        for y in x:
+            where[y].append(i)
+    return [len(x) for x in s], roots(len(s), links)
+
+
 def crc(i):
     return zlib.crc32(str(i).encode())
 

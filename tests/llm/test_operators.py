@@ -81,6 +81,50 @@ def test_dense_group_and_common_passage_components(spark):
     assert got == {i: rows[r][0] for (i, _), r in zip(rows, root)}
 
 
+def families():
+    """Ten structures of two families of 200 near copies; within each, a
+    number of members are true links between the families."""
+    import random
+    rows = []
+    for s in range(10):
+        r = random.Random(s)
+        base = [f"s{s}w{k}" for k in range(300)]
+        other = list(base)
+        for at in r.sample(range(300), 8):
+            other[at] = f"s{s}o{at}"
+        for f, words in enumerate((base, other)):
+            for k in range(200):
+                w = list(words)
+                for at in r.sample(range(300), 2):
+                    w[at] = f"e{r.randrange(10**9)}"
+                rows.append((10_000 * s + 1000 * f + k, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("partitions, block", [(7, lsh_forest.BLOCK), (211, 16)])
+def test_dense_families_with_few_bridges(spark, partitions, block):
+    rows = families()
+    sizes, root = brute.near_duplicates_by_index([t for _, t in rows])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(
+            documents(spark, rows).repartition(partitions), block=block).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == {i: rows[r][0] for (i, _), r in zip(rows, root)}
+
+
+def test_representatives_with_clashing_column_names(odd, odd_rows):
+    docs = odd
+    for c in ("__text", "__gone", "doc", "print", "id", "kept", "component_id", "n_shingles", "label", "group"):
+        docs = docs.withColumn(c, F.lit("x"))
+    left = lsh_forest.keep_representatives(docs)
+    assert left.columns == docs.columns
+    want = collections.Counter(r.doc_id for r in lsh_forest.keep_representatives(odd).collect())
+    assert collections.Counter(r.doc_id for r in left.collect()) == want
+
+
 def test_representatives_keep_one_row_and_all_columns(odd):
     left = lsh_forest.keep_representatives(odd)
     assert left.columns == odd.columns

@@ -16,9 +16,11 @@ ARROW_BYTES = str(8 << 20)   # and about so many bytes: whole texts, some very l
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a private one is set
-    only where the session has none (local tests)."""
+    only in a local session that has none (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="zonecast-llm-")
         spark.sparkContext.setCheckpointDir(path)
     return path
@@ -78,3 +80,18 @@ def text_frame(df: DataFrame, id_col: str, text_col: str, id_name: str = "doc_id
 def fold(id_name: str, mod: int):
     """crc32 of the id as text, modulo ``mod`` (null for a null id)."""
     return F.pmod(F.crc32(F.col(id_name).cast("string").cast("binary")), F.lit(mod))
+
+
+HOT = 10_000  # a key with more than one row in HOT is broadcast
+
+
+def join_sized(df: DataFrame, sizes: DataFrame, key: str, size: str, hot: int = HOT) -> DataFrame:
+    """``df`` joined with a written table of one row a key, whose column
+    ``size`` says how many rows of ``df`` have that key.  Keys of more than
+    one row in ``hot`` are fewer than ``hot``, so they are broadcast; the
+    rest are joined by a shuffle, which then meets no large key."""
+    n = df.count()
+    large = F.col(size) * hot > n
+    first = F.broadcast(sizes.filter(large))
+    rest = df.join(first.select(key), key, "left_anti").join(sizes.filter(~large), key)
+    return df.join(first, key).unionByName(rest)
