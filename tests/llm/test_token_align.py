@@ -38,6 +38,19 @@ def test_cancelling_irregular_groups_in_a_long_run():
     assert [a2[k - 1] for k in i] == np.intersect1d(a2, b).tolist()
 
 
+def test_both_encoders_of_the_byte_level_vocabulary_agree(rows):
+    from tokenizers import Tokenizer
+    aligner = ta.Aligner(*(open(p, "rb").read() for p in PATHS))
+    plain = Tokenizer.from_file(PATHS[0])
+    plain.encode_special_tokens = True
+    every = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+XX
+    texts += [" " + (t or "") for _, t in rows] + [" " * 50_000 + "a", "a" * 20_000, "\n" * 300_000]
+    assert aligner.ranked
+    for t in texts:
+        assert aligner.a_ids([t])[0] == plain.encode(t, add_special_tokens=False).ids
+
+
 def brute(rows):
     """Every report row, by joining both tokenisations in plain Python."""
     import re

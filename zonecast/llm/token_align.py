@@ -6,7 +6,7 @@ bytes.  Where a token of A and one of B end at the same byte, both sequences
 are cut, which gives groups; the two tokens that end there are linked.
 
 The ends are compared by diagonal run skipping: while the sequences run one
-to one at the current shift (index in B less index in A), slices of 1, 2, 4,
+to one at the current shift (index in B less index in A), slices of 4, 8, 16,
 ... ends are compared at once and halved again at the first difference; then
 the irregular group is resolved locally, the smaller end moving on until both
 meet, and the shift is updated.  (Slices are compared whole: equal ends far
@@ -30,6 +30,7 @@ empty table gives no rows; other columns are never read.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from functools import lru_cache
@@ -43,32 +44,34 @@ from zonecast.llm.common import small_batches, text_frame, written
 
 HOT = 200_000           # a pair with more than one link in HOT is broadcast
 BLOCK_CHARS = 1 << 19   # texts are encoded in blocks of about this size
+LONG_SPACE = " " * 10_000  # runs that a backtracking pattern may refuse
 DIGESTS = ("doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>, times array<int>")
 SPANS = "doc_id long, a_ids array<int>, b_ids array<int>, a_ends array<int>, b_ends array<int>"
 
 
-def align(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+def align(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """For increasing byte ends with the same last one: of each group the
     index after its last token, in A and in B."""
-    a_cut, b_cut = [], []
+    irregular = []  # (first, last) token of A, (first, last) of B
     i = j = 0
-    n, m = len(a), len(b)
+    n = len(a)
     while i < n:
-        if a[i] == b[j]:
-            run, step, growing = 1, 1, True
-            while step:  # the stretch at shift j - i
-                x, y = i + run, j + run
-                if x + step <= n and y + step <= m and a[x:x + step] == b[y:y + step]:
-                    run += step
-                    step = step * 2 if growing else step // 2
-                else:
-                    growing = False
-                    step //= 2
-            a_cut.extend(range(i + 1, i + run + 1))
-            b_cut.extend(range(j + 1, j + run + 1))
-            i += run
-            j += run
+        if a[i] == b[j]:  # a stretch at shift j - i
+            i += 1
+            j += 1
+            step = 4
+            while (ahead := a[i:i + step]) and ahead == b[j:j + step]:
+                i += len(ahead)
+                j += len(ahead)
+                step *= 2
+            while step > 1:
+                step //= 2
+                ahead = a[i:i + step]
+                if ahead == b[j:j + step]:
+                    i += len(ahead)
+                    j += len(ahead)
         else:
+            p, q = i, j
             x, y = a[i], b[j]
             while x != y:
                 if x < y:
@@ -77,11 +80,18 @@ def align(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
                 else:
                     j += 1
                     y = b[j]
+            irregular.append((p, i, q, j))
             i += 1
             j += 1
-            a_cut.append(i)
-            b_cut.append(j)
-    return a_cut, b_cut
+    spans = np.array(irregular, dtype=np.int64).reshape(-1, 4)
+
+    def cuts(size, first, last):  # every token ends a group but those before an irregular group's last
+        depth = np.zeros(size + 1, dtype=np.int8)
+        depth[first] += 1
+        depth[last] -= 1
+        return np.flatnonzero(np.cumsum(depth[:-1]) == 0) + 1
+
+    return cuts(n, spans[:, 0], spans[:, 1]), cuts(len(b), spans[:, 2], spans[:, 3])
 
 
 def byte_level_alphabet() -> dict[str, int]:
@@ -94,6 +104,28 @@ def byte_level_alphabet() -> dict[str, int]:
     return out
 
 
+def ranked_encoder(a: dict):
+    """The same vocabulary in tiktoken, which gives equal ids several times
+    faster, if the file is plain byte-level BPE: its merges make ids in
+    ascending order and texts are cut by the usual pattern.  Else None."""
+    import public_tokenizers
+    import tiktoken
+
+    cut, model = a.get("pre_tokenizer") or {}, a["model"]
+    plain = (cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+             and a.get("normalizer") is None and not model.get("dropout") and not model.get("ignore_merges"))
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+    made = [model["vocab"].get(x + y, -1) for x, y in pairs]
+    if not plain or any(x >= y for x, y in zip(made, made[1:])):
+        return None
+    byte = byte_level_alphabet()
+    ranks = {bytes([x]): model["vocab"].get(c) for c, x in byte.items()}
+    ranks |= {bytes(byte[c] for c in x + y): i for (x, y), i in zip(pairs, made)}
+    if None in ranks.values() or (made and max(ranks[bytes([x])] for x in range(256)) >= made[0]):
+        return None
+    return tiktoken.Encoding("aligned", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Tokens:
     """A vocabulary's token bytes and the texts that the digest is made of."""
 
@@ -116,6 +148,7 @@ class Aligner:
 
         self.a = tokenizers.Tokenizer.from_str(a_json.decode("utf-8"))
         self.a.encode_special_tokens = True
+        self.ranked = ranked_encoder(json.loads(a_json))
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         byte = byte_level_alphabet()
         vocabulary = self.a.get_vocab()
@@ -131,6 +164,11 @@ class Aligner:
         self.b_tokens = Tokens(pieces, ";")
         self.shown = self.a_tokens.shown + self.b_tokens.shown
 
+    def a_ids(self, texts: list[str]) -> list[list[int]]:
+        if self.ranked and not any(LONG_SPACE in t for t in texts):
+            return list(map(self.ranked.encode_ordinary, texts))
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
     def encode(self, texts: list[str | None]):
         """(ids of A, ids of B) of each text; both empty where defined so."""
         first, chars = 0, 0
@@ -142,14 +180,12 @@ class Aligner:
 
     def _encode(self, texts):
         spaced = [" " + t if t else "" for t in texts]
-        for text, x, y in zip(spaced, self.a.encode_batch_fast(spaced, add_special_tokens=False),
-                              self.b.encode([t or "" for t in texts], num_threads=1)):
-            ids, want = x.ids, text.encode()
+        for text, ids, y in zip(spaced, self.a_ids(spaced), self.b.encode([t or "" for t in texts], num_threads=1)):
+            want = text.encode()
             yield (ids, y) if want and self.a_tokens.join(ids) == want == self.b_tokens.join(y) else ([], [])
 
     def cuts(self, a_ids, b_ids) -> tuple[np.ndarray, np.ndarray]:
-        a, b = align(np.cumsum(self.a_tokens.size[a_ids]).tolist(), np.cumsum(self.b_tokens.size[b_ids]).tolist())
-        return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        return align(np.cumsum(self.a_tokens.size[a_ids]).tolist(), np.cumsum(self.b_tokens.size[b_ids]).tolist())
 
     def groups(self, a_ids, b_ids, a_cut, b_cut) -> bytes:
         """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
