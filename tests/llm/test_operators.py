@@ -238,7 +238,7 @@ def test_all_pairs_of_large_mixed_bands_are_looked_at(spark):
     for k in range(150):  # one opening, and continuations of which two are alike
         w = f"{opening} {prose(71000 + k, 9, 90000)}".split(" ")
         texts += [" ".join(w), " ".join([*w[:-1], f"other{k}"])]
-    near = prose(72000, 60, 9000).split(" ")  # and a family of near copies, more than KEPT a paragraph
+    near = prose(72000, 60, 9000).split(" ")  # and a family of near copies, many a paragraph
     texts += [" ".join([*near[:-1], f"end{k}"]) for k in range(100)]
     rows = list(enumerate(texts))
     found = para_dedup.repeats(documents(spark, rows)).collect()
@@ -252,11 +252,62 @@ def test_all_pairs_of_large_mixed_bands_are_looked_at(spark):
     sets = list(s[0])
     at = np.concatenate([[0], np.cumsum([len(v) for v in sets])])
     sk = para_dedup.sketch(np.concatenate(sets), at)
+    sketches = para_dedup.Sketches(sk.view(np.uint64))
     for i in range(40):
-        ok = para_dedup.possible(sk[i:i + 1], sk)
+        ok = sketches.scores(i, np.arange(40)) > 0
         assert all(ok[j] for j in range(40) if want[i] == want[j])
 
 
+def test_clusters_and_removed_spans_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect() if r.text]
+    units, sets, kinds = [], [], []  # every unit of the operator, its set, and whether it is a whole line
+    for i, text in rows:
+        for _, _, data, off in textblocks.blocks(pa.array([text])):
+            _, a, b, inside, at, entire = para_dedup.paragraphs(data, off)
+            units += [(i, int(x), int(y)) for x, y in zip(a, b)]
+            sets += [frozenset(inside[p:q].tolist()) for p, q in zip(at[:-1], at[1:])]
+            kinds += entire.tolist()
+    where, links = collections.defaultdict(list), []
+    for n, s in enumerate(sets):  # lines and runs are compared with their own sort, and where they are equal
+        both = collections.Counter(m for x in s for m in where[x])
+        links += [(n, m) for m, c in both.items() if 100 * c >= 75 * (len(s) + len(sets[m]) - c)
+                  and (kinds[n] == kinds[m] or s == sets[m])]
+        for x in s:
+            where[x].append(n)
+    root = brute.roots(len(sets), links)
+    members = collections.defaultdict(set)
+    for n, r in enumerate(root):
+        members[r].add(units[n])
+    repeated = {frozenset(m) for m in members.values() if len({u[0] for u in m}) > 1}
+    found = para_dedup.repeats(docs).collect()
+    got = collections.defaultdict(set)
+    for r in found:
+        got[r.cluster].add((r.doc_id, r.start, r.end))
+    assert {frozenset(m) for m in got.values()} == repeated
+    gone = collections.defaultdict(list)
+    for m in repeated:
+        first = min(m)
+        for u in m:
+            if not (u[0] == first[0] and u[1] < first[2] and u[2] > first[1]):
+                gone[u[0]].append(u[1:])
+    whole = {(r.doc_id, r.start, r.end) for r in found if r.removed}
+    assert {(i, *s) for i, spans in gone.items() for s in spans} <= whole
+    for i, a, b in whole - {(i, *s) for i, spans in gone.items() for s in spans}:
+        cut = set().union(*(range(x, y) for x, y in gone[i])) & set(range(a, b))
+        assert 2 * len(cut) > b - a  # a first occurrence that others cut out anyway
+
+
+def test_remove_with_clashing_column_names(odd):
+    docs = odd
+    for c in ("__id", "__spans", "id", "spans", "doc", "cluster", "removed", "first"):
+        docs = docs.withColumn(c, F.lit("x"))
+    cut = para_dedup.remove(docs)
+    assert cut.columns == docs.columns
+    want = collections.Counter((r.doc_id, r.text) for r in para_dedup.remove(odd).collect())
+    assert collections.Counter((r.doc_id, r.text) for r in cut.collect()) == want
+
+
 def test_paragraphs_of_odd_rows_and_nothing(odd, none):
     rows = para_dedup.by_document(para_dedup.repeats(odd)).collect()
     assert {7, 8, 9} <= {r.doc_id for r in rows} and not {0, 1, 2, 3, 12, 14, None} & {r.doc_id for r in rows}

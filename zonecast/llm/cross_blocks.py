@@ -31,6 +31,7 @@ from zonecast.llm.common import join_sized, written
 
 BLOCK = 1024        # rows of one side of a cell
 CHUNK = 1 << 15     # rows that a task takes up at a time, and the rest of a cell
+AT_ONCE = 64        # partners of a row that are confirmed together
 CELL = ["group", "i", "j"]
 DEALT = "group binary, i int, j int, side int, outsider boolean, id long, label long, sketch binary"
 LINKS = "a long, b long"
@@ -103,22 +104,24 @@ def _possible(sketches):
     return run
 
 
-def shared(x: np.ndarray, y: np.ndarray) -> int:
-    """How many values two sorted arrays without repeats have in common."""
-    if len(x) > len(y):
-        x, y = y, x
-    at = np.searchsorted(y, x)
-    at[at == len(y)] = 0
-    return int((y[at] == x).sum())
-
-
 def similar(x: np.ndarray, y: np.ndarray, threshold: int) -> bool:
     """Jaccard similarity of ``threshold`` percent or more; empty sets have none."""
-    n, m = len(x), len(y)
-    if not n or not m or 100 * min(n, m) < threshold * max(n, m):
-        return False
-    both = shared(x, y)
-    return 100 * both >= threshold * (n + m - both)
+    return bool(similar_to([x], y, threshold)[0])
+
+
+def similar_to(xs: list[np.ndarray], y: np.ndarray, threshold: int) -> np.ndarray:
+    """Which sorted arrays without repeats are similar to ``y``."""
+    n, m = np.array([len(x) for x in xs]), len(y)
+    fits = (n > 0) & (100 * np.minimum(n, m) >= threshold * np.maximum(n, m))
+    if m and fits.any():
+        near = [x for x, f in zip(xs, fits.tolist()) if f]
+        values = np.concatenate(near)
+        at = np.searchsorted(y, values)
+        at[at == m] = 0
+        both = np.add.reduceat((y[at] == values).astype(np.int64), np.cumsum([0] + [len(x) for x in near[:-1]]))
+        fits[fits] = 100 * both >= threshold * (n[fits] + m - both)
+        return fits
+    return np.zeros(len(xs), dtype=bool)
 
 
 def elements(raw: bytes, width: int) -> np.ndarray:
@@ -151,12 +154,18 @@ def _confirmed(sketches, width: int, threshold: int):
                     return sets[i]
 
                 for y, partners, score in cell:
-                    for x in partners[np.argsort(-score, kind="stable")].tolist():
-                        p, q = root(x), root(y)
-                        if p != q and similar(content(x), content(y), threshold):
-                            parent[max(p, q)] = min(p, q)
-                            a.append(ident[x])
-                            b.append(ident[y])
+                    left = partners[np.argsort(-score, kind="stable")].tolist()
+                    while left:  # the likeliest first, a few at a time
+                        now = [x for x in left[:AT_ONCE] if root(x) != root(y)]
+                        left = left[AT_ONCE:]
+                        if not now:
+                            continue
+                        for x, ok in zip(now, similar_to([content(x) for x in now], content(y), threshold).tolist()):
+                            p, q = root(x), root(y)
+                            if ok and p != q:
+                                parent[max(p, q)] = min(p, q)
+                                a.append(ident[x])
+                                b.append(ident[y])
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
     return run

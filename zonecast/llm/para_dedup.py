@@ -18,9 +18,10 @@ bands of their own) collide.  Pairs in a band are dropped only if bitmaps of
 their shingles show that they can't reach the threshold; the others are
 confirmed by exact Jaccard similarity of their shingle sets, and connected
 components of confirmed pairs are clusters.  At first a paragraph is paired
-with ``KEPT`` others of a band and looks at the ``NEAR`` next; in bands where
-that left pairs, all pairs of different components are looked at afterwards,
-block by block across tasks, so none is left out.
+with one other of a band and looks at the ``NEAR`` next; bands where that
+left pairs are then searched to the end for pairs of different components,
+block by block across tasks and confirmed there (``cross_blocks``), so none
+is left out and none is sent.
 A cluster that spans
 several documents is a repeated passage: its first occurrence (smallest
 doc_id, then position) stays, with what overlaps it there (a line and the run
@@ -46,9 +47,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonecast.llm import textblocks as tb
 from zonecast.llm.common import small_batches, text_frame, written
+from zonecast.llm.cross_blocks import elements, link_groups, similar
 from zonecast.llm.graph import components
 
 PARAGRAPH = 24                      # words
@@ -60,9 +63,7 @@ RECALL = 0.99
 BROADCAST_KEYS = 1_000_000          # fingerprints sent to all executors at most
 FLUSH = 1 << 18                     # paragraphs of one deduplicated batch of bands
 BANDS_AT_ONCE = 3
-KEPT = 4                            # pairs of a paragraph in a band at first
 NEAR = 64                           # places in a band looked at at first
-BLOCK = 2048                        # paragraphs of a large band compared by one task
 BITS, MANY = 56, 255                # a sketch: bitmap of shingles, their number (MANY or more: unknown)
 
 
@@ -173,15 +174,22 @@ def sketch(inside: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits << np.uint64(8) | np.minimum(np.diff(at), MANY).astype(np.uint64)).view(np.int64)
 
 
-def possible(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Whether paragraphs of these sketches may reach the threshold.  Each
-    differing bit is a shingle in one set only, and sets of Jaccard
-    similarity t differ by at most (1 - t) / (1 + t) of their sizes' sum."""
-    x, y = x.view(np.uint64), y.view(np.uint64)
-    differ = np.bitwise_count((x ^ y) >> np.uint64(8)).astype(np.int64)
-    low = np.uint64(MANY)
-    n, m = (x & low).astype(np.int64), (y & low).astype(np.int64)
-    return ((100 + THRESHOLD) * differ <= (100 - THRESHOLD) * (n + m)) | (n == MANY) | (m == MANY)
+class Sketches:
+    """Bitmaps of shingles and their numbers, of paragraphs."""
+
+    def __init__(self, raw: list[bytes] | np.ndarray):
+        marks = raw if isinstance(raw, np.ndarray) else np.frombuffer(b"".join(raw), np.uint64)
+        self.bits, self.size = marks >> np.uint64(8), (marks & np.uint64(MANY)).astype(np.int64)
+
+    def scores(self, i, others) -> np.ndarray:
+        """More the more the bitmaps agree; 0 where the paragraphs can't
+        reach the threshold.  Each differing bit is a shingle in one set
+        only, and sets of Jaccard similarity t differ by at most
+        (1 - t) / (1 + t) of their sizes' sum."""
+        differ = np.bitwise_count(self.bits[i] ^ self.bits[others]).astype(np.int64)
+        n, m = self.size[i], self.size[others]
+        fits = ((100 + THRESHOLD) * differ <= (100 - THRESHOLD) * (n + m)) | (n == MANY) | (m == MANY)
+        return np.where(fits, BITS + 1 - differ, 0)
 
 
 def find(batches):
@@ -232,12 +240,12 @@ def _pair_batches(a: np.ndarray, b: np.ndarray):
         yield pairs[i:i + (1 << 16)]
 
 
-COLLIDED = "a long, b long, band long, sketch long"
+COLLIDED = "a long, b long, group binary, sketch binary"
 
 
 def collide(batches):
-    """Pairs (a, b) of different fingerprints in one band; and of each band
-    that may have further pairs all members (a, null, band, sketch)."""
+    """First pairs (a, b) of different fingerprints in one band; and of each
+    band that may have further pairs all members (a, null, band, sketch)."""
     got = [[b.column(c).to_numpy() for c in ("band", "print", "sketch")] for b in batches if b.num_rows]
     if not got:
         return
@@ -247,7 +255,8 @@ def collide(batches):
     new = np.ones(len(band), dtype=bool)
     new[1:] = (band[1:] != band[:-1]) | (mark[1:] != mark[:-1])
     band, mark, sk = band[new], mark[new], sk[new]
-    sent, more = np.zeros(len(band), dtype=np.int8), np.zeros(len(band), dtype=bool)
+    sketches = Sketches(sk.view(np.uint64))
+    sent, more = np.zeros(len(band), dtype=bool), np.zeros(len(band), dtype=bool)
     live, a, b = np.arange(len(band)), [mark[:0]], [mark[:0]]
     for k in range(1, NEAR + 2):
         live = live[live + k < len(band)]
@@ -257,70 +266,32 @@ def collide(batches):
         if k > NEAR:
             more[live] = True
             break
-        i = live[possible(sk[live], sk[live + k])]
-        full = sent[i] >= KEPT
-        more[i[full]] = True
-        i = i[~full]
-        sent[i] += 1
+        i = live[sketches.scores(live, live + k) > 0]
+        more[i[sent[i]]] = True
+        i = i[~sent[i]]
+        sent[i] = True
         a.append(mark[i])
         b.append(mark[i + k])
     for x in _pair_batches(np.concatenate(a), np.concatenate(b)):
-        none = pa.nulls(len(x), pa.int64())
+        none = pa.nulls(len(x), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(x[:, 0].copy()), pa.array(x[:, 1].copy()), none, none],
-                                         ["a", "b", "band", "sketch"])
+                                         ["a", "b", "group", "sketch"])
     first = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
     rest = np.flatnonzero(np.repeat(np.logical_or.reduceat(more, first), np.diff(np.append(first, len(band)))))
+    eight = lambda x: pa.Array.from_buffers(pa.binary(8), len(x), [None, pa.py_buffer(x)]).cast(pa.binary())
     for i in range(0, len(rest), 1 << 16):
         r = rest[i:i + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(mark[r]), pa.nulls(len(r), pa.int64()), pa.array(band[r]), pa.array(sk[r])],
-                                         ["a", "b", "band", "sketch"])
+        yield pa.RecordBatch.from_arrays([pa.array(mark[r]), pa.nulls(len(r), pa.int64()), eight(band[r]), eight(sk[r])],
+                                         ["a", "b", "group", "sketch"])
 
 
-def cross(batches):
-    """Possible pairs of different clusters between two blocks of a band."""
-    names = ("band", "low", "high", "own", "print", "sketch", "cluster")
-    got = [[b.column(c).to_numpy() for c in names] for b in batches if b.num_rows]
-    if not got:
-        return
-    columns = [np.concatenate(x) for x in zip(*got)]
-    order = np.lexsort(columns[2::-1])
-    band, low, high, own, mark, sk, cluster = (c[order] for c in columns)
-    new = np.ones(len(band), dtype=bool)
-    new[1:] = (band[1:] != band[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-    edges = np.append(np.flatnonzero(new), len(band))
-    a, b, held = [], [], 0
-
-    def pairs():
-        for x in _pair_batches(np.concatenate(a), np.concatenate(b)):
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0].copy()), pa.array(x[:, 1].copy())], ["a", "b"])
-
-    for i, j in zip(edges[:-1], edges[1:]):
-        rows = np.arange(i, j)
-        same = low[i] == high[i]
-        left, right = (rows, rows) if same else (rows[own[i:j] == low[i]], rows[own[i:j] == high[i]])
-        for n, x in enumerate(left):
-            y = right[n + 1:] if same else right
-            y = y[cluster[y] != cluster[x]]
-            y = y[possible(sk[x:x + 1], sk[y])]
-            if len(y):
-                a.append(np.full(len(y), mark[x]))
-                b.append(mark[y])
-                held += len(y)
-            if held > 1 << 20:
-                yield from pairs()
-                a, b, held = [], [], 0
-    if held:
-        yield from pairs()
+PACKED = 5  # bytes
 
 
 def pack(inside: np.ndarray) -> bytes:
     """The distinct shingles of a paragraph, the first 40 bits of each hash:
     enough to tell the few shingles of two paragraphs apart."""
-    return np.unique(inside).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-
-
-def unpack(raw: bytes) -> set[bytes]:
-    return {raw[i:i + 5] for i in range(0, len(raw), 5)}
+    return np.unique(np.unique(inside) >> np.uint64(24)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - PACKED:].tobytes()
 
 
 def contents(batches):
@@ -342,29 +313,12 @@ def contents(batches):
 
 def confirm(batches):
     for batch in batches:
-        ok = []
-        for r, (x, y) in enumerate(zip(batch.column("xs").to_pylist(), batch.column("ys").to_pylist())):
-            x, y = unpack(x), unpack(y)
-            union = len(x | y)
-            if 100 * (len(x) + len(y) - union) >= THRESHOLD * union:
-                ok.append(r)
+        ok = [r for r, (x, y) in enumerate(zip(batch.column("xs").to_pylist(), batch.column("ys").to_pylist()))
+              if similar(elements(x, PACKED), elements(y, PACKED), THRESHOLD)]
         if ok:
             yield batch.select(["a", "b"]).take(pa.array(ok))
 
 
-def _unsettled(large: DataFrame, clusters: DataFrame) -> DataFrame:
-    """The possible pairs of different clusters in these bands."""
-    members = written(large.join(clusters, "print", "left").withColumn("cluster", F.coalesce("cluster", "print")), "members")
-    sizes = (members.groupBy("band").agg(F.count("*").alias("m"), F.min("cluster").alias("x"), F.max("cluster").alias("y"))
-             .filter("x <> y").select("band", F.ceil(F.col("m") / BLOCK).cast("long").alias("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = (members.join(sizes, "band").withColumn("own", F.pmod(F.xxhash64("print"), F.col("blocks")))
-             .withColumn("other", other)
-             .select("band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own",
-                     "print", "sketch", "cluster"))
-    return written(dealt.repartition("band", "low", "high").mapInArrow(cross, "a long, b long").distinct(), "unsettled")
-
-
 def _near(src: DataFrame, units: DataFrame) -> DataFrame:
     """(print, cluster) of fingerprints linked to different ones."""
     def some(numbers):
@@ -374,8 +328,8 @@ def _near(src: DataFrame, units: DataFrame) -> DataFrame:
     collided = [some(range(k, min(k + BANDS_AT_ONCE, BANDS))) for k in range(0, BANDS, BANDS_AT_ONCE)]
     collided = reduce(DataFrame.unionByName, collided)
     pairs = written(collided.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs")
-    large = collided.filter("b IS NULL").select("band", F.col("a").alias("print"), "sketch")
-    marks = pairs.select(F.explode(F.array("a", "b")).alias("print")).union(large.select("print"))
+    large = collided.filter("b IS NULL").select("group", F.col("a").alias("id"), "sketch")
+    marks = pairs.select(F.explode(F.array("a", "b")).alias("print")).union(large.select("id"))
     marks = written(marks.distinct(), "marks")
     marks = F.broadcast(marks) if marks.count() <= BROADCAST_KEYS else marks
     where = (units.join(marks, "print").groupBy("print").agg(F.min("doc_id").alias("doc_id"))
@@ -385,20 +339,14 @@ def _near(src: DataFrame, units: DataFrame) -> DataFrame:
     content = written(src.join(where, "doc_id").mapInArrow(contents, "print long, shingles binary")
                       .dropDuplicates(["print"]), "contents")
 
-    def confirmed(pairs):
-        return written(pairs.join(content.toDF("a", "xs"), "a").join(content.toDF("b", "ys"), "b")
-                       .mapInArrow(confirm, "a long, b long"), "links")
-
-    def clusters(links):
-        found = components(links).select(F.col("node").alias("print"), F.col("component").alias("cluster"))
-        return found.union(found.select("cluster", "cluster").distinct())  # and the components' own roots
-
-    links = confirmed(pairs)
-    found = clusters(links)
-    if large.isEmpty():
-        return found
-    pairs = _unsettled(large, found)
-    return found if pairs.isEmpty() else clusters(links.union(confirmed(pairs)))
+    links = written(pairs.join(content.toDF("a", "xs"), "a").join(content.toDF("b", "ys"), "b")
+                    .mapInArrow(confirm, "a long, b long"), "links")
+    label = components(links).select(F.col("node").alias("id"), "component")
+    members = written(large.join(label, "id", "left").withColumn("label", F.coalesce("component", "id"))
+                      .drop("component"), "members")
+    links = links.union(link_groups(members, content.toDF("id", "content"), Sketches, PACKED, THRESHOLD))
+    found = components(links).select(F.col("node").alias("print"), F.col("component").alias("cluster"))
+    return found.union(found.select("cluster", "cluster").distinct())  # and the components' own roots
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -449,14 +397,13 @@ def by_document(found: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` with the removed spans cut out."""
-    cuts = by_document(repeats(docs, doc_id, text)).filter("n_removed > 0").select(
-        F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
-    at = docs.columns.index(text)
+    cuts = by_document(repeats(docs, doc_id, text)).filter("n_removed > 0").select(F.col("doc_id").alias("id"), "spans")
+    packed = docs.select(F.struct("*").alias("doc"), F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
 
     def cut(batches):
         for b in batches:
             new = []
-            for t, spans in zip(b.column(at).to_pylist(), b.column("__spans").to_pylist()):
+            for t, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist()):
                 if t and spans:
                     raw, last, kept = t.encode(), 0, []
                     for s in spans:
@@ -464,8 +411,9 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                         last = s["end"]
                     t = b"".join((*kept, raw[last:])).decode()
                 new.append(t)
-            arrays = [*b.columns[:-1]]
-            arrays[at] = pa.array(new, b.column(at).type)
-            yield pa.RecordBatch.from_arrays(arrays, b.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(new, pa.string())], ["doc", "text"])
 
-    return docs.join(cuts, F.col(doc_id) == F.col("__id"), "left").drop("__id").mapInArrow(cut, docs.schema)
+    rows = packed.join(cuts, "id", "left").select("doc", "text", "spans")
+    schema = T.StructType([rows.schema["doc"], T.StructField("text", T.StringType())])
+    return rows.mapInArrow(cut, schema).select(
+        *(F.col("text").alias(c) if c == text else F.col("doc")[c].alias(c) for c in docs.columns))
