@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import sys
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import SF_MID, SF_SMALL, order, orders_df, ts
@@ -58,26 +59,37 @@ def test_resent_order_and_untimed_rows_are_kept_once(spark, cfg, tmp_root):
     assert all("timestamp" in r.error_reason for r in st.read_table("validation_errors").where("timestamp IS NULL").collect())
 
 
-def test_failed_batch_is_completed_by_its_retry(spark, cfg, tmp_root, monkeypatch):
-    # operators: SNK1, SNK9
+@pytest.mark.parametrize("step", ["key_summaries", "clean_orders", "order_keys", "write_delta", "validation_errors",
+                                  "commit_batch"])
+def test_failed_batch_is_completed_by_its_retry(spark, cfg, tmp_root, monkeypatch, step):
+    # operators: SNK1, SNK2, SNK9, AG1
     st = Store(spark, tmp_root, cfg)
     st.append("raw_orders", orders_df(spark, [order("a"), order("bad", zone="Z9")]))
-    append = Store.append
 
-    def failing(self, name, *args, **more):
-        if name == "order_keys":
-            raise OSError("lost")
-        return append(self, name, *args, **more)
-
-    monkeypatch.setattr(Store, "append", failing)
-    try:
+    def failing(method):
+        def call(self, name, *args, **more):
+            out = None
+            if step not in ("commit_batch", name):  # an append fails after its rows were written
+                return method(self, name, *args, **more)
+            if step != "commit_batch":
+                out = method(self, name, *args, **more)
+            raise OSError(f"lost {out}")
+        return call
+
+    for name in ("append", "_append_dated", "commit_batch", "write_delta"):
+        if step in ("write_delta", "commit_batch"):
+            if name == step:
+                monkeypatch.setattr(Store, name, lambda self, *a: (_ for _ in ()).throw(OSError("lost")))
+        elif name in ("append", "_append_dated"):
+            monkeypatch.setattr(Store, name, failing(getattr(Store, name)))
+    with pytest.raises(OSError):
         J.run_ingest(st, cfg, ts("2026-01-02 00:00:00"))
-        raise AssertionError("expected a failure")
-    except OSError:
-        monkeypatch.undo()
+    monkeypatch.undo()
     J.run_ingest(st, cfg, ts("2026-01-02 01:00:00"))
     assert [r.order_id for r in st.read_table("clean_orders").collect()] == ["a"]
-    assert [r.order_id for r in st.read_table("order_keys").collect()] == ["a"]
+    ids = spark.createDataFrame([("a",), ("b",)], "order_id string")
+    assert [r.order_id for r in st.known_ids(ids)[0].collect()] == ["a"]
+    assert [r.rows for r in st.zone_hour_counts(1).collect()] == [1]
     assert st.read_table("validation_errors").count() == 1
     assert sorted(r.status for r in st.read_table("pipeline_runs").collect()) == ["FAILED", "SUCCESS"]
 

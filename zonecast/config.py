@@ -16,7 +16,7 @@ from dataclasses import dataclass, replace
 #   rainy label "rainy", default weather "sunny"
 #   lags (hours): 1, 2, 24, 168; rolling windows: mean 3, mean 24, std 3
 #   valid items_count range: 1..20 inclusive; order_value must be > 0
-#   batch cap 500000 rows; initial watermark 2026-01-01 00:00:00
+#   initial watermark 2026-01-01 00:00:00
 #   split date 2026-06-01; minimum training rows 1000
 #   boosted trees: 200 iterations, step 0.05, depth 6, seed 42
 #   forecast horizon 2 hours
@@ -128,6 +128,13 @@ class Config:
     forecast_weather: str = "none"
     # Driver-side scan options.
     date_partition_col: str = "dt"
+    # Windows over time work on slices of so many hours and the 168 before each
+    # (an eighth more rows).
+    slice_hours: int = 8 * 168
+    # Store upkeep: reloaded versions kept beside those in use, and the number
+    # of ingested batches after which their hour counts are folded together.
+    keep_versions: int = 3
+    compact_every: int = 24
 
     @property
     def zone_codes(self) -> dict[str, int]:

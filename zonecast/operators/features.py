@@ -8,8 +8,9 @@ Plan shape (one lazy plan):
       scalar subqueries, so no cross join and nothing goes through the driver
   grid LEFT JOIN zone-hour (AQE broadcasts it when its measured size is small)
   Window(partition hour): hour metadata (mode of zone modes) -> fills
-  one Window(partition zone, order hour): 4 lags + 3 rollings share one
-      Exchange and one Sort.
+  one Window(partition zone and time slice, order hour): 4 lags + 3 rollings
+      share one Exchange and one Sort; each slice has copies of the 168 hours
+      before it, so there are more groups than zones.
 The only stage whose input grows with the order volume is the first one,
 and it is a map-side-combined aggregate: a zone holding a third of the
 orders is pre-aggregated per task before anything is shuffled. After it the
@@ -35,25 +36,33 @@ FEATURE_ORDER = (
 )
 
 
-def zone_hour_aggregate(clean: DataFrame) -> DataFrame:
-    """AG1 (+FN1): per zone and hour: order count, any festival, modal weather.
+def zone_hour_partials(clean: DataFrame) -> DataFrame:
+    """AG1's first step: orders, rows and any festival per zone, hour and
+    weather label. A plain hash aggregate with fixed-width buffers and a
+    map-side partial phase (``mode()`` would be an object aggregate that falls
+    back to sorting after 128 groups per task), and mergeable: the counts of
+    several batches add up. NULL keys are dropped, as pandas group-bys do
+    (T9)."""
+    return (clean
+            .where(F.col("zone_id").isNotNull() & F.col("timestamp").isNotNull())
+            .groupBy("zone_id", cal.floor_hour("timestamp").alias("timestamp"),
+                     "weather_condition")
+            .agg(F.count("order_id").alias("n"),
+                 F.count(F.lit(1)).alias("rows"),
+                 F.max("is_festival_day").alias("fest")))
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Counts of several batches as counts of all their orders."""
+    return (partials.groupBy("zone_id", "timestamp", "weather_condition")
+            .agg(F.sum("n").alias("n"), F.sum("rows").alias("rows"), F.max("fest").alias("fest")))
+
 
-    Two steps. Over the orders: count per (zone, hour, weather), a plain
-    hash aggregate with fixed-width buffers and a map-side partial phase
-    (``mode()`` would be an object aggregate that falls back to sorting
-    after 128 groups per task). Over that small output: the zone-hour total,
+def zone_hours_from_partials(per_label: DataFrame) -> DataFrame:
+    """AG1's second step, over one row per zone, hour and label: the total,
     the festival flag, and the label with the most orders, ties to the
-    smallest label (pandas' sorted modes), picked by row_number. NULL keys
-    are dropped first, as pandas group-bys do (T9); a NULL weather counts as
-    an order but is never the mode.
-    """
-    per_label = (clean
-                 .where(F.col("zone_id").isNotNull() & F.col("timestamp").isNotNull())
-                 .groupBy("zone_id", cal.floor_hour("timestamp").alias("timestamp"),
-                          "weather_condition")
-                 .agg(F.count("order_id").alias("n"),
-                      F.count(F.lit(1)).alias("rows"),
-                      F.max("is_festival_day").alias("fest")))
+    smallest label (pandas' sorted modes), picked by row_number. A NULL
+    weather counts as an order but is never the mode."""
     ranked = (Window.partitionBy("zone_id", "timestamp")
               .orderBy(F.desc("rows"), F.asc_nulls_last("weather_condition")))
     whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -66,6 +75,11 @@ def zone_hour_aggregate(clean: DataFrame) -> DataFrame:
                     "weather_condition"))
 
 
+def zone_hour_aggregate(clean: DataFrame) -> DataFrame:
+    """AG1 (+FN1): per zone and hour: order count, any festival, modal weather."""
+    return zone_hours_from_partials(zone_hour_partials(clean))
+
+
 def hour_metadata(zone_hours: DataFrame) -> DataFrame:
     """AG2: per hour, the mode of the zone modes and any festival."""
     return (zone_hours.groupBy("timestamp")
@@ -143,6 +157,21 @@ def _full_frame_mean(n: int, w):
     return F.when(F.count(c).over(frame) == n, F.avg(c).over(frame))
 
 
+def sliced(df: DataFrame, reach: int, hours: int) -> DataFrame:
+    """Halo partitioning for windows that look back ``reach`` hours: time is
+    cut into slices of ``hours``, and each slice also gets copies of the
+    ``reach`` hours before it. Adds ``_slice`` and ``_halo``; windows by
+    (zone, slice) then see all that they need, and rows with ``_halo`` are
+    dropped afterwards. So a window stage has zones x slices groups, however
+    few the zones, each of ``reach + hours`` rows at most."""
+    hour = F.expr("timestampdiff(HOUR, TIMESTAMP_NTZ'1970-01-01 00:00:00', timestamp)")
+    own = F.floor(F.col("_hour") / hours).cast("long")
+    last = F.floor((F.col("_hour") + reach) / hours).cast("long")  # the latest slice that looks back to this hour
+    return (df.withColumn("_hour", hour)
+            .withColumns({"_own": own, "_slice": F.explode(F.sequence(own, last))})
+            .withColumn("_halo", F.col("_slice") != F.col("_own")).drop("_hour", "_own"))
+
+
 def lag_rolling_features(df: DataFrame, cfg: Config) -> DataFrame:
     """WN1-WN7 (+FN14) over a dense (zone, hour) grid.
 
@@ -150,9 +179,11 @@ def lag_rolling_features(df: DataFrame, cfg: Config) -> DataFrame:
     by (zone, hour) the original sorts for (TK1) is the window's own
     sort, no global ORDER BY. Means need a
     full frame (NULL before, T3); std is the sample std of the previous
-    three, 0.0 until three exist (T4). All share one Window node.
+    three, 0.0 until three exist (T4). All share one Window node, whose
+    groups are slices of a zone's time (``sliced``), not whole zones.
     """
-    w = Window.partitionBy("zone_id").orderBy("timestamp")
+    reach = max(*cfg.lag_hours, 24)
+    w = Window.partitionBy("zone_id", "_slice").orderBy("timestamp")
     c = F.col("order_count")
     f3 = w.rowsBetween(-3, -1)
     cols = {f"lag_{k}h": F.lag(c, k).over(w).cast("double") for k in cfg.lag_hours}
@@ -160,7 +191,7 @@ def lag_rolling_features(df: DataFrame, cfg: Config) -> DataFrame:
     cols["rolling_mean_24h"] = _full_frame_mean(24, w)
     cols["rolling_std_3h"] = colf.std_or_zero(
         F.when(F.count(c).over(f3) == 3, F.stddev_samp(c).over(f3)))
-    return df.withColumns(cols)
+    return sliced(df, reach, cfg.slice_hours).withColumns(cols).where("NOT _halo").drop("_slice", "_halo")
 
 
 def features_from_zone_hours(zh: DataFrame, cfg: Config,
@@ -212,3 +243,11 @@ def build_features_incremental(clean: DataFrame, cfg: Config, since: dt.datetime
         recent = recent.where(F.col(cfg.date_partition_col) >= F.lit(lower.date()))
     out = build_features_once(recent, cfg, start=lower)
     return out.where(F.col("timestamp") >= F.lit(since).cast("timestamp_ntz"))
+
+
+def features_from_counts(counts: DataFrame, cfg: Config, start: dt.datetime | None = None) -> DataFrame:
+    """The feature table from stored hour counts (no order is read); the
+    zone-hour rows are written once, as grid bounds, joins and windows read
+    them. ``start`` is the grid's first hour."""
+    from zonecast.session import materialize  # noqa: PLC0415
+    return features_from_zone_hours(materialize(zone_hours_from_partials(counts), "zone-hours"), cfg, start)

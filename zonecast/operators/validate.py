@@ -192,12 +192,28 @@ def row_key(columns: list[str]) -> Column:
     return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\\0")) for c in columns])
 
 
+def numbered(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``_n``: 1, 2, ... among rows of one key, in two levels:
+    counts a task and key, their prefix sums a key, and local numbers. No
+    task gets all rows of a key, however many there are. Written once, so
+    that both levels see the same tasks."""
+    from zonecast.session import materialize  # noqa: PLC0415
+
+    at = F.monotonically_increasing_id()  # the task in the high bits, the row in the low 33
+    placed = materialize(rows.withColumn("_at", at), "numbered").withColumn("_task", F.shiftright("_at", 33))
+    before = Window.partitionBy(key).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy(key, "_task").agg(F.count(F.lit(1)).alias("_rows"))
+               .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows"))
+    local = F.row_number().over(Window.partitionBy(key, "_task").orderBy("_at"))
+    return (placed.withColumn("_local", local).join(offsets, [key, "_task"])
+            .withColumn("_n", F.col("_before") + F.col("_local")).drop("_at", "_task", "_before", "_local"))
+
+
 def with_error_id(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Identity of a rejected row: its values and its number among equal
     rows, so a retry finds it and true repeats stay apart."""
-    w = Window.partitionBy("_key").orderBy("_key")
-    return (rows.withColumn("_key", row_key(columns))
-            .withColumn("error_id", F.xxhash64("_key", F.row_number().over(w))).drop("_key"))
+    return (numbered(rows.withColumn("_key", row_key(columns)), "_key")
+            .withColumn("error_id", F.xxhash64("_key", F.col("_n").cast("int"))).drop("_key", "_n"))
 
 
 def coerce_flags(df: DataFrame, cols=("is_weekend", "is_festival_day")) -> DataFrame:

@@ -11,6 +11,7 @@ except the stored tables.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
@@ -63,8 +64,11 @@ def ingest_batch(store: Store, cfg: Config, batch: DataFrame, as_of: dt.datetime
 
     The batch is staged once on shared storage with two booleans per row (no
     text); reason text is built for rejected rows only. An order is stored
-    once for all time (``order_keys``); a rejected row once per value and
-    repeat (a null-safe hash), so a retried batch adds nothing. Every raw row
+    once for all time (``order_keys``, found through Bloom summaries); a
+    rejected row once per value and repeat (a null-safe hash), so a retried
+    batch adds nothing. The hour counts of the stored orders are written as
+    the batch's delta, and one commit makes batch, keys and counts count.
+    Batches are ingested one at a time (one hourly job). Every raw row
     is either clean, a duplicate of a clean order, or quarantined. ``since``
     bounds the partitions the checks read. Shared by the hourly job and the
     streaming sink.
@@ -74,13 +78,15 @@ def ingest_batch(store: Store, cfg: Config, batch: DataFrame, as_of: dt.datetime
     clean, rejected = V.split_flagged(staged, cfg)
     clean = materialize(V.dedupe_orders(clean), "ingest-clean")
     stamp = F.lit(as_of).cast("timestamp_ntz")
-    store.append_new_orders(clean.withColumn("ingested_at", stamp), since)
+    name = uuid.uuid4().hex
+    stored = store.append_new_orders(clean.withColumn("ingested_at", stamp), since, name)
+    store.write_delta(FE.zone_hour_partials(stored), name)
     rejected = V.with_error_id(rejected, order_cols).withColumn("rejected_at", stamp)
     store.append("validation_errors", rejected, key=["error_id"], since=since)
     counts = staged.agg(*V.flag_counts()).first().asDict()
     bounds = clean.agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("oldest")).first()
     counts["clean_rows"] = bounds["n"]  # one per order
-    store.log_ingest(bounds["oldest"], as_of)
+    store.commit_batch(name, bounds["n"], bounds["oldest"], as_of)
     return counts
 
 
@@ -108,33 +114,51 @@ def run_ingest(store: Store, cfg: Config, as_of: dt.datetime) -> dict:
         return {**m, "watermark": newest}
 
 
+def _incremental(store: Store, cfg: Config, last: dict, upto: int, ingests: list[dict]):
+    """(rows, dates) to replace in the last commit, or None if the grid
+    itself must be built again."""
+    current = store.read_version("features", last)
+    dates = sorted(dt.date.fromisoformat(d) for d in last["parts"])
+    lo, hi = dates[0], dates[-1]
+    oldest = [c["oldest"].date() for c in ingests if c["seq"] > last["upto"] and c["oldest"] is not None]
+    since = min([*oldest, hi])  # the newest day may have been partial
+    if since <= lo:
+        return None
+    first = current.where(F.col("timestamp") < F.lit(lo + dt.timedelta(days=1))).agg(F.min("timestamp")).first()[0]
+    midnight = dt.datetime.combine(since, dt.time())
+    lower = max(first, midnight - dt.timedelta(hours=max(max(cfg.lag_hours), 24)))
+    new = FE.features_from_counts(store.zone_hour_counts(upto, lower), cfg, lower)
+    return (new.where(F.col("timestamp") >= F.lit(midnight).cast("timestamp_ntz")),
+            {since + dt.timedelta(days=k) for k in range((hi - since).days + 1)})
+
+
 def run_features(store: Store, cfg: Config, as_of: dt.datetime,
                  incremental: bool = True) -> str:
-    """Job 2: clean_orders -> features (new committed version, SNK3).
+    """Job 2: hour counts -> features (new committed version, SNK3).
 
-    Recomputes from the oldest hour that ingests since the last version have
-    touched (late orders included) and keeps the stored rows before it; the
-    result equals the full build.
+    Merges the counts that ingests have left since the last version; orders
+    are not read again. Recomputes from the oldest day that they touch (late
+    orders included) and writes those dates only; the other dates stay in the
+    versions that hold them. The result equals a full build from
+    clean_orders, which ``incremental=False`` does. Old versions expire.
     """
     with _logged(store, DAG_NAMES[1], as_of) as box:
-        clean = store.read_table("clean_orders")
-        last = store.last_commit("features")
-        ingests = store.read_table("ingests")
-        upto = ingests.agg(F.max("seq")).first()[0]
-        feats = None
-        if incremental and last is not None and last["upto"] is not None and last["rows"]:
-            current = store.read_table("features")
-            bounds = current.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-            oldest = ingests.where(F.col("seq") > last["upto"]).agg(F.min("oldest")).first()[0]
-            since = min(x for x in (oldest, bounds["hi"]) if x is not None)  # hi may be partial
-            since = since.replace(minute=0, second=0, microsecond=0)
-            if since > bounds["lo"]:  # else the grid itself begins earlier: build in full
-                new = FE.build_features_incremental(clean, cfg, since, bounds["lo"])
-                feats = current.where(F.col("timestamp") < F.lit(since)).unionByName(new)
-        if feats is None:
-            feats = FE.build_features_once(clean, cfg)
-        version = store.overwrite_versioned("features", feats, as_of, upto)
+        def build(last):
+            ingests = store.log("ingests").all()
+            upto = ingests[-1]["seq"] if ingests else 0
+            if not incremental or not ingests:
+                return FE.build_features_once(store.read_table("clean_orders"), cfg), None, upto
+            part = _incremental(store, cfg, last, upto, ingests) if last and last["parts"] else None
+            if part is None:
+                return FE.features_from_counts(store.zone_hour_counts(upto), cfg), None, upto
+            return (*part, upto)
+
+        version = store.reload("features", build, as_of)
         box["rows"] = store.last_commit("features")["rows"]
+        store.expire("features", cfg.keep_versions)
+        base = store.last_commit("zone_hour_counts")
+        if store.last_commit("features")["upto"] - (base["upto"] if base else 0) >= cfg.compact_every:
+            store.compact_zone_hour_counts(as_of, cfg.keep_versions)
         return version
 
 
@@ -152,15 +176,15 @@ def run_training(store: Store, cfg: Config, as_of: dt.datetime, model_dir: str,
                         "reason": MON.DRIFT_REASONS["error"], "error": repr(e)}
         if not decision["trigger"]:
             return {"decision": decision, "trained": False}
-        feats = store.read_table("features")
-        if feats.isEmpty():
-            raise ValueError("features table is empty; run the feature job first")
-        try:
-            model, _tr, val = ML.train(feats, cfg, max_iter=max_iter)
-        except ML.TrainingSkipped as e:  # ML6: too little data is a skip, not a failure
-            return {"decision": decision, "trained": False, "skipped": str(e)}
-        counts = MET.split_counts(feats, cfg).first()
-        m = ML.evaluate_model(model, val).first().asDict()
+        with store.leased("features") as feats:
+            if feats.isEmpty():
+                raise ValueError("features table is empty; run the feature job first")
+            try:
+                model, _tr, val = ML.train(feats, cfg, max_iter=max_iter)
+            except ML.TrainingSkipped as e:  # ML6: too little data is a skip, not a failure
+                return {"decision": decision, "trained": False, "skipped": str(e)}
+            counts = MET.split_counts(feats, cfg).first()
+            m = ML.evaluate_model(model, val).first().asDict()
         promoted = ML.promote(m["mape"], m["baseline_mape"])
         path = ML.save_model(model, model_dir, as_of)
         if promoted:
@@ -181,20 +205,20 @@ def run_predictions(store: Store, cfg: Config, as_of: dt.datetime, model_dir: st
     with _logged(store, DAG_NAMES[3], as_of) as box:
         if scorer is None:
             scorer = ML.gbt_scorer(ML.load_latest_model(store, model_dir)[0])
-        feats = store.read_table("features")
-        if feats.isEmpty():
-            raise ValueError("features table is empty; run the feature job first")
-        stamp = F.lit(as_of).cast("timestamp_ntz")
-        preds = FC.prediction_rows(FC.forecast(feats, scorer, cfg), stamp).withColumn(
-            "prediction_id", F.xxhash64("zone_id", "forecast_hour", "generated_at"))
-        # Keyed appends: a retried run with the same as_of adds nothing twice;
-        # the key holds the run time, so only its partition is checked.
-        store.append("predictions", preds, key=["zone_id", "forecast_hour", "generated_at"], since=as_of)
-        batch = store.read_table("predictions").where(
-            (F.col(cfg.date_partition_col) == F.lit(as_of.date())) & (F.col("generated_at") == stamp))
-        alerts = MON.high_demand(batch, MON.seven_day_avg(feats), cfg).withColumn("created_at", stamp)
-        alerts = alerts.withColumn("alert_id", F.xxhash64("zone_id", "created_at", "message"))
-        store.append("alerts", alerts, key=["zone_id", "created_at", "message"], since=as_of)
-        store.flag(alerts, as_of)
-        box["rows"] = batch.count()
-        return box["rows"]
+        with store.leased("features") as feats:
+            if feats.isEmpty():
+                raise ValueError("features table is empty; run the feature job first")
+            stamp = F.lit(as_of).cast("timestamp_ntz")
+            preds = FC.prediction_rows(FC.forecast(feats, scorer, cfg), stamp).withColumn(
+                "prediction_id", F.xxhash64("zone_id", "forecast_hour", "generated_at"))
+            # Keyed appends: a retried run with the same as_of adds nothing twice;
+            # the key holds the run time, so only its partition is checked.
+            store.append("predictions", preds, key=["zone_id", "forecast_hour", "generated_at"], since=as_of)
+            batch = store.read_table("predictions").where(
+                (F.col(cfg.date_partition_col) == F.lit(as_of.date())) & (F.col("generated_at") == stamp))
+            alerts = MON.high_demand(batch, MON.seven_day_avg(feats), cfg).withColumn("created_at", stamp)
+            alerts = alerts.withColumn("alert_id", F.xxhash64("zone_id", "created_at", "message"))
+            store.append("alerts", alerts, key=["zone_id", "created_at", "message"], since=as_of)
+            store.flag(alerts, as_of)
+            box["rows"] = batch.count()
+            return box["rows"]

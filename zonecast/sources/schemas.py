@@ -97,15 +97,18 @@ PIPELINE_RUNS = _schema(
 
 WATERMARKS = _schema(("source", S, False), ("watermark", TS, True), ("updated_at", TS, True))
 
-MODEL_POINTER = _schema(("name", S, False), ("model_path", S, True), ("updated_at", TS, True),
-                        ("seq", L, True))
+# Every order_id ever stored in clean_orders: its primary key over all time,
+# by event date, with the batch that stored it (it counts once committed).
+ORDER_KEYS = _schema(("order_id", S, False), ("batch", S, False))
 
-# Every order_id ever stored in clean_orders: its primary key over all time.
-ORDER_KEYS = _schema(("order_id", S, False))
+# Bloom summaries of order_keys, by event date and batch (see keys.py).
+KEY_SUMMARIES = _schema(("batch", S, False), ("blocks", L, False), ("block", L, False),
+                        ("bits", T.ArrayType(L), False))
 
-# One row per ingested batch: the oldest event time it brought, so that the
-# incremental feature build finds late orders without scanning clean_orders.
-INGESTS = _schema(("seq", L, False), ("as_of", TS, True), ("oldest", TS, True))
+# Mergeable counts of orders (AG1 before its last step): the base of all
+# ingests up to a commit, and the delta that each later batch added.
+ZONE_HOUR_COUNTS = _schema(("zone_id", S, False), ("timestamp", TS, False), ("weather_condition", S, True),
+                           ("n", L, False), ("rows", L, False), ("fest", B, True))
 
 SCHEMAS: dict[str, T.StructType] = {
     "raw_orders": RAW_ORDERS,
@@ -117,9 +120,10 @@ SCHEMAS: dict[str, T.StructType] = {
     "alerts": ALERTS,
     "pipeline_runs": PIPELINE_RUNS,
     "watermarks": WATERMARKS,
-    "model_pointer": MODEL_POINTER,
     "order_keys": ORDER_KEYS,
-    "ingests": INGESTS,
+    "key_summaries": KEY_SUMMARIES,
+    "zone_hour_counts": ZONE_HOUR_COUNTS,
+    "zone_hour_deltas": ZONE_HOUR_COUNTS,
 }
 
 # Tables stored with a derived date partition for time pruning (SRC1, SRC5):
@@ -127,3 +131,13 @@ SCHEMAS: dict[str, T.StructType] = {
 DATE_PARTITIONED = {"raw_orders": "timestamp", "clean_orders": "timestamp",
                     "validation_errors": "timestamp", "predictions": "generated_at",
                     "alerts": "created_at"}
+
+# Written with the date partition as a column of their own.
+DATED = {"order_keys", "key_summaries"}
+
+# Reloaded by date: a commit names the version that holds each date.
+VERSIONED = {"features": "timestamp", "zone_hour_counts": "timestamp"}
+
+# The commits of the ingest job: one a batch, with the oldest event time it
+# brought, so that the incremental feature build finds late orders.
+INGEST_COMMITS = "seq long, batch string, rows long"
