@@ -210,3 +210,64 @@ def test_a_dead_reader_s_lease_ends(spark, cfg, tmp_root):
     with pytest.raises(RuntimeError), log.lease():
         raise RuntimeError
     assert log.files.list(log._leases(), dirs=False) == []
+
+
+# ---- flags and the time index ---------------------------------------------------------------
+
+def _predictions(spark, rows):
+    return spark.createDataFrame(
+        [(z, ts(h), 9.0, "NORMAL", ts(g), k) for k, (z, h, g) in enumerate(rows)],
+        "zone_id string, forecast_hour timestamp_ntz, predicted_order_count double, confidence_flag string, "
+        "generated_at timestamp_ntz, prediction_id long")
+
+
+def test_flags_are_merged_into_the_touched_dates_only(spark, cfg, tmp_root, monkeypatch):
+    # operators: SNK6, JN9
+    st = Store(spark, tmp_root, cfg)
+    st.append("predictions", _predictions(spark, [
+        ("Z1", "2026-01-03 01:00:00", "2026-01-02 23:00:00"), ("Z1", "2026-01-03 01:00:00", "2026-01-03 00:00:00"),
+        ("Z2", "2026-01-03 01:00:00", "2026-01-03 00:00:00"), ("Z1", "2026-01-01 05:00:00", "2026-01-01 04:00:00")]))
+    other = set(f for f, _ in st.files.list(f"{st.path('predictions')}/dt=2026-01-01", dirs=False))
+    alerts = spark.createDataFrame([("Z1", ts("2026-01-03 01:00:00"))], "zone_id string, forecast_hour timestamp_ntz")
+    merge = Store.merge_flags
+    monkeypatch.setattr(Store, "merge_flags", lambda self: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        st.flag(alerts, ts("2026-01-03 00:30:00"))
+    high = lambda: sorted((r.zone_id, r.generated_at.day) for r in st.read_predictions().where(
+        "confidence_flag = 'HIGH_DEMAND'").collect())
+    assert len(st.pending_flags()) == 1 and high() == [("Z1", 2), ("Z1", 3)]  # joined on read until merged
+    monkeypatch.setattr(Store, "merge_flags", merge)
+    st.flag(alerts, ts("2026-01-03 00:30:00"))  # the retry
+    assert st.pending_flags() == [] and st.read_table("prediction_flags").count() == 1
+    assert high() == [("Z1", 2), ("Z1", 3)] and st.read_predictions().count() == 4
+    assert "prediction_flags" not in st.read_predictions()._jdf.queryExecution().toString()
+    assert set(f for f, _ in st.files.list(f"{st.path('predictions')}/dt=2026-01-01", dirs=False)) == other
+    st.append("predictions", _predictions(spark, [("Z1", "2026-01-03 01:00:00", "2026-01-03 00:45:00")]))
+    assert high() == [("Z1", 2), ("Z1", 3)]  # as an UPDATE: later rows need an alert of their own
+    st.flag(alerts, ts("2026-01-03 00:50:00"))
+    assert high() == [("Z1", 2), ("Z1", 3), ("Z1", 3)]
+
+
+def _scanned(df):
+    """Rows that the scan gave, before any filter of Spark's own."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    leaves = execution.executedPlan().collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
+def test_a_drift_read_skips_row_groups(spark, cfg, tmp_root):
+    # operators: SRC5, FLT6
+    st = Store(spark, tmp_root, cfg.with_(row_group_bytes=32 << 10))
+    orders = spark.range(57_600).select(
+        F.concat(F.lit("o"), "id").alias("order_id"), F.concat(F.lit("Z"), F.col("id") % 5 + 1).alias("zone_id"),
+        (F.lit(ts("2026-01-01 00:00:00")).cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("id") % 1440 * 60).cast("decimal(18,6)"))).alias("timestamp"),
+        F.rand(1).alias("order_value"))
+    st.append("clean_orders", orders)
+    assert st.read_table("clean_orders").columns[-1] == "dt" and "ts_us" not in st.read_table("clean_orders").columns
+    since = ts("2026-01-01 20:00:00")
+    indexed = st.read_indexed("clean_orders")
+    by_index = indexed.where(F.col("ts_us") >= F.unix_micros(F.lit(since).cast("timestamp_ntz").cast("timestamp")))
+    plain = indexed.where(F.col("timestamp") >= F.lit(since).cast("timestamp_ntz"))
+    assert by_index.count() == plain.count() == 9_600
+    assert _scanned(plain) == 57_600 and 9_600 <= _scanned(by_index) < 30_000

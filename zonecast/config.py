@@ -131,6 +131,8 @@ class Config:
     # Windows over time work on slices of so many hours and the 168 before each
     # (an eighth more rows).
     slice_hours: int = 8 * 168
+    # Row groups of the clustered order files: small enough to be skipped.
+    row_group_bytes: int = 16 << 20
     # Store upkeep: reloaded versions kept beside those in use, and the number
     # of ingested batches after which their hour counts are folded together.
     keep_versions: int = 3

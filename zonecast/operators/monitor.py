@@ -18,6 +18,7 @@ from zonecast.config import (ALERT_TYPE_HIGH_DEMAND, FLAG_HIGH_DEMAND, TRIGGER_E
 from zonecast.functions import calendar as cal
 from zonecast.functions import columns as colf
 from zonecast.functions import metrics as M
+from zonecast.sources.schemas import TIME_INDEX
 
 
 def _lit_ts(t) -> Column:
@@ -41,6 +42,8 @@ def drift_pairs(predictions: DataFrame, clean: DataFrame, as_of: Column | dt.dat
     p = predictions.where(F.col("forecast_hour") >= since)
     if cfg.date_partition_col in clean.columns:  # read the window's partitions only
         clean = clean.where(F.col(cfg.date_partition_col) >= F.to_date(since))
+    if TIME_INDEX in clean.columns:  # and of those only the row groups of its hours
+        clean = clean.where(F.col(TIME_INDEX) >= F.unix_micros(since.cast("timestamp")))
     a = actual_hourly(clean.where(F.col("timestamp") >= since))
     return (p.join(a, (p.zone_id == a.zone_id) & (p.forecast_hour == a.hour_timestamp))
             .select(p.zone_id, p.forecast_hour, p.predicted_order_count,

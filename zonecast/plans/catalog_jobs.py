@@ -19,10 +19,10 @@ from zonecast.plans.catalog import (CFG, FEATURE_SELECT, ORDER_COLS, _FEAT, _VAL
                                     clean, features, r6, raw, register)
 from zonecast.plans.catalog_model import (_ACTUAL, _AVG7, _FORECAST, _HIST, _VALROWS, ALERT_CFG, _ALERTS,
                                           _metrics_sql)
-from zonecast.plans.jobs import read_new_orders, run_features, run_ingest, run_predictions
+from zonecast.plans.jobs import ingest_batch, read_new_orders, run_features, run_ingest, run_predictions
 from zonecast.session import materialize
 from zonecast.sources.adapters import events_as_orders
-from zonecast.sources.schemas import RAW_ORDERS
+from zonecast.sources.schemas import RAW_ORDERS, TIME_INDEX
 from zonecast.sources.store import Store
 from zonecast.streaming import ingest_stream as S
 
@@ -277,6 +277,10 @@ def q_stream_ingest_resent(spark, sf_dir):
     return st.read_table("clean_orders").drop("ingested_at", CFG.date_partition_col)
 
 
+def _late(rows):
+    return rows.where((F.pmod(F.xxhash64("order_id"), F.lit(5)) == 0) & (F.col("timestamp") > F.lit(WATERMARK)))
+
+
 @register("job_features_late", O.with_ctes(*_FEAT, body=f"SELECT {FEATURE_SELECT} FROM features"))
 def q_job_features_late(spark, sf_dir):
     """Orders that arrive after the features of their hour were stored: the
@@ -284,9 +288,7 @@ def q_job_features_late(spark, sf_dir):
     build."""
     st = Store(spark, S.scratch(spark, "late-store"), CFG)
     rows = materialize(raw(spark, sf_dir), "late-orders")
-    late = (F.pmod(F.xxhash64("order_id"), F.lit(5)) == 0) & (F.col("timestamp") > F.lit(WATERMARK))
-    from zonecast.plans.jobs import ingest_batch  # noqa: PLC0415
-    for k, part in enumerate((rows.where(F.coalesce(~late, F.lit(True))), rows.where(late))):
+    for k, part in enumerate((rows.exceptAll(_late(rows)), _late(rows))):
         as_of = JOB_AS_OF + dt.timedelta(hours=k)
         ingest_batch(st, CFG, part, as_of, since=CFG.initial_watermark)
         run_features(st, CFG, as_of)
@@ -306,6 +308,65 @@ def q_job_features_reloaded(spark, sf_dir):
     return st.read_table("features").groupBy("zone_id").agg(F.count("*").alias("n_rows"))
 
 
+@register("job_features_expired", O.with_ctes(*_FEAT, body="""
+SELECT zone_id, count(*) AS n_rows, 3 AS n_versions, 3 AS n_commits FROM features GROUP BY zone_id"""))
+def q_job_features_expired(spark, sf_dir):
+    """SNK3, SRC3: after 20 reloads, each followed by expiry, readers get the
+    newest version and the folder holds the stated number of versions."""
+    st = Store(spark, S.scratch(spark, "expiry-store"), CFG)
+    feats = features(spark, sf_dir)
+    one = feats.where(F.col("zone_id") == CFG.zones[0])
+    for k in range(20):
+        st.overwrite_versioned("features", feats if k == 19 else one, JOB_AS_OF + dt.timedelta(hours=k))
+        st.expire("features", 3)
+    versions = [d for d in st.list_dirs(st.path("features")) if d.startswith("v=")]
+    return st.read_table("features").groupBy("zone_id").agg(
+        F.count("*").alias("n_rows"), F.lit(len(versions)).alias("n_versions"),
+        F.lit(len(st.log("features").all())).alias("n_commits"))
+
+
+@register("job_known_ids", O.with_ctes(*_VAL, body="SELECT order_id FROM clean"))
+def q_job_known_ids(spark, sf_dir):
+    """SNK1, SRC1: which ids of all raw orders are stored, found through the
+    key summaries of several batches, before and after the summaries of all
+    dates but the last ones are compacted (an id counts if both say so)."""
+    st = _resent_store(spark, sf_dir)
+    ids = raw(spark, sf_dir).select("order_id").where("order_id IS NOT NULL").distinct()
+    before = materialize(st.known_ids(ids)[0], "known-before")
+    st.compact_key_summaries(WATERMARK.date())
+    return st.known_ids(ids)[0].join(before, "order_id")
+
+
+@register("job_hour_counts", O.with_ctes(*_VAL, body="""
+SELECT zone_id, date_trunc('hour', "timestamp")::TIMESTAMP AS "timestamp", weather_condition,
+       count(order_id) AS n, count(*) AS "rows", max(is_festival_day) AS fest
+FROM clean GROUP BY ALL"""))
+def q_job_hour_counts(spark, sf_dir):
+    """AG1, SNK3: the hour counts of all stored orders, merged from a
+    compacted base and the deltas of later (and retried) batches."""
+    st = _resent_store(spark, sf_dir)
+    ingests = st.log("ingests").all()
+    st.compact_zone_hour_counts(JOB_AS_OF, CFG.keep_versions)
+    late = _late(raw(spark, sf_dir)).limit(0)  # one more, empty batch after the base
+    ingest_batch(st, CFG, late, JOB_AS_OF + dt.timedelta(days=1), since=CFG.initial_watermark)
+    return st.zone_hour_counts(ingests[-1]["seq"] + 1)
+
+
+_SINCE = JOB_AS_OF - dt.timedelta(hours=CFG.drift_lookback_hours)
+
+
+@register("job_recent_orders", O.with_ctes(*_VAL, body=f"""
+SELECT {ORDER_COLS} FROM clean WHERE "timestamp" >= TIMESTAMP '{_SINCE:%Y-%m-%d %H:%M:%S}'"""))
+def q_job_recent_orders(spark, sf_dir):
+    """SRC5, FLT6: the drift check's look-back window through the time index
+    of the clustered order files."""
+    st = _ingested_store(spark, sf_dir)
+    since = F.lit(_SINCE).cast("timestamp_ntz")
+    recent = st.read_indexed("clean_orders").where(
+        (F.col(CFG.date_partition_col) >= F.to_date(since)) & (F.col(TIME_INDEX) >= F.unix_micros(since.cast("timestamp"))))
+    return recent.drop("ingested_at", TIME_INDEX, CFG.date_partition_col)
+
+
 # ---- the jobs over several runs, and the logs they write (SNK4-SNK10) ------------------------
 
 def _at(minutes: int) -> dt.datetime:

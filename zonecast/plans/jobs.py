@@ -168,7 +168,7 @@ def run_training(store: Store, cfg: Config, as_of: dt.datetime, model_dir: str,
     with _logged(store, DAG_NAMES[2], as_of) as box:
         have_model = store.model_pointer() is not None  # a promoted one
         try:
-            pairs = MON.drift_pairs(store.read_predictions(), store.read_table("clean_orders"),
+            pairs = MON.drift_pairs(store.read_predictions(), store.read_indexed("clean_orders"),
                                     as_of, cfg)
             decision = MON.drift_decision(pairs, cfg, have_model, force_daily).first().asDict()
         except Exception as e:  # noqa: BLE001 - ML7: a failed check retrains
@@ -217,8 +217,8 @@ def run_predictions(store: Store, cfg: Config, as_of: dt.datetime, model_dir: st
             batch = store.read_table("predictions").where(
                 (F.col(cfg.date_partition_col) == F.lit(as_of.date())) & (F.col("generated_at") == stamp))
             alerts = MON.high_demand(batch, MON.seven_day_avg(feats), cfg).withColumn("created_at", stamp)
-            alerts = alerts.withColumn("alert_id", F.xxhash64("zone_id", "created_at", "message"))
+            alerts = materialize(alerts.withColumn("alert_id", F.xxhash64("zone_id", "created_at", "message")), "alerts")
             store.append("alerts", alerts, key=["zone_id", "created_at", "message"], since=as_of)
-            store.flag(alerts, as_of)
             box["rows"] = batch.count()
+            store.flag(alerts, as_of)  # rewrites the dates it touches
             return box["rows"]

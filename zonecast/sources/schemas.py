@@ -132,6 +132,11 @@ DATE_PARTITIONED = {"raw_orders": "timestamp", "clean_orders": "timestamp",
                     "validation_errors": "timestamp", "predictions": "generated_at",
                     "alerts": "created_at"}
 
+# Stored with a BIGINT copy of the time (microseconds, UTC) and clustered by
+# (date, this column, time), the original's index on zone and hour (SRC5).
+TIME_INDEX = "ts_us"
+INDEXED = {"clean_orders": "zone_id"}
+
 # Written with the date partition as a column of their own.
 DATED = {"order_keys", "key_summaries"}
 

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from zonecast.config import FLAG_HIGH_DEMAND, Config
 from zonecast.sources import keys as K
 from zonecast.sources.commits import CommitLog, Files
-from zonecast.sources.schemas import DATE_PARTITIONED, DATED, INGEST_COMMITS, SCHEMAS, VERSIONED
+from zonecast.sources.schemas import DATE_PARTITIONED, DATED, INDEXED, INGEST_COMMITS, SCHEMAS, TIME_INDEX, VERSIONED
 
 FLAGS = "prediction_flags"
 FLAGS_SCHEMA = T.StructType([
@@ -85,7 +85,18 @@ class Store:
             return self.read_version(name, self.log(name).last())
         if not self.exists(self.path(name)):
             return self.empty(name)
-        return self.spark.read.schema(self.schema(name)).parquet(self.path(name))
+        out = self.spark.read.schema(self.schema(name)).parquet(self.path(name))
+        return out.select(*FLAGS_SCHEMA.fieldNames()) if name == FLAGS else out
+
+    def read_indexed(self, name: str) -> DataFrame:
+        """SRC5: a table of ``INDEXED`` with its BIGINT time column. Its files
+        are ranges of (date, zone, time) and sorted, so a predicate on that
+        column skips row groups (one on the NTZ column doesn't)."""
+        if not self.exists(self.path(name)):
+            return self.empty(name).withColumn(TIME_INDEX, F.lit(None).cast("long"))
+        part = self.cfg.date_partition_col
+        fields = [*SCHEMAS[name].fields, T.StructField(TIME_INDEX, T.LongType()), T.StructField(part, T.DateType())]
+        return self.spark.read.schema(T.StructType(fields)).parquet(self.path(name))
 
     # ---- appends (SNK1, SNK2, SNK4, SNK5, SNK7, SNK8) -----------------------------------
     def append(self, name: str, df: DataFrame, key: list[str] | None = None,
@@ -105,11 +116,19 @@ class Store:
             if since is not None and part:
                 existing = existing.where((F.col(part) >= F.lit(since.date())) | F.col(part).isNull())
             out = out.join(existing.select(*key), key, "left_anti")
-        if part:
+        w_options = {}
+        if name in INDEXED:
+            # Range partitions by date, zone and time: a hot zone's day is cut
+            # in time, and a file's row groups cover few zones and hours.
+            order = [part, INDEXED[name], TIME_INDEX]
+            out = (out.withColumn(TIME_INDEX, F.unix_micros(F.col(DATE_PARTITIONED[name]).cast("timestamp")))
+                   .repartitionByRange(*order).sortWithinPartitions(*order))
+            w_options["parquet.block.size"] = self.cfg.row_group_bytes
+        elif part:
             # AQE-sized write partitions per date: skewed dates are split,
             # small ones merged, so each task writes few, reasonably sized files.
             out = out.hint("rebalance", part)
-        w = out.write.mode("append")
+        w = out.write.mode("append").options(**w_options)
         if part:
             w = w.partitionBy(part)
         w.parquet(self.path(name))
@@ -172,7 +191,8 @@ class Store:
     def replace_dates(self, name: str, df: DataFrame) -> None:
         """Replace exactly the dates that ``df`` (with the partition column)
         has rows of; the result is staged first, since it may have been read
-        from those dates."""
+        from those dates. Queries that still read the replaced files must
+        start again (the jobs run one after the other)."""
         from zonecast.session import materialize  # noqa: PLC0415
 
         part = self.cfg.date_partition_col
@@ -315,25 +335,63 @@ class Store:
         row = self.spark.createDataFrame([(source, value, as_of)], SCHEMAS["watermarks"])
         row.coalesce(1).write.mode("append").parquet(self.path("watermarks"))
 
-    # ---- predictions with flags (SNK6 / JN9 on read) --------------------------------------
+    # ---- predictions with flags (SNK6, JN9) -------------------------------------------------
     def flag(self, alerts: DataFrame, as_of: dt.datetime) -> None:
-        keys = ["zone_id", "forecast_hour"]
-        rows = alerts.select(*keys).distinct()
-        if self.exists(self.path(FLAGS)):  # a retry flags nothing twice
-            rows = rows.join(self.read_table(FLAGS).select(*keys), keys, "left_anti")
-        rows = (rows.withColumn("flag", F.lit(FLAG_HIGH_DEMAND))
+        """Store one flag an alerted zone, hour and run, and merge it into
+        the stored predictions; a retry flags nothing twice, and merges what
+        a failed run left."""
+        from zonecast.session import materialize  # noqa: PLC0415
+
+        keys = ["zone_id", "forecast_hour", "flagged_at"]
+        rows = (alerts.select("zone_id", "forecast_hour").distinct()
+                .withColumn("flag", F.lit(FLAG_HIGH_DEMAND))
                 .withColumn("flagged_at", F.lit(as_of).cast("timestamp_ntz")))
-        rows.write.mode("append").parquet(self.path(FLAGS))
+        if self.exists(self.path(FLAGS)):
+            rows = rows.join(self.read_table(FLAGS).select(*keys), keys, "left_anti")
+        rows = materialize(rows.select(*FLAGS_SCHEMA.fieldNames()), "flags")
+        if not rows.isEmpty():
+            rows.coalesce(1).write.parquet(f"{self.path(FLAGS)}/batch={uuid.uuid4().hex}")
+        self.merge_flags()
+
+    def pending_flags(self) -> list[str]:
+        """Batches of flags that no commit says are merged."""
+        merged = {c["batch"] for c in self.log(FLAGS).all()}
+        return [d[len("batch="):] for d in self.list_dirs(self.path(FLAGS))
+                if d.startswith("batch=") and d[len("batch="):] not in merged]
+
+    def _flags_of(self, batches: list[str]) -> DataFrame:
+        return self.spark.read.schema(FLAGS_SCHEMA).parquet(*(f"{self.path(FLAGS)}/batch={b}" for b in batches))
+
+    def merge_flags(self) -> list[dt.date]:
+        """SNK6: write the flags into the predictions stored by now, older
+        batches of the same zone and hour included (T21). Only dates with a
+        row to change are written again; the dates are returned. Merging
+        again, after a failure, changes nothing."""
+        from zonecast.operators.monitor import flag_predictions  # noqa: PLC0415
+
+        pending = self.pending_flags()
+        if not pending:
+            return []
+        part = self.cfg.date_partition_col
+        flags, preds = self._flags_of(pending), self.read_table("predictions")
+        to_change = preds.where(F.col("confidence_flag") != FLAG_HIGH_DEMAND).join(
+            flags.select("zone_id", "forecast_hour").distinct(), ["zone_id", "forecast_hour"], "left_semi")
+        dates = [r[0] for r in to_change.select(part).distinct().collect()]
+        if dates:
+            self.replace_dates("predictions", flag_predictions(preds.where(F.col(part).isin(dates)), flags))
+        for b in pending:
+            self.log(FLAGS).commit(lambda _last, b=b: {"batch": b})
+        return sorted(dates)
 
     def read_predictions(self) -> DataFrame:
-        """Predictions with HIGH_DEMAND applied to every row of an alerted
-        (zone, hour), older batches included (T21)."""
-        preds = self.read_table("predictions")
-        if not self.exists(self.path(FLAGS)):
+        """Predictions with HIGH_DEMAND on every row of an alerted (zone,
+        hour). Flags are in the table itself; only those that a failed run
+        hasn't merged yet are joined."""
+        preds, pending = self.read_table("predictions"), self.pending_flags()
+        if not pending:
             return preds
         from zonecast.operators.monitor import flag_predictions  # noqa: PLC0415
-        flags = self.spark.read.schema(FLAGS_SCHEMA).parquet(self.path(FLAGS))
-        return flag_predictions(preds, flags)
+        return flag_predictions(preds, self._flags_of(pending))
 
     # ---- model pointer (SNK12, SRC6) ---------------------------------------------------------
     def set_model_pointer(self, model_path: str, as_of: dt.datetime) -> None:
