@@ -47,7 +47,9 @@ def test_hashes_do_not_depend_on_blocks(odd_rows):
     assert (np.concatenate(small) == np.concatenate(large)).all()
 
 
-def test_components_of_chains_stars_and_nothing(spark):
+@pytest.mark.parametrize("one_task", [0, graph.ONE_TASK])
+def test_components_of_chains_stars_and_nothing(spark, monkeypatch, one_task):
+    monkeypatch.setattr(graph, "ONE_TASK", one_task)
     pairs = [(i, i + 1) for i in range(50)] + [(1000, 1000 + k) for k in range(1, 40)] + [(7, 3), (2000, 2000)]
     df = spark.createDataFrame(pairs, "a long, b long").repartition(5)
     got = {r.node: r.component for r in graph.components(df).collect()}

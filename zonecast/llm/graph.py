@@ -53,19 +53,26 @@ def _contract(batches):
         yield from star_edges(np.concatenate(a), np.concatenate(b))
 
 
+ONE_TASK = 1 << 20  # edges (16 MB) that one task finishes; beyond, all tasks go on
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component: the smallest node it reaches) of all nodes of
     ``edges`` (a, b long, neither null) but the components' own roots.
 
     Alternates large-star and small-star steps until nothing changes, after
     each task has contracted its own edges; a hub's edges meet in a grouped
-    minimum (summed in every task) and a join, never in one group.
+    minimum (summed in every task) and a join, never in one group.  Once at
+    most ``ONE_TASK`` edges are left, one task contracts them to the end,
+    which spares the last rounds' jobs.
     """
     stars = written(edges.filter("a <> b").select("a", "b").mapInArrow(_contract, EDGE_SCHEMA).distinct(), "stars")
     seen = None
     while True:
         state = stars.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if state["n"] == 0 or state == seen:
+        if 0 < state["n"] <= ONE_TASK:
+            stars = written(stars.repartition(1).mapInArrow(_contract, EDGE_SCHEMA), "stars")
+        if state["n"] <= ONE_TASK or state == seen:
             return stars.select(F.col("b").alias("node"), F.col("a").alias("component"))
         seen = state
         both = stars.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
