@@ -67,3 +67,19 @@ def test_stream_into_store_is_replay_safe(spark, cfg, tmp_root):
         S.ingest_stream_to_store(st, cfg, stream, f"{tmp_root}/ckpt{run}", as_of)
         assert sorted(r.order_id for r in st.read_table("clean_orders").collect()) == ["a", "c"]
         assert [r.order_id for r in st.read_table("validation_errors").collect()] == ["b"]
+
+
+def test_late_rows_are_kept_and_reconciled(spark, cfg, tmp_root):
+    # operators: SM3
+    files = [[order("a", t="2026-01-01 10:05:00"), order("b", t="2026-01-01 09:50:00")],
+             [order("c", t="2026-01-01 20:00:00"), order("d", t="2026-01-01 10:30:00")],
+             [order("e", t="2026-01-01 10:45:00"), order("f", t="2026-01-01 17:10:00"), order("g", t="2026-01-01 18:59:00")]]
+    for k, rows in enumerate(files):
+        orders_df(spark, rows).coalesce(1).write.parquet(f"{tmp_root}/src/part={k}")
+    for replay in range(2):  # under a new checkpoint all batches run again
+        S.count_with_late_rows(S.read_stream(spark, f"{tmp_root}/src", RAW_ORDERS, max_files=1), cfg,
+                               f"{tmp_root}/out", f"{tmp_root}/ckpt{replay}")
+        late = sorted(r.order_id for r in spark.read.schema(RAW_ORDERS).parquet(f"{tmp_root}/out/late").collect())
+        assert late == ["e", "f"]
+        got = {r.hour_timestamp.hour: (r.order_count, r.late_count) for r in S.reconciled_counts(spark, f"{tmp_root}/out").collect()}
+        assert got == {9: (1, 0), 10: (3, 1), 17: (1, 1), 18: (1, 0), 20: (1, 0)}

@@ -281,6 +281,19 @@ def _late(rows):
     return rows.where((F.pmod(F.xxhash64("order_id"), F.lit(5)) == 0) & (F.col("timestamp") > F.lit(WATERMARK)))
 
 
+@register("stream_late_counts", O.with_ctes(*_VAL, _ACTUAL, body="SELECT * FROM actual"))
+def q_stream_late_counts(spark, sf_dir):
+    """SM3: the newer half of the orders arrives first, so most of the older
+    half is behind the line; counts reconciled with the late rows equal AG6."""
+    base = S.scratch(spark, "stream-late")
+    rows = materialize(raw(spark, sf_dir), "late-stream").where("timestamp IS NOT NULL")
+    newer = F.col("timestamp") >= F.lit(CFG.split_date - dt.timedelta(days=9))
+    for k, part in enumerate((rows.where(newer), rows.where(~newer))):
+        part.coalesce(1).write.parquet(f"{base}/src/part={k}")
+    S.count_with_late_rows(S.read_stream(spark, f"{base}/src", RAW_ORDERS, max_files=1), CFG, base, f"{base}/ckpt")
+    return S.reconciled_counts(spark, base).drop("late_count")
+
+
 @register("job_features_late", O.with_ctes(*_FEAT, body=f"SELECT {FEATURE_SELECT} FROM features"))
 def q_job_features_late(spark, sf_dir):
     """Orders that arrive after the features of their hour were stored: the
