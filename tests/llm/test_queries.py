@@ -15,6 +15,8 @@ def test_query_covers_its_whole_table(spark, name):
     got = QUERIES[name](spark, SF)
     if name == "op5_embedding_dedup":
         assert got.count() == spark.read.parquet(f"{SF}/embeddings.parquet").count()
+    elif name == "op13_conversation_repair":
+        assert got.count() == spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().count()
     elif name not in ("op3_paragraph_dedup", "op8_decontamination"):
         assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 

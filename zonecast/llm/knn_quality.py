@@ -175,7 +175,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                 ["doc_id", "y", "bins", "terms"])
 
     rows = (src.join(F.broadcast(marked), "doc_id")
-            .mapInArrow(sparse, "doc_id long, y int, bins binary, terms binary").collect())  # bounded sample
+            .mapInArrow(sparse, "doc_id long, y int, bins binary, terms binary").dropDuplicates()
+            .orderBy(F.xxhash64("doc_id"), "doc_id", "bins", "terms").limit(max_labelled).collect())  # however many rows an id has
     rows.sort(key=lambda r: (r["doc_id"], r["bins"]))
     terms = np.zeros((len(rows), BINS))
     for x, r in zip(terms, rows):

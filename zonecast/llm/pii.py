@@ -46,6 +46,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonecast.llm.common import small_batches, text_frame, written
 
@@ -382,16 +383,15 @@ def anonymise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key:
 def anonymise_column(docs: DataFrame, text: str = "text", key: bytes = KEY) -> DataFrame:
     """The rows of ``docs``, all columns, with the text rewritten."""
     small_batches(docs.sparkSession)
-    at = docs.columns.index(text)
+    packed = docs.select(F.struct("*").alias("doc"), F.col(text).cast("string").alias("text"))
 
     def run(batches):
         s = Surrogates(key)
         for b in batches:
-            column = b.column(at)
             new = [replace(t, s, _attempts(r))[0] if t else t
-                   for t, r in zip(column.to_pylist(), b.column(b.num_columns - 1).to_pylist())]
-            arrays = [*b.columns[:-1]]
-            arrays[at] = pa.array(new, column.type)
-            yield pa.RecordBatch.from_arrays(arrays, b.schema.names[:-1])
+                   for t, r in zip(b.column("text").to_pylist(), b.column("__redrawn").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(new, pa.string())], ["doc", "text"])
 
-    return _with_attempts(docs, text, key).mapInArrow(run, docs.schema)
+    rows = _with_attempts(packed, "text", key)
+    done = rows.mapInArrow(run, T.StructType([rows.schema["doc"], T.StructField("text", T.StringType())]))
+    return done.select(*(F.col("text").alias(c) if c == text else F.col("doc")[c].alias(c) for c in docs.columns))

@@ -132,15 +132,18 @@ class PULinear:
         return out
 
 
-def _gather(docs: DataFrame, ids: DataFrame) -> list[np.ndarray]:
-    """Distinct word hashes of the sampled documents (a bounded number)."""
+def _gather(docs: DataFrame, ids: DataFrame, most: int) -> list[np.ndarray]:
+    """Distinct word hashes of the sampled documents: ``most`` rows at most,
+    however many rows an id has; equal texts of an id count once."""
     def sets(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([s.tobytes() for s in word_sets(batch.column("text"))], pa.binary())],
-                ["doc_id", "words"])
+                [batch.column("doc_id"), batch.column("h"),
+                 pa.array([s.tobytes() for s in word_sets(batch.column("text"))], pa.binary())], ["doc_id", "h", "words"])
 
-    rows = docs.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(sets, "doc_id long, words binary").collect()
+    rows = (docs.withColumn("h", F.xxhash64("text")).join(F.broadcast(ids), "doc_id", "left_semi")
+            .mapInArrow(sets, "doc_id long, h long, words binary").dropDuplicates(["doc_id", "h"])
+            .orderBy(F.xxhash64("doc_id"), "doc_id", "h").limit(most).collect())
     return [np.frombuffer(r["words"], np.uint64) for r in sorted(rows, key=lambda r: (r["doc_id"], r["words"]))]
 
 
@@ -157,9 +160,9 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     prior = (counts["p"] or 0) / counts["n"] if counts["n"] else 0.0
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     positive = marked.filter("y = 1").select("doc_id").orderBy(*order).limit(max_positive)
-    unlabelled = src.select("doc_id").orderBy(*order).limit(max_unlabelled)
-    examples = {s.tobytes(): s for s in _gather(src, positive)}  # copies count once
-    return PULinear.train(list(examples.values()), _gather(src, unlabelled), prior)
+    unlabelled = src.select("doc_id").distinct().orderBy(*order).limit(max_unlabelled)
+    examples = {s.tobytes(): s for s in _gather(src, positive, max_positive)}  # copies count once
+    return PULinear.train(list(examples.values()), _gather(src, unlabelled, max_unlabelled), prior)
 
 
 def score(docs: DataFrame, model: PULinear, doc_id: str = "doc_id", text: str = "text", mod: int = 4,
