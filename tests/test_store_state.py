@@ -94,6 +94,51 @@ def test_summaries_miss_no_id_and_hit_few_others(spark):
     assert keys.hits(bits.limit(0), other, "order_id", "dt").count() == 0
 
 
+def test_summaries_hold_the_bits_of_their_ids(spark):
+    # operators: SNK1
+    days = {dt.date(2026, 1, 1): 3, dt.date(2026, 1, 2): 300}  # one block each; few words, and most words
+    ids = spark.createDataFrame([(f"o{d.day}-{k}", d) for d, n in days.items() for k in range(n)], "order_id string, dt date")
+    want = {d: set() for d in days}
+    for r in ids.withColumn("set", keys.positions(F.col("order_id"))).collect():
+        want[r.dt] |= set(r.set)
+    rows = keys.summarise(ids, "order_id", "dt").collect()
+    assert len(rows) == 2 and all(len(r.bits) == keys.WORDS for r in rows)
+    assert {r.dt: {64 * w + b for w, word in enumerate(r.bits) for b in range(64) if word >> b & 1} for r in rows} == want
+
+
+def test_summaries_shuffle_ids_and_not_their_bits(spark):
+    # operators: SNK1
+    ids = spark.createDataFrame([(f"o{k}", dt.date(2026, 1, 1 + k % 3)) for k in range(50)], "order_id string, dt date")
+    bits = keys.summarise(ids, "order_id", "dt")
+    bits.collect()
+    plan = bits._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    shuffles = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
+    assert shuffles and not any("word" in x for x in shuffles)
+    assert "try_element_at" not in plan  # no look-up of each word in a map
+
+
+def test_ids_are_not_gathered_by_a_small_block(spark, monkeypatch):
+    # operators: SNK1
+    monkeypatch.setattr(keys, "BROADCAST_ROWS", 4, raising=False)
+    ids = spark.range(30_003).select(
+        F.concat(F.lit("order-"), F.col("id")).alias("order_id"),
+        F.when(F.col("id") < 3, F.date_add(F.lit("2026-01-01"), F.col("id").cast("int")))
+        .otherwise(F.to_date(F.lit("2026-01-09"))).alias("dt"))
+    bits = keys.summarise(ids, "order_id", "dt").cache()  # three dates of one block, one of 64
+    assert sorted(r.blocks for r in bits.select("blocks").distinct().collect()) == [1, 64]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = keys.hits(bits.where("blocks = 1"), ids.select("order_id"), "order_id", "dt")
+        assert sorted(r.order_id for r in small.collect()) == ["order-0", "order-1", "order-2"]
+        plan = small._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        both = keys.hits(bits, ids.select("order_id"), "order_id", "dt")
+        assert sorted(both.collect()) == sorted(ids.select("order_id", "dt").collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        bits.unpersist()
+
+
 def test_a_batch_without_repeats_opens_no_key_partition(spark, cfg, tmp_root, monkeypatch):
     # operators: SNK1, SRC1
     st = Store(spark, tmp_root, cfg)
