@@ -1,6 +1,9 @@
 """SM1-SM3: stream results, late-data bound, duplicate suppression."""
 
+import os
+
 from helpers import order, orders_df, ts
+from zonecast.plans import catalog_jobs as CJ
 from zonecast.sources.schemas import RAW_ORDERS
 from zonecast.streaming import ingest_stream as S
 
@@ -83,3 +86,12 @@ def test_late_rows_are_kept_and_reconciled(spark, cfg, tmp_root):
         assert late == ["e", "f"]
         got = {r.hour_timestamp.hour: (r.order_count, r.late_count) for r in S.reconciled_counts(spark, f"{tmp_root}/out").collect()}
         assert got == {9: (1, 0), 10: (3, 1), 17: (1, 1), 18: (1, 0), 20: (1, 0)}
+
+
+def test_a_delivery_is_written_as_one_file_a_core_and_batch(spark, tmp_root):
+    # operators: SM1
+    rows = orders_df(spark, [order(f"o{k}", zone="Z1") for k in range(500)])  # one zone: no split by it
+    cores = spark.sparkContext.defaultParallelism
+    assert CJ._write_batches(rows, 2, f"{tmp_root}/src") == cores
+    assert len([f for f in os.listdir(f"{tmp_root}/src") if f.endswith(".parquet")]) == 2 * cores
+    assert sorted(spark.read.parquet(f"{tmp_root}/src").collect()) == sorted(rows.collect())
