@@ -95,3 +95,14 @@ def test_a_delivery_is_written_as_one_file_a_core_and_batch(spark, tmp_root):
     assert CJ._write_batches(rows, 2, f"{tmp_root}/src") == cores
     assert len([f for f in os.listdir(f"{tmp_root}/src") if f.endswith(".parquet")]) == 2 * cores
     assert sorted(spark.read.parquet(f"{tmp_root}/src").collect()) == sorted(rows.collect())
+
+
+def test_late_orders_and_the_others_are_told_apart_row_by_row(spark):
+    # operators: AG1
+    rows = [order(f"o{k}", t="2024-01-29 10:00:00") for k in range(40)]
+    rows += rows[:20] + [order("no-time", t=None), order(None, t="2024-01-29 10:00:00"), order(None, t=None)]
+    df = orders_df(spark, rows)
+    rest = df.where(~CJ._is_late())
+    want, got = df.exceptAll(CJ._late(df)).collect(), rest.collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and 0 < len(got) < len(rows)
+    assert "Aggregate" not in rest._jdf.queryExecution().executedPlan().toString()
