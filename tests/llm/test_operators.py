@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import math
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 import brute
 from brute import documents, edited, prose
-from zonecast.llm import (backoff, bbpe, cover_tree, decontam, ext_hash, graph, knn_quality, lsh_forest, para_dedup,
-                          pii, textblocks, toxicity_pu)
+from zonecast.llm import (backoff, bbpe, cover_tree, cross_blocks, decontam, ext_hash, graph, knn_quality, lsh_forest,
+                          para_dedup, pii, textblocks, toxicity_pu)
 from zonecast.llm.queries import vocabulary_path
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -207,6 +208,80 @@ def test_near_equal_paragraphs_join_one_cluster():
     assert 1 - (1 - 0.75 ** para_dedup.ROWS) ** para_dedup.BANDS >= para_dedup.RECALL
 
 
+def _calls(run):
+    """(result, calls of functions made by this process) of ``run()``."""
+    made = [0]
+
+    def count(frame, event, arg):
+        made[0] += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        out = run()
+    finally:
+        sys.setprofile(None)
+    return out, made[0]
+
+
+def test_paragraphs_are_packed_and_confirmed_without_a_loop_over_rows():
+    texts = [prose(90000 + k, 300, 9000) for k in range(60)]
+    texts += [texts[0], None, "", "short"]
+    marks, sets = [], {}
+    for _, _, data, off in textblocks.blocks(pa.array(texts)):
+        text, _, _, inside, at, _ = para_dedup.paragraphs(data, off)
+        prints = para_dedup.fingerprint(inside, at).tolist()
+        marks += zip(text.tolist(), prints)
+        sets.update((m, {int(v) >> 24 for v in inside[p:q]}) for m, p, q in zip(prints, at[:-1], at[1:]))
+    wanted = [[m for t, m in marks if t == k and m % 3] if k < 60 else [1] for k in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(wanted, pa.list_(pa.int64()))], ["text", "wanted"])
+    got, calls = _calls(lambda: [x for b in (batch, batch.slice(3, 9)) for x in para_dedup.contents([b])])
+    got = [(r["print"], {int.from_bytes(r["shingles"][k:k + 5], "big") for k in range(0, len(r["shingles"]), 5)},
+            len(r["shingles"])) for b in got for r in b.to_pylist()]
+    assert sorted(m for m, _, _ in got) == sorted(m for w in wanted[:60] + wanted[3:12] for m in set(w) & set(sets))
+    assert all(x == sets[m] and n == 5 * len(x) for m, x, n in got)
+    assert calls < 2 * len(got)  # 30 a paragraph before
+
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, (40, 30), dtype=np.uint64)
+    packed = [para_dedup.pack(np.append(base[k % 40, k // 40 % 9:], rng.integers(0, 2**63, k % 5, dtype=np.uint64)))
+              for k in range(1500)]
+    packed[7] = b""
+    a, b = rng.integers(0, 1500, (2, 3000))
+    b[::2] = (a[::2] + 40 * rng.integers(0, 30, 1500)) % 1480
+    raw = [{p[k:k + 5] for k in range(0, len(p), 5)} for p in packed]
+    want = [bool(raw[i] and raw[j]) and 100 * len(raw[i] & raw[j]) >= 75 * len(raw[i] | raw[j]) for i, j in zip(a, b)]
+    rows = pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array([packed[i] for i in a]),
+                                       pa.array([packed[i] for i in b])], ["a", "b", "xs", "ys"])
+    got, calls = _calls(lambda: [(r["a"], r["b"]) for x in para_dedup.confirm([rows]) for r in x.to_pylist()])
+    assert got == [(i, j) for i, j, w in zip(a.tolist(), b.tolist(), want) if w] and 100 < len(got) < 2900
+    _, calls = _calls(lambda: list(para_dedup.confirm([rows])))
+    assert calls < len(rows)
+    for width in (5, 8):  # sets of wide elements too, and a slice
+        column = pa.array(packed if width == 5 else
+                          [b"".join(bytes(3) + p[k:k + 5] for k in range(0, len(p), 5)) for p in [b"", *packed]])
+        assert cross_blocks.Contents(column[-1500:], width).similar(a, b, 75).tolist() == want
+
+    cells, unknown = 800, bytes([para_dedup.MANY, *bytes(7)])  # a member, and an outsider on both sides
+    cell = np.repeat(np.arange(cells), 3)
+    first = np.arange(cells) * 40 % 1480
+    other = np.where(np.arange(cells) % 100, (first + 1) % 1480, first)
+    side = np.tile([0, 0, 1], cells)
+    outsider = np.tile([False, True, True], cells)
+    ident = 2 * cell + outsider
+    content = [packed[x] for f, o in zip(first, other) for x in (f, o, o)]
+    zero = pa.array(np.zeros(3 * cells, np.int32))
+    table = pa.RecordBatch.from_arrays(
+        [pa.array([int(c).to_bytes(8, "big") for c in cell]), zero, zero, pa.array(side.astype(np.int32)),
+         pa.array(outsider), pa.array(ident), pa.array(ident), pa.array([unknown] * len(cell)), pa.array(content)],
+        ["group", "i", "j", "side", "outsider", "id", "label", "sketch", "content"])
+    got, calls = _calls(lambda: list(cross_blocks._confirmed(para_dedup.Sketches, 5, 75)([table])))
+    links = sorted(sorted((r["a"], r["b"])) for b in got for r in b.to_pylist())
+    similar = [k for k in range(cells) if raw[first[k]] and raw[other[k]]
+               and 100 * len(raw[first[k]] & raw[other[k]]) >= 75 * len(raw[first[k]] | raw[other[k]])]
+    assert links == [[2 * k, 2 * k + 1] for k in similar] and links
+    assert calls < cells
+
+
 def test_whole_short_texts_lines_and_changed_paragraphs_are_found(spark):
     rows, pairs = [], []
     def pair(a, b):

@@ -51,7 +51,7 @@ from pyspark.sql import types as T
 
 from zonecast.llm import textblocks as tb
 from zonecast.llm.common import small_batches, text_frame, written
-from zonecast.llm.cross_blocks import elements, link_groups, similar
+from zonecast.llm.cross_blocks import link_groups, similar_rows
 from zonecast.llm.graph import components
 
 PARAGRAPH = 24                      # words
@@ -63,6 +63,7 @@ RECALL = 0.99
 BROADCAST_KEYS = 1_000_000          # fingerprints sent to all executors at most
 FLUSH = 1 << 18                     # paragraphs of one deduplicated batch of bands
 BANDS_AT_ONCE = 3
+PACK_AT_ONCE = 1 << 16              # paragraphs whose shingles are sorted together
 NEAR = 64                           # places in a band looked at at first
 BITS, MANY = 56, 255                # a sketch: bitmap of shingles, their number (MANY or more: unknown)
 
@@ -205,27 +206,25 @@ def find(batches):
 
 
 def band_rows(batches, numbers: range = range(BANDS)):
-    """Distinct (band, fingerprint, sketch) of many paragraphs at a time."""
+    """(band, fingerprint, sketch) of the distinct ones of many paragraphs at
+    a time: equal paragraphs of one sort have equal bands."""
     held, rows = [], 0
 
     def distinct():
-        both = np.concatenate(held)
-        order = np.lexsort((both[:, 1], both[:, 0]))
-        both = both[order]
-        new = np.ones(len(both), dtype=bool)
-        new[1:] = (both[1:] != both[:-1]).any(axis=1)
-        both = both[new]
-        for i in range(0, len(both), 1 << 16):
-            x = both[i:i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, c].copy()) for c in range(3)], ["band", "print", "sketch"])
+        print_, entire, sk, keys = (np.concatenate(x) for x in zip(*held))
+        _, first = np.unique(print_ ^ entire, return_index=True)
+        for i in range(0, len(first), 1 << 16):
+            x = first[i:i + (1 << 16)]
+            mark, sketches = pa.array(print_[x]), pa.array(sk[x])
+            for c in range(len(numbers)):
+                yield pa.RecordBatch.from_arrays([pa.array(keys[x, c]), mark, sketches], ["band", "print", "sketch"])
 
     for batch in batches:
         for _, _, data, off in tb.blocks(batch.column("text")):
             inside, at, entire = paragraphs(data, off)[3:]
             if len(inside):
-                held.append(np.stack([bands(inside, at, entire, numbers).ravel(),
-                                      np.repeat(fingerprint(inside, at), len(numbers)),
-                                      np.repeat(sketch(inside, at), len(numbers))], axis=1))
+                held.append((fingerprint(inside, at), entire.astype(np.int64), sketch(inside, at),
+                             bands(inside, at, entire, numbers)))
                 rows += len(at) - 1
                 if rows >= FLUSH:
                     yield from distinct()
@@ -288,34 +287,53 @@ def collide(batches):
 PACKED = 5  # bytes
 
 
+def pack_all(inside: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The distinct shingles of each paragraph, sorted, the first 40 bits of
+    each hash: enough to tell the few shingles of two paragraphs apart."""
+    out, n = [], np.diff(at)
+    for k in range(0, len(n), PACK_AT_ONCE):  # 24 bits of a key number the paragraph
+        m = n[k:k + PACK_AT_ONCE]
+        v = inside[at[k]:at[k] + m.sum()] >> np.uint64(24)
+        v = np.sort(np.repeat(np.arange(len(m), dtype=np.uint64) << np.uint64(40), m) | v)
+        v = v[np.append(True, v[1:] != v[:-1])[:len(v)]]
+        end = np.append(0, np.cumsum(np.bincount((v >> np.uint64(40)).astype(np.int64), minlength=len(m)) * PACKED))
+        raw = v.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - PACKED:].tobytes()
+        out.append(pa.Array.from_buffers(pa.binary(), len(m), [None, pa.py_buffer(end.astype(np.int32)), pa.py_buffer(raw)]))
+    return pa.concat_arrays(out) if out else pa.array([], pa.binary())
+
+
 def pack(inside: np.ndarray) -> bytes:
-    """The distinct shingles of a paragraph, the first 40 bits of each hash:
-    enough to tell the few shingles of two paragraphs apart."""
-    return np.unique(np.unique(inside) >> np.uint64(24)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - PACKED:].tobytes()
+    return pack_all(inside, np.array([0, len(inside)]))[0].as_py()
 
 
 def contents(batches):
     """(fingerprint, shingles) of the wanted paragraphs of each text."""
     for batch in batches:
-        wanted, out = batch.column("wanted"), []
+        wanted = batch.column("wanted")
         for i, j, data, off in tb.blocks(batch.column("text")):
             text, _, _, inside, at, _ = paragraphs(data, off)
             marks = fingerprint(inside, at)
-            asked = [set(wanted[k].as_py()) for k in range(i, j)]
-            for k, (t, m) in enumerate(zip(text.tolist(), marks.tolist())):
-                if m in asked[t]:
-                    out.append((m, pack(inside[at[k]:at[k + 1]])))
-                    asked[t].discard(m)
-        if out:
-            m, x = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(m, pa.int64()), pa.array(x, pa.binary())], ["print", "shingles"])
+            lists = wanted.slice(i, j - i)
+            asked, number = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+            if not len(marks) or not len(asked):
+                continue
+            row = np.repeat(np.arange(j - i), lists.value_lengths().to_numpy(zero_copy_only=False))
+            place = np.minimum(np.searchsorted(asked, marks), len(asked) - 1)
+            k = np.flatnonzero(asked[place] == marks)
+            cell = place[k] * (j - i) + text[k]  # a fingerprint and a text
+            cell, first = np.unique(cell, return_index=True)
+            k = np.sort(k[first[np.isin(cell, number * (j - i) + row)]])
+            for k in np.split(k, range(PACK_AT_ONCE, len(k), PACK_AT_ONCE)):
+                n = np.diff(at)[k]
+                ends = np.append(0, np.cumsum(n))
+                own = inside[np.repeat(at[k] - ends[:-1], n) + np.arange(ends[-1])]
+                yield pa.RecordBatch.from_arrays([pa.array(marks[k]), pack_all(own, ends)], ["print", "shingles"])
 
 
 def confirm(batches):
     for batch in batches:
-        ok = [r for r, (x, y) in enumerate(zip(batch.column("xs").to_pylist(), batch.column("ys").to_pylist()))
-              if similar(elements(x, PACKED), elements(y, PACKED), THRESHOLD)]
-        if ok:
+        ok = np.flatnonzero(similar_rows(batch.column("xs"), batch.column("ys"), PACKED, THRESHOLD))
+        if len(ok):
             yield batch.select(["a", "b"]).take(pa.array(ok))
 
 
@@ -365,7 +383,8 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     marks = written(counted.select("print", "cluster").join(spread, "cluster"), "repeated")
     removed = ~((F.col("doc_id") == F.col("first.doc_id")) & (F.col("start") < F.col("first.end"))
                 & (F.col("end") > F.col("first.start")))
-    found = units.distinct().join(marks, "print").select(
+    # dealt by document before rows are made distinct: a join by a frequent paragraph stays one that Spark can split
+    found = units.join(marks, "print").repartition("doc_id").distinct().select(
         "doc_id", "start", "end", "cluster", F.col("first.doc_id").alias("first_doc_id"), removed.alias("removed"))
     place = Window.partitionBy("doc_id").orderBy("start")
     upto = F.max(F.when(F.col("removed"), F.col("end"))).over(place.rangeBetween(Window.unboundedPreceding, 0))
